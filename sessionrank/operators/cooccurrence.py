@@ -83,15 +83,19 @@ def _recent_weights(context, window):
     )
 
 
-_SCORE = F.sum(F.col("uses") * F.col("cnt"))
-_LAST = F.sum(F.when(F.col("is_last"), F.col("cnt")).otherwise(0))
+def _score():
+    return F.sum(F.col("uses") * F.col("cnt"))
+
+
+def _last_count():
+    return F.sum(F.when(F.col("is_last"), F.col("cnt")).otherwise(0))
 
 
 def _all_scores(edges, recent, hot):
     """Scores of all neighbours of the recent items."""
     reached = salted_join(recent, edges, ["item_a"], "inner", hot, "item_a", ["session_id"])
     return reached.groupBy("session_id", "item_b").agg(
-        _SCORE.alias("score"), _LAST.alias("last_count")
+        _score().alias("score"), _last_count().alias("last_count")
     )
 
 
@@ -141,8 +145,8 @@ def _head_scores(edges, context, recent, top_k, head, hot):
     reached = salted_join(
         recent, heads, ["item_a"], "inner", hot, "item_a", ["session_id"]
     ).groupBy("session_id", "item_b").agg(
-        _SCORE.alias("score"),
-        _LAST.alias("last_count"),
+        _score().alias("score"),
+        _last_count().alias("last_count"),
         F.sum(F.col("uses") * F.col("ceiling")).alias("reached_bound"),
         F.collect_list(F.when(F.col("ceiling") > 0, F.col("item_a"))).alias("reached_from"),
     )
@@ -171,7 +175,7 @@ def _head_scores(edges, context, recent, top_k, head, hot):
     added = salted_join(
         lookups, edges, ["item_a", "item_b"], "inner", hot, "item_a", ["session_id"]
     ).groupBy("session_id", "item_b").agg(
-        _SCORE.alias("more"), _LAST.alias("more_last")
+        _score().alias("more"), _last_count().alias("more_last")
     )
     exact = judged.join(added, ["session_id", "item_b"], "left").select(
         "session_id", "item_b",

@@ -51,7 +51,7 @@ def sparse_log(spark, folder):
 
 def items(spark, folder):
     """Item metadata from `part`: type and the words of the name serve as genres."""
-    genres = F.concat(F.col("p_type"), F.lit("|"), F.replace("p_name", F.lit(" "), F.lit("|")))
+    genres = F.concat_ws("|", F.lower("p_type"), F.replace("p_name", F.lit(" "), F.lit("|")))
     return (
         _table(spark, folder, "part")
         .select(
