@@ -82,22 +82,24 @@ def count_ranks(df, value, out):
     )
 
 
-def exact_quantiles(df, column, probabilities):
-    """One row, column `q`: exact quantiles of an integer column with any number of values.
+def exact_quantiles(df, columns, probabilities):
+    """One-row tables with column `q`, per integer column with any number of values.
 
-    The position of each distinct value in the sorted column is its prefix count, so only
-    the values that cover a wanted position are kept; nothing is sorted in one place.
+    Exact and interpolated. The position of each distinct value in the sorted column is its
+    prefix count, so only the values that cover a wanted position are kept; nothing is
+    sorted in one place. `df` is read once and then once per column.
     """
-    values = df.select(column).dropna()
-    low, high, n = values.agg(F.min(column), F.max(column), F.count(column)).first()
-    spark = df.sparkSession
+    bounds = df.agg(*(f(F.col(c)) for c in columns for f in (F.min, F.max, F.count))).first()
+    return {
+        column: _quantiles(df, column, probabilities, *bounds[3 * i:3 * i + 3])
+        for i, column in enumerate(columns)
+    }
+
+
+def _quantiles(df, column, probabilities, low, high, n):
     if not n:
-        return spark.range(1).select(
-            F.lit(None).cast("array<double>").alias("q")
-        )
-    freq = frequencies(values, column)
-    if high - low >= 1 << _DIGIT_BITS:
-        freq = materialize(freq, "frequencies")
+        return df.sparkSession.range(1).select(F.lit(None).cast("array<double>").alias("q"))
+    freq = frequencies(df.select(column).dropna(), column)
     prefix = exclusive_prefix(freq, column, "freq", low, high)
     spans = freq.join(prefix, column)
     picks = []

@@ -8,10 +8,13 @@ HOT_SHARE = 1 / 2000
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(df, key, hot_rows=HOT_ROWS):
-    """The hot keys of a column, as {key: number of parts its rows should be split into}."""
+def hot_keys(df, key, hot_rows=HOT_ROWS, total=None):
+    """The hot keys of a column, as {key: number of parts its rows should be split into}.
+
+    `total` is the number of rows, counted if not given.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).dropna()
-    total = df.count()
+    total = df.count() if total is None else total
     limit = max(hot_rows, total * HOT_SHARE)
     if total <= limit:
         return {}

@@ -91,25 +91,37 @@ def _last_count():
     return F.sum(F.when(F.col("is_last"), F.col("cnt")).otherwise(0))
 
 
-def _all_scores(edges, recent, hot):
-    """Scores of all neighbours of the recent items."""
-    reached = salted_join(recent, edges, ["item_a"], "inner", hot, "item_a", ["session_id"])
-    return reached.groupBy("session_id", "item_b").agg(
-        _score().alias("score"), _last_count().alias("last_count")
-    )
+def _reach(edges, recent, hot):
+    """Recent items joined with their neighbours."""
+    return salted_join(recent, edges, ["item_a"], "inner", hot, "item_a", ["session_id"])
 
 
-def _unseen(scores, context):
-    """Drops scored items that the session already contains."""
-    seen = context.select("session_id", F.col("item_id").alias("item_b"))
-    return scores.join(seen, ["session_id", "item_b"], "left_anti")
+def _unseen_scores(reached, context, **more):
+    """Scores per (session, item_b) of the reached items, those in the context left out.
+
+    The context takes part in the grouping as rows that mark an item as seen, which spares
+    the scores a join of their own.
+    """
+    marks = context.select(
+        "session_id", F.col("item_id").alias("item_b"), F.lit(True).alias("seen")
+    )
+    return (
+        reached.unionByName(marks, allowMissingColumns=True)
+        .groupBy("session_id", "item_b")
+        .agg(
+            F.max("seen").alias("seen"), _score().alias("score"),
+            _last_count().alias("last_count"), *(e.alias(name) for name, e in more.items()),
+        )
+        .filter(F.col("seen").isNull())
+        .drop("seen")
+    )
 
 
 def cooccurrence_scores(edges, context, window=schemas.WINDOW, hot_rows=HOT_ROWS):
     """Scores (session_id, item_id, score) of every candidate, context items excluded."""
     recent = _recent_weights(context, window)
     hot = hot_keys(context.withColumnRenamed("item_id", "item_a"), "item_a", hot_rows)
-    return _unseen(_all_scores(edges, recent, hot), context).select(
+    return _unseen_scores(_reach(edges, recent, hot), context).select(
         "session_id", F.col("item_b").alias("item_id"), "score"
     )
 
@@ -142,18 +154,15 @@ def _head_scores(edges, context, recent, top_k, head, hot):
         F.sum(F.col("uses") * F.col("ceiling")).alias("bound"),
         F.collect_list(open_list).alias("open_lists"),  # at most `window` entries
     )
-    reached = salted_join(
-        recent, heads, ["item_a"], "inner", hot, "item_a", ["session_id"]
-    ).groupBy("session_id", "item_b").agg(
-        _score().alias("score"),
-        _last_count().alias("last_count"),
-        F.sum(F.col("uses") * F.col("ceiling")).alias("reached_bound"),
-        F.collect_list(F.when(F.col("ceiling") > 0, F.col("item_a"))).alias("reached_from"),
+    reached = _unseen_scores(
+        _reach(heads, recent, hot), context,
+        reached_bound=F.sum(F.col("uses") * F.col("ceiling")),
+        reached_from=F.collect_list(F.when(F.col("ceiling") > 0, F.col("item_a"))),
     )
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
     everyone = Window.partitionBy("session_id")
     judged = materialize(
-        _unseen(reached, context).join(sessions, "session_id")
+        reached.join(sessions, "session_id")
         .withColumn("place", F.row_number().over(best))
         .withColumn(
             "kth", F.max(F.when(F.col("place") == top_k, F.col("score"))).over(everyone)
@@ -201,16 +210,20 @@ def retrieve_cooccurrence(
     `cooc_score_last_item` is the candidate's count next to the session's last item, which
     is at hand here and saves the ranking matrix a join.
     """
-    head = head or max(500, 10 * top_k)
+    # Below 1000, the limit up to which Spark cuts ranked groups before shuffling them.
+    head = head or max(499, min(998, 10 * top_k), top_k)
     recent = _recent_weights(context, window)
     hot = hot_keys(context.withColumnRenamed("item_id", "item_a"), "item_a", hot_rows)
     longest = edges.groupBy("item_a").count().agg(F.max("count")).first()[0] or 0
     if longest <= head:
-        scores = _unseen(_all_scores(edges, recent, hot), context)
+        scores = _unseen_scores(_reach(edges, recent, hot), context)
     else:
         exact, rest = _head_scores(edges, context, recent, top_k, head, hot)
-        full = _all_scores(edges, recent.join(rest, "session_id", "left_semi"), hot)
-        scores = exact.unionByName(_unseen(full, context))
+        full = _unseen_scores(
+            _reach(edges, recent.join(rest, "session_id", "left_semi"), hot),
+            context.join(rest, "session_id", "left_semi"),
+        )
+        scores = exact.unionByName(full)
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
     return (
         scores.withColumn("rank", F.row_number().over(best))

@@ -103,19 +103,22 @@ def error_summary(report, columns=SUMMARY_COLUMNS):
 
     Quartiles are exact and interpolated. `report` is read several times: pass a stage table.
     """
-    rows = None
-    for name in columns:
-        value = F.col(name)
-        quartiles = exact_quantiles(report, name, [0.25, 0.5, 0.75]).scalar()
-        row = report.agg(
-            F.count(value).alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).cast("double").alias("min"),
-            F.max(value).cast("double").alias("max"),
-        ).withColumn("q", quartiles).select(
-            F.lit(name).alias("column_name"), "count", "mean", "std", "min",
-            *(F.col("q")[i].alias(f"q{25 * (i + 1)}") for i in range(3)), "max",
-        )
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+    quartiles = exact_quantiles(report, columns, [0.25, 0.5, 0.75])
+    moments = report.agg(*(
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.count(name).alias("count"),
+            F.avg(name).alias("mean"),
+            F.stddev_samp(name).alias("std"),
+            F.min(name).cast("double").alias("min"),
+            F.max(name).cast("double").alias("max"),
+        ).alias(name)
+        for name in columns
+    ))
+    return moments.select(F.inline(F.array(*(
+        F.struct(F.col(name).alias("m"), quartiles[name].scalar().alias("q"))
+        for name in columns
+    )))).select(
+        "m.column_name", "m.count", "m.mean", "m.std", "m.min",
+        *(F.col("q")[i].alias(f"q{25 * (i + 1)}") for i in range(3)), "m.max",
+    )

@@ -32,10 +32,18 @@ def above_quantile(df, value, probability, out):
 
 def item_counts(sessions):
     """Per item: rows, distinct users, distinct sessions."""
-    return sessions.groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("item_global_count"),
-        F.countDistinct("user_id").alias("item_unique_users"),
-        F.countDistinct("session_id").alias("item_unique_sessions"),
+    # A session has one user, so both distinct counts fall out of nested groups; counting
+    # them side by side would triple the rows.
+    in_session = sessions.groupBy("item_id", "user_id", "session_id").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    by_user = in_session.groupBy("item_id", "user_id").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_sessions")
+    )
+    return by_user.groupBy("item_id").agg(
+        F.sum("n").alias("item_global_count"),
+        F.count(F.lit(1)).alias("item_unique_users"),
+        F.sum("n_sessions").alias("item_unique_sessions"),
     )
 
 

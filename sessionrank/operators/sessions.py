@@ -22,7 +22,7 @@ from sessionrank.functions.staging import materialize
 # Resolution of the time quantiles at which a hot user's range is cut.
 _GRID = 1000
 
-Timelines = namedtuple("Timelines", "events keys shifts edges")
+Timelines = namedtuple("Timelines", "events keys shifts edges low high")
 
 
 # --- numbering inside a timeline ------------------------------------------------------
@@ -132,9 +132,13 @@ def _slice_borders(events, gap):
 
 def _timelines(events, gap, hot_rows):
     """Splits the events into timelines: per user, or per slice where a user is hot."""
-    hot = hot_keys(events, "user_id", hot_rows)
+    total, low, high = events.agg(
+        F.count(F.lit(1)), F.coalesce(F.min("user_id"), F.lit(0)),
+        F.coalesce(F.max("user_id"), F.lit(0)),
+    ).first()
+    hot = hot_keys(events, "user_id", hot_rows, total)
     if not hot:
-        return Timelines(events, ("user_id",), None, None)
+        return Timelines(events, ("user_id",), None, None, low, high)
     cuts = F.broadcast(_cut_points(events.select("user_id", "timestamp"), hot))
     number = F.size(F.filter("cuts", lambda cut: cut <= F.col("timestamp")))
     sliced = (
@@ -143,7 +147,7 @@ def _timelines(events, gap, hot_rows):
     )
     crossing = sliced.filter(F.col("cuts").isNotNull()).select("user_id", "slice", "timestamp")
     shifts, edges = _slice_borders(crossing, gap)
-    return Timelines(sliced.drop("cuts"), ("user_id", "slice"), shifts, edges)
+    return Timelines(sliced.drop("cuts"), ("user_id", "slice"), shifts, edges, low, high)
 
 
 def _stitch(rows, lines):
@@ -178,21 +182,21 @@ def _kept_per_timeline(lines, gap, min_length):
     return kept.groupBy(*keys).agg(starts.alias("n_sessions"))
 
 
-def _first_ids(kept, keys):
-    """Rows (*keys, first_id): number of kept sessions before each timeline."""
+def _first_ids(kept, lines):
+    """The users with sessions, and rows (*keys, first_id): kept sessions before each timeline."""
+    keys = list(lines.keys)
     kept = materialize(kept, "session-counts")
-    low, high = kept.agg(F.min("user_id"), F.max("user_id")).first()
     per_user = kept
     if len(keys) > 1:
         per_user = kept.groupBy("user_id").agg(F.sum("n_sessions").alias("n_sessions"))
-    users = exclusive_prefix(per_user, "user_id", "n_sessions", low or 0, high or 0)
+    users = exclusive_prefix(per_user, "user_id", "n_sessions", lines.low, lines.high)
     if len(keys) == 1:
-        return kept, users.withColumnRenamed("prefix", "first_id")
+        return per_user.select("user_id"), users.withColumnRenamed("prefix", "first_id")
     earlier = Window.partitionBy("user_id").orderBy("slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
     inside = kept.withColumn("inside", F.coalesce(F.sum("n_sessions").over(earlier), F.lit(0)))
-    return kept, inside.join(users, "user_id").select(
+    return per_user.select("user_id"), inside.join(users, "user_id").select(
         *keys, (F.col("prefix") + F.col("inside")).alias("first_id")
     )
 
@@ -232,7 +236,7 @@ def sessions_and_users(
         events.select("user_id", "item_id", "timestamp", *tie_cols), gap, hot_rows
     )
     keys = list(lines.keys)
-    kept, first_ids = _first_ids(_kept_per_timeline(lines, gap, min_length), keys)
+    users, first_ids = _first_ids(_kept_per_timeline(lines, gap, min_length), lines)
 
     local = local_sessions(lines.events, gap, tie_cols, keys)
     rows = _stitch(_number_rows(local, tie_cols, keys), lines)
@@ -258,7 +262,6 @@ def sessions_and_users(
     ]
     if keep_size:
         columns.append(size.alias("n_items"))
-    users = kept.filter(F.col("n_sessions") > 0).select("user_id").distinct()
     return rows.join(first_ids, keys).select(*columns), users
 
 
@@ -295,31 +298,38 @@ def split_expression(
     train. The two users at the borders are found through the sizes of the 65,536 groups of
     equal leading hash digits, after which any row can be assigned without a join.
     """
-    hashed = users.select(_user_hash(seed).alias("h"))
-    groups = (
-        hashed.groupBy(F.substring("h", 1, 4).alias("lead"))
-        .agg(F.count(F.lit(1)).alias("n")).orderBy("lead").collect()
-    )
-    n_users = sum(g["n"] for g in groups)
+    hashed = users.select(_user_hash(seed).alias("h")).withColumn("lead", F.substring("h", 1, 4))
+    sizes = sorted(tuple(r) for r in hashed.groupBy("lead").count().collect())
+    n_users = sum(size for _, size in sizes)
     n_test = int(n_users * test_fraction)
     n_val = int(n_users * val_fraction)
 
-    def hash_at(index):
-        for group in groups:
-            if index < group["n"]:
-                return (
-                    hashed.filter(F.substring("h", 1, 4) == group["lead"])
-                    .orderBy("h").offset(index).limit(1).first()["h"]
-                )
-            index -= group["n"]
-        return "g"  # sorts after every hexadecimal digit
-
+    # (group, place in the group) of the first user after test and of the first after val
+    borders = [_locate(sizes, index) for index in (n_test, n_test + n_val)]
+    place = F.row_number().over(Window.partitionBy("lead").orderBy("h"))
+    wanted = [b for b in borders if b]
+    found = (
+        hashed.filter(F.col("lead").isin([lead for lead, _ in wanted]))
+        .withColumn("place", place)
+        .filter(F.struct("lead", "place").isin(
+            [F.struct(F.lit(lead), F.lit(at)) for lead, at in wanted]
+        ))
+        .collect()
+    ) if wanted else []
+    hashes = {(r["lead"], r["place"]): r["h"] for r in found}
+    # "g" sorts after every hexadecimal digit.
+    first_val, first_train = (hashes.get(b, "g") for b in borders)
     own = _user_hash(seed)
-    return (
-        F.when(own < hash_at(n_test), "test")
-        .when(own < hash_at(n_test + n_val), "val")
-        .otherwise("train")
-    )
+    return F.when(own < first_val, "test").when(own < first_train, "val").otherwise("train")
+
+
+def _locate(sizes, index):
+    """(group, 1-based place) of a 0-based index into sorted groups, None past the end."""
+    for lead, size in sizes:
+        if index < size:
+            return lead, index + 1
+        index -= size
+    return None
 
 
 def split_sessions(sessions, *fractions_and_seed, users=None, **options):

@@ -187,7 +187,7 @@ def session_context(spark, folder):
 
 def _matrix(spark, folder, split="test"):
     data = _prepared(spark, folder)
-    return data.matrix(split, *_features(spark, folder, data))
+    return data.matrix(split, *_features(spark, folder, data), data.candidates(split))
 
 
 @_query
@@ -322,32 +322,35 @@ def als_recs(spark, folder):
 # --- ranking --------------------------------------------------------------------------
 
 
-def _linear_ranks(data, spark, folder, split="test"):
+def _linear_ranks(data, spark, folder, candidates):
     # The linear score uses no genre, so none is collected.
-    matrix = data.matrix(split, *_features(spark, folder, data, genres=[]))
+    matrix = data.matrix("test", *_features(spark, folder, data, genres=[]), candidates)
     return ranking.rerank(
         ranking.linear_score(matrix, LINEAR_WEIGHTS), schemas.RANKING_K
     )
 
 
-def _three_systems(spark, folder, split="test", log=fixtures.dense_log):
+def _three_systems(spark, folder, log=fixtures.dense_log):
     data = _prepared(spark, folder, log)
+    candidates = data.candidates("test")
     return data, {
-        "popularity": data.popular(split, schemas.RANKING_K),
-        "cooccurrence": data.neighbours(split, schemas.RANKING_K),
-        "cooc+ranker": _linear_ranks(data, spark, folder, split),
+        "popularity": data.popular("test", schemas.RANKING_K),
+        "cooccurrence": candidates.filter(F.col("rank") <= schemas.RANKING_K),
+        "cooc+ranker": _linear_ranks(data, spark, folder, candidates),
     }
 
 
 @_query
 def rerank(spark, folder):
-    return _linear_ranks(_prepared(spark, folder), spark, folder)
+    data = _prepared(spark, folder)
+    return _linear_ranks(data, spark, folder, data.candidates("test"))
 
 
 @_query
 def two_stage(spark, folder):
     data = _prepared(spark, folder)
-    return metrics.evaluate(_linear_ranks(data, spark, folder), data.targets("test"))
+    recs = _linear_ranks(data, spark, folder, data.candidates("test"))
+    return metrics.evaluate(recs, data.targets("test"))
 
 
 def _fitted_ranker(spark, folder, **params):
@@ -356,10 +359,11 @@ def _fitted_ranker(spark, folder, **params):
     items = materialize(features.item_features(train, fixtures.items(spark, folder)), "items")
     users = materialize(features.user_features(train), "users")
     fitted_on = [
-        materialize(data.matrix(part, items, users), f"{part}-matrix") for part in ("train", "val")
+        materialize(data.matrix(part, items, users, data.candidates(part)), f"{part}-matrix")
+        for part in ("train", "val")
     ]
     model = ranking.fit_ranker(*fitted_on, **params)
-    return model, data, data.matrix("test", items, users)
+    return model, data, data.matrix("test", items, users, data.candidates("test"))
 
 
 @_query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sessionrank import schemas
 from sessionrank.functions.skew import hot_keys
-from sessionrank.functions.staging import materialize, stage_path
+from sessionrank.functions.staging import materialize
 from sessionrank.operators import errors, features, metrics, ranking, sessions, slices
 from sessionrank.operators.cooccurrence import fit_cooccurrence, retrieve_cooccurrence
 from sessionrank.operators.popularity import fit_popularity, retrieve_popular
@@ -52,9 +52,15 @@ class Prepared:
         """Co-occurrence recommendations for one split."""
         return retrieve_cooccurrence(self.edges, self.context(split), top_k)
 
-    def matrix(self, split, items, users, top_k=schemas.RETRIEVAL_K):
-        """Ranking matrix of the co-occurrence candidates of one split."""
-        candidates = materialize(self.neighbours(split, top_k), "candidates")
+    def candidates(self, split, top_k=schemas.RETRIEVAL_K):
+        """Stage table of the co-occurrence recommendations.
+
+        Ranks follow a total order, so a shorter list is the same table cut at its rank.
+        """
+        return materialize(self.neighbours(split, top_k), "candidates")
+
+    def matrix(self, split, items, users, candidates):
+        """Ranking matrix of the candidates of one split."""
         return features.ranking_features(
             candidates, self.context(split), self.targets(split), items, users,
             hot_items=hot_keys(
@@ -107,8 +113,9 @@ def run(
     users = materialize(features.user_features(train), "users")
 
     # train
+    candidates = {part: data.candidates(part, retrieval_k) for part in {"train", "val", split}}
     matrices = {
-        part: materialize(data.matrix(part, items, users, retrieval_k), f"{part}-matrix")
+        part: materialize(data.matrix(part, items, users, candidates[part]), f"{part}-matrix")
         for part in ("train", "val")
     }
     model = ranking.fit_ranker(matrices["train"], matrices["val"], **ranker_params)
@@ -118,10 +125,10 @@ def run(
     context, targets = data.context(split), data.targets(split)
     tested = matrices.get(split)
     if tested is None:
-        tested = data.matrix(split, items, users, retrieval_k)
+        tested = data.matrix(split, items, users, candidates[split])
     systems = {
         "popularity": data.popular(split, ranking_k),
-        "cooccurrence": data.neighbours(split, ranking_k),
+        "cooccurrence": candidates[split].filter(F.col("rank") <= ranking_k),
         "cooc+ranker": ranking.rerank(ranking.predict(model, tested), ranking_k),
     }
     recs = materialize(metrics.combine_systems(systems), "recommendations", ["system"])
@@ -138,7 +145,7 @@ def run(
         "retrieval_eval": metrics.compare_systems(
             {
                 "popularity": data.popular(split, retrieval_k),
-                "cooccurrence": data.neighbours(split, retrieval_k),
+                "cooccurrence": candidates[split],
             },
             targets, k_values, column="retriever",
         ),
@@ -165,8 +172,3 @@ def run(
                 own = source.filter(F.col("system") == name)
                 write_results(own, f"{out}/results/{table}_{safe_name(name)}")
     return results
-
-
-def scratch(spark, name):
-    """A fresh folder for files, on the shared storage."""
-    return stage_path(spark, name)
