@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from sessionrank import schemas
 from sessionrank.functions.numbering import dense_index
 from sessionrank.functions.skew import HOT_ROWS, hot_keys, salted_join
+from sessionrank.functions.staging import materialize
 
-# Item factors are sent to the tasks in blocks of at most this many numbers (512 MB).
-_BLOCK_NUMBERS = 64 * 1024 * 1024
+# Item factors are sent to the tasks in blocks of at most this many numbers (128 MB).
+_BLOCK_NUMBERS = 16 * 1024 * 1024
 _SCORE_DIGITS = 6
 
 
@@ -57,18 +58,16 @@ def session_vectors(factors, context, hot_rows=HOT_ROWS):
     return known.groupBy("session_id").agg(F.array(*means).alias("vector"))
 
 
-def _blocks(factors):
-    """Yields (ids, matrix) of the factors, each no larger than the block limit."""
-    n_items = factors.count()
+def _n_blocks(factors):
     rank = len((factors.first() or {"features": []})["features"])
-    n_blocks = max(1, -(-n_items * rank // _BLOCK_NUMBERS))
-    for block in range(n_blocks):
-        part = factors
-        if n_blocks > 1:
-            part = factors.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block)
-        rows = part.orderBy("id").toPandas()
-        if len(rows):
-            yield rows["id"].to_numpy(), np.array(rows["features"].tolist(), dtype=np.float64)
+    return max(1, -(-factors.count() * rank // _BLOCK_NUMBERS))
+
+
+def _block(factors, number, n_blocks):
+    """(ids, matrix) of one block of the factors, by ascending id."""
+    part = factors.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == number)
+    rows = part.orderBy("id").toPandas()
+    return rows["id"].to_numpy(), np.array(rows["features"].tolist(), dtype=np.float64)
 
 
 def _best_of_block(block):
@@ -76,6 +75,8 @@ def _best_of_block(block):
 
     def score(batches):
         ids, matrix = block.value
+        if not len(ids):
+            return
         for batch in batches:
             sessions, items, scores = [], [], []
             wanted = batch["wanted"].to_numpy()
@@ -116,15 +117,16 @@ def retrieve_by_factors(factors, context, top_k, hot_rows=HOT_ROWS):
         (F.countDistinct("item_id") + top_k).alias("wanted")
     )
     vectors = session_vectors(factors, context, hot_rows).join(sizes, "session_id")
+    n_blocks = _n_blocks(factors)
+    if n_blocks > 1:
+        vectors = materialize(vectors, "session-vectors")
     near = None
-    for block in _blocks(factors):
+    for number in range(n_blocks):
+        block = spark.sparkContext.broadcast(_block(factors, number, n_blocks))
         found = vectors.mapInPandas(
-            _best_of_block(spark.sparkContext.broadcast(block)),
-            "session_id bigint, item_id bigint, score double",
+            _best_of_block(block), "session_id bigint, item_id bigint, score double"
         )
         near = found if near is None else near.unionByName(found)
-    if near is None:
-        return spark.createDataFrame([], "session_id bigint, item_id bigint, score double, rank int")
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_id")
     return (
         near.join(seen, ["session_id", "item_id"], "left_anti")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from sessionrank import schemas
 from sessionrank.functions.numbering import count_quantiles, count_ranks
-from sessionrank.functions.skew import salted_join
+from sessionrank.functions.skew import HOT_ROWS, hot_keys, salted_join
+from sessionrank.functions.staging import materialize
 from sessionrank.operators.cooccurrence import recent_items
 
 NO_GENRE = "(no genres listed)"
@@ -90,7 +91,7 @@ def item_genres(movies, genres=None):
 
 def item_features(sessions, movies, genres=None):
     """Counts, rank, head flag and genre flags of every item in the sessions."""
-    counts = item_heads(item_ranks(item_counts(sessions)))
+    counts = item_heads(item_ranks(materialize(item_counts(sessions), "item-counts")))
     flags = item_genres(movies, genres)
     return counts.join(flags, "item_id", "left").select(
         "item_id", *ITEM_COLUMNS, *(c for c in flags.columns if c != "item_id")
@@ -112,8 +113,9 @@ def user_stats(sessions):
 
 def user_features(sessions, quantile=schemas.HEAD_QUANTILE):
     """User statistics with `user_is_dense`: 1 if the total reaches the quantile."""
+    stats = materialize(user_stats(sessions), "user-stats")
     return above_quantile(
-        user_stats(sessions), "user_total_interactions", quantile, "user_is_dense"
+        stats, "user_total_interactions", quantile, "user_is_dense"
     )
 
 
@@ -140,7 +142,7 @@ def session_context(context):
 
 
 def ranking_features(
-    candidates, context, targets, items, users, cooc=None, hot_items=None
+    candidates, context, targets, items, users, cooc=None, hot_items=None, hot_rows=HOT_ROWS
 ):
     """The ranking matrix: one row per (session, candidate), nulls as 0.
 
@@ -155,8 +157,9 @@ def ranking_features(
         "session_id", F.col("item_id").alias("candidate_item_id"),
         *(["cooc_score_last_item"] if carried else []),
     )
-    people = targets.select("session_id", "user_id", "target_item_id").join(
-        users, "user_id", "left"
+    people = salted_join(
+        targets.select("session_id", "user_id", "target_item_id"), users, ["user_id"], "left",
+        hot_keys(targets, "user_id", hot_rows), "user_id", ["session_id"],
     )
     matrix = spine.join(session_context(context), "session_id", "left").join(
         people, "session_id", "left"

@@ -32,20 +32,20 @@ def _timeline(keys, tie_cols):
     return Window.partitionBy(*keys).orderBy("timestamp", *tie_cols)
 
 
-def event_gaps(events, tie_cols=(), keys=("user_id",)):
+def _gaps(events, tie_cols, keys):
     """Adds `delta`: time since the previous event of the timeline, null for the first."""
     previous = F.lag("timestamp").over(_timeline(keys, tie_cols))
     return events.withColumn("delta", F.col("timestamp") - previous)
 
 
-def local_sessions(events, gap, tie_cols=(), keys=("user_id",)):
-    """Adds `local_session_id`: 1-based session number within the timeline.
+def _number_sessions(events, gap, tie_cols, keys):
+    """Adds `delta` and `local_session_id`, the 1-based session number in the timeline.
 
     A session starts at the first event and wherever the gap is exceeded (strictly).
     """
     starts = F.col("delta").isNull() | (F.col("delta") > gap)
     running = _timeline(keys, tie_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return event_gaps(events, tie_cols, keys).withColumn(
+    return _gaps(events, tie_cols, keys).withColumn(
         "local_session_id", F.sum(starts.cast("bigint")).over(running)
     )
 
@@ -83,12 +83,12 @@ def _cut_points(events, hot):
 def _slice_borders(events, gap):
     """What crosses the borders of the hot users' slices.
 
-    Returns two small tables. shifts (user_id, slice, shift): add to a slice's session
-    numbers to get the user's. edges (user_id, slice, local_session_id, before, total): for
+    Returns two small tables. shifts (user_id, slice, shift, closed): what to add to a slice's
+    session numbers to get the user's, and when the slice before ended. edges (user_id, slice, local_session_id, before, total): for
     the first and last session of a slice, its rows in earlier slices and in all slices.
     """
     keys = ("user_id", "slice")
-    pieces = local_sessions(events, gap, (), keys).groupBy(*keys, "local_session_id").agg(
+    pieces = _number_sessions(events, gap, (), keys).groupBy(*keys, "local_session_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("timestamp").alias("opens"),
         F.max("timestamp").alias("closes"),
@@ -104,8 +104,10 @@ def _slice_borders(events, gap):
         "slices",
     )
     order = Window.partitionBy("user_id").orderBy("slice")
-    continued = F.coalesce(F.col("opens") - F.lag("closes").over(order) <= gap, F.lit(False))
-    linked = slices.withColumn("continued", continued.cast("bigint"))
+    continued = F.coalesce(F.col("opens") - F.col("closed") <= gap, F.lit(False))
+    linked = slices.withColumn("closed", F.lag("closes").over(order)).withColumn(
+        "continued", continued.cast("bigint")
+    )
     earlier = F.coalesce(
         F.sum("n_pieces").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -127,7 +129,7 @@ def _slice_borders(events, gap):
         ).alias("before"),
         F.sum("end.n").over(session).alias("total"),
     )
-    return shifted.select(*keys, "shift"), edges
+    return shifted.select(*keys, "shift", "closed"), edges
 
 
 def _timelines(events, gap, hot_rows):
@@ -155,14 +157,43 @@ def _stitch(rows, lines):
     if lines.edges is None:
         return rows
     keys = list(lines.keys)
-    return (
-        rows.join(F.broadcast(lines.edges), [*keys, "local_session_id"], "left")
-        .join(F.broadcast(lines.shifts), keys, "left")
-        .withColumn("row", F.col("row") + F.coalesce("before", F.lit(0)))
-        .withColumn("n_rows", F.coalesce("total", "n_rows"))
-        .withColumn("local_session_id", F.col("local_session_id") + F.coalesce("shift", F.lit(0)))
-        .drop("before", "total", "shift")
+    stitched = {
+        "delta": F.coalesce("delta", F.col("timestamp") - F.col("closed")),
+        "row": F.col("row") + F.coalesce("before", F.lit(0)),
+        "n_rows": F.coalesce("total", "n_rows"),
+        "local_session_id": F.col("local_session_id") + F.coalesce("shift", F.lit(0)),
+    }
+    joined = rows.join(F.broadcast(lines.edges), [*keys, "local_session_id"], "left").join(
+        F.broadcast(lines.shifts), keys, "left"
     )
+    return joined.select(*(
+        stitched[c].alias(c) if c in stitched else F.col(c) for c in rows.columns
+    ))
+
+
+# --- steps on their own ---------------------------------------------------------------
+
+
+def _numbered(events, gap, tie_cols, hot_rows):
+    lines = _timelines(events, gap, hot_rows)
+    local = _number_sessions(lines.events, gap, tie_cols, lines.keys)
+    return _stitch(_number_rows(local, tie_cols, lines.keys), lines).drop("slice")
+
+
+def event_gaps(events, tie_cols=(), hot_rows=HOT_ROWS):
+    """Adds `delta`: time since the user's previous event, null for the first."""
+    return _numbered(events, 0, tie_cols, hot_rows).drop("local_session_id", "row", "n_rows")
+
+
+def local_sessions(events, gap, tie_cols=(), hot_rows=HOT_ROWS):
+    """Adds `local_session_id`: 1-based session number within the user."""
+    return _numbered(events, gap, tie_cols, hot_rows).drop("delta", "row", "n_rows")
+
+
+def sessions_of_min_length(events, gap, min_length, tie_cols=(), hot_rows=HOT_ROWS):
+    """Events with their local session and its size `n_rows`, short sessions dropped."""
+    rows = _numbered(events, gap, tie_cols, hot_rows).drop("delta", "row")
+    return rows.filter(F.col("n_rows") >= min_length)
 
 
 # --- sessions -------------------------------------------------------------------------
@@ -172,7 +203,7 @@ def _kept_per_timeline(lines, gap, min_length):
     """Rows (*keys, n_sessions): sessions of sufficient length that start in a timeline."""
     keys = list(lines.keys)
     pieces = (
-        local_sessions(lines.events.select(*keys, "timestamp"), gap, (), keys)
+        _number_sessions(lines.events.select(*keys, "timestamp"), gap, (), keys)
         .groupBy(*keys, "local_session_id")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .withColumn("row", F.lit(0).cast("bigint"))
@@ -238,7 +269,7 @@ def sessions_and_users(
     keys = list(lines.keys)
     users, first_ids = _first_ids(_kept_per_timeline(lines, gap, min_length), lines)
 
-    local = local_sessions(lines.events, gap, tie_cols, keys)
+    local = _number_sessions(lines.events, gap, tie_cols, keys)
     rows = _stitch(_number_rows(local, tie_cols, keys), lines)
     rows = rows.filter(F.col("n_rows") >= min_length)
     # Sorted as the rows already are, so the running count costs no further sort.
@@ -265,12 +296,6 @@ def sessions_and_users(
     return rows.join(first_ids, keys).select(*columns), users
 
 
-def sessions_of_min_length(events, gap, min_length, tie_cols=()):
-    """Events with their local session and its size, short sessions dropped."""
-    rows = _number_rows(local_sessions(events, gap, tie_cols), tie_cols, ("user_id",))
-    return rows.filter(F.col("n_rows") >= min_length)
-
-
 def session_summary(sessions):
     """One row: number of sessions and of users."""
     return sessions.agg(

@@ -62,13 +62,13 @@ def event_gaps(spark, folder):
 @_query
 def local_sessions(spark, folder):
     events, gap, ties = fixtures.dense_log(spark, folder)
-    return sessions.local_sessions(events, gap, ties).drop("delta")
+    return sessions.local_sessions(events, gap, ties)
 
 
 @_query
 def sessions_min_len(spark, folder):
     events, gap, ties = fixtures.dense_log(spark, folder)
-    return sessions.sessions_of_min_length(events, gap, 5, ties).drop("delta", "row")
+    return sessions.sessions_of_min_length(events, gap, 5, ties)
 
 
 @_query

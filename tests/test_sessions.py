@@ -89,6 +89,20 @@ def test_slices_of_hot_users_change_nothing(table, seed, high):
         assert rows(built) == expected
 
 
+def test_steps_are_the_same_for_hot_users(table):
+    rng = random.Random(9)
+    triples = [(5, 1, rng.randrange(3000)) for _ in range(200)]
+    triples += [(u, 1, rng.randrange(3000)) for u in range(4) for _ in range(20)]
+    events = _events(table, triples)
+    for step in (
+        lambda hot: S.event_gaps(events, ("tie",), hot),
+        lambda hot: S.local_sessions(events, 40, ("tie",), hot),
+        lambda hot: S.sessions_of_min_length(events, 40, 3, ("tie",), hot),
+    ):
+        assert step(25).columns == step(10**6).columns
+        assert rows(step(25)) == rows(step(10**6))
+
+
 def test_ids_are_dense_for_far_apart_users(table):
     users = [3, 70_000, 5_000_000_000, 2**40 + 1]
     events = _events(table, [(u, i, t) for u in users for i, t in ((1, 0), (2, 5), (3, 9999), (4, 9999))])
