@@ -10,6 +10,10 @@ from sessionrank.functions.staging import materialize
 # Sessions are processed in blocks of this many positions, so that a session without
 # length limit does not end up in one task.
 _BLOCK = 4096
+# Reading only the strongest edges has to cut the candidates by this factor to pay off.
+_SAVING = 8
+# Recent items of a session are marked by the bits of a long.
+_MAX_SLOTS = 62
 
 
 def _pairs(sessions, window, block):
@@ -74,12 +78,15 @@ def recent_items(context, window=schemas.WINDOW):
 
 
 def _recent_weights(context, window):
-    """Rows (session_id, item_a, uses, is_last): recent items, repeats counted."""
+    """Rows (session_id, item_a, uses, slot): recent items, repeats counted.
+
+    `slot` numbers a session's items by their latest use, 0 for its last item.
+    """
     return recent_items(context, window).groupBy(
         "session_id", F.col("item_id").alias("item_a")
     ).agg(
         F.count(F.lit(1)).alias("uses"),
-        F.max(F.col("recency") == 1).alias("is_last"),
+        (F.min("recency") - 1).alias("slot"),
     )
 
 
@@ -88,7 +95,7 @@ def _score():
 
 
 def _last_count():
-    return F.sum(F.when(F.col("is_last"), F.col("cnt")).otherwise(0))
+    return F.sum(F.when(F.col("slot") == 0, F.col("cnt")).otherwise(0))
 
 
 def _reach(edges, recent, hot):
@@ -126,6 +133,10 @@ def cooccurrence_scores(edges, context, window=schemas.WINDOW, hot_rows=HOT_ROWS
     )
 
 
+def _bit(slot):
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), slot)
+
+
 def _head_scores(edges, context, recent, top_k, head, hot):
     """Top candidates from the strongest `head` edges of each item only, where that is safe.
 
@@ -147,9 +158,7 @@ def _head_scores(edges, context, recent, top_k, head, hot):
     recent = salted_join(
         recent, ceilings, ["item_a"], "left", hot, "item_a", ["session_id"]
     ).na.fill(0, ["ceiling"])
-    open_list = F.when(
-        F.col("ceiling") > 0, F.struct("item_a", "uses", "is_last")
-    )
+    open_list = F.when(F.col("ceiling") > 0, F.struct("item_a", "uses", "slot"))
     sessions = recent.groupBy("session_id").agg(
         F.sum(F.col("uses") * F.col("ceiling")).alias("bound"),
         F.collect_list(open_list).alias("open_lists"),  # at most `window` entries
@@ -157,7 +166,7 @@ def _head_scores(edges, context, recent, top_k, head, hot):
     reached = _unseen_scores(
         _reach(heads, recent, hot), context,
         reached_bound=F.sum(F.col("uses") * F.col("ceiling")),
-        reached_from=F.collect_list(F.when(F.col("ceiling") > 0, F.col("item_a"))),
+        reached_from=F.coalesce(F.bit_or(_bit(F.col("slot"))), F.lit(0)),
     )
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
     everyone = Window.partitionBy("session_id")
@@ -173,7 +182,8 @@ def _head_scores(edges, context, recent, top_k, head, hot):
             | (F.col("score") + F.col("bound") - F.col("reached_bound") >= F.col("kth"))
         )
         .withColumn("missing", F.filter(
-            "open_lists", lambda entry: ~F.array_contains("reached_from", entry["item_a"])
+            "open_lists",
+            lambda entry: F.col("reached_from").bitwiseAND(_bit(entry["slot"])) == 0,
         ))
         .select("session_id", "item_b", "score", "last_count", "missing"),
         "judged",
@@ -198,6 +208,21 @@ def _head_scores(edges, context, recent, top_k, head, hot):
     return exact, rest
 
 
+def _worthwhile_head(edges, recent, top_k, window, hot):
+    """How many of each item's strongest edges to read, None if reading all is as good."""
+    # Below 1000, the limit up to which Spark cuts ranked groups before shuffling them.
+    head = max(499, min(998, 10 * top_k), top_k)
+    degrees = edges.groupBy("item_a").agg(F.count(F.lit(1)).alias("degree"))
+    longest = degrees.agg(F.max("degree")).first()[0] or 0
+    if longest <= _SAVING * head or window > _MAX_SLOTS:
+        return None
+    work = salted_join(recent, degrees, ["item_a"], "inner", hot, "item_a", ["session_id"])
+    full, cut = work.agg(
+        F.sum("degree"), F.sum(F.least(F.col("degree"), F.lit(head)))
+    ).first()
+    return head if (full or 0) > _SAVING * (cut or 0) else None
+
+
 def retrieve_cooccurrence(
     edges, context, top_k, window=schemas.WINDOW, head=None, hot_rows=HOT_ROWS
 ):
@@ -208,14 +233,14 @@ def retrieve_cooccurrence(
     candidate have no row. `edges` is read more than once: pass a stage table.
 
     `cooc_score_last_item` is the candidate's count next to the session's last item, which
-    is at hand here and saves the ranking matrix a join.
+    is at hand here and saves the ranking matrix a join. `head` is the number of strongest
+    edges per item to try first; by default it is chosen, and used only where it saves
+    enough.
     """
-    # Below 1000, the limit up to which Spark cuts ranked groups before shuffling them.
-    head = head or max(499, min(998, 10 * top_k), top_k)
     recent = _recent_weights(context, window)
     hot = hot_keys(context.withColumnRenamed("item_id", "item_a"), "item_a", hot_rows)
-    longest = edges.groupBy("item_a").count().agg(F.max("count")).first()[0] or 0
-    if longest <= head:
+    head = head or _worthwhile_head(edges, recent, top_k, window, hot)
+    if head is None:
         scores = _unseen_scores(_reach(edges, recent, hot), context)
     else:
         exact, rest = _head_scores(edges, context, recent, top_k, head, hot)

@@ -119,6 +119,15 @@ def test_short_lists_settle_some_sessions_and_not_others(spark, table):
                    (2, 100, 50, 1), (2, 101, 40, 2)]
 
 
+def test_head_is_used_only_where_it_saves(table, monkeypatch):
+    edges = table([(1, b, 1) for b in range(600)] + [(2, 1, 1)],
+                  "item_a bigint, item_b bigint, cnt bigint")
+    monkeypatch.setattr(C, "_SAVING", 1)
+    for items, expected in ([1], 499), ([2], None):
+        recent = C._recent_weights(_sessions(table, {0: items}), 5)
+        assert C._worthwhile_head(edges, recent, 10, 5, {}) == expected
+
+
 def _factors(table, n, rank=8, seed=0):
     rng = np.random.default_rng(seed)
     matrix = rng.integers(-3, 4, (n, rank)) / 4
