@@ -92,7 +92,7 @@ class Model:
         # scripts that no language uses tell nothing
         self.script = np.where(used | ~used.any(1, keepdims=True), 0.0, -WRONG_SCRIPT)
         logs = np.log((counts + SMOOTHING) / (counts.sum(0) + SMOOTHING * BUCKETS))
-        self.logs = (logs - logs.max(1, keepdims=True)).astype(np.float32)
+        self.logs = (logs - logs.max(1, keepdims=True, initial=-np.inf if languages else 0)).astype(np.float32)
         self.priors = np.log((priors + 1) / (priors.sum() + len(priors)))
         self._forget()
 
