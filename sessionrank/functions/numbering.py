@@ -71,47 +71,44 @@ def count_quantiles(df, value, probabilities):
 
 
 def count_ranks(df, value, out):
-    """Rows (value, out): 1 + number of rows with a larger value, per distinct value.
-
-    Same limit on distinct values as in `count_quantiles`; the window runs over them, not
-    over the rows.
-    """
-    above = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    return frequencies(df, value).select(
-        value, (F.lit(1) + F.coalesce(F.sum("freq").over(above), F.lit(0))).alias(out)
-    )
+    """Rows (value, out): 1 + number of rows with a larger value, per distinct value."""
+    freq = materialize(frequencies(df, value).dropna(), "frequencies")
+    low, high = freq.agg(*(F.coalesce(f(value), F.lit(0)) for f in (F.min, F.max))).first()
+    falling = freq.select((-F.col(value)).alias("falling"), "freq")
+    above = exclusive_prefix(falling, "falling", "freq", -high, -low)
+    return above.select((-F.col("falling")).alias(value), (F.lit(1) + F.col("prefix")).alias(out))
 
 
 def exact_quantiles(df, columns, probabilities):
-    """One-row tables with column `q`, per integer column with any number of values.
+    """Rows (column_name, q): exact quantiles (linear interpolation) of integer columns, nulls left out.
 
-    Exact and interpolated. The position of each distinct value in the sorted column is its
-    prefix count, so only the values that cover a wanted position are kept; nothing is
-    sorted in one place. `df` is read once and then once per column.
+    The columns are unpivoted, values are counted once, and one prefix sum over (column, value) gives each value's
+    place in its sorted column; only the values that cover a wanted place are kept. Nothing is sorted in one task.
+    The range of the values times the number of columns must fit a bigint.
     """
-    bounds = df.agg(*(f(F.col(c)) for c in columns for f in (F.min, F.max, F.count))).first()
-    return {
-        column: _quantiles(df, column, probabilities, *bounds[3 * i:3 * i + 3])
-        for i, column in enumerate(columns)
-    }
-
-
-def _quantiles(df, column, probabilities, low, high, n):
-    if not n:
-        return df.sparkSession.range(1).select(F.lit(None).cast("array<double>").alias("q"))
-    freq = frequencies(df.select(column).dropna(), column)
-    prefix = exclusive_prefix(freq, column, "freq", low, high)
-    spans = freq.join(prefix, column)
+    long = df.select(F.inline(F.array(*(
+        F.struct(F.lit(i).cast("bigint").alias("c"), F.col(c).cast("bigint").alias("v")) for i, c in enumerate(columns)
+    )))).filter(F.col("v").isNotNull())
+    freq = materialize(long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("freq")), "frequencies")
+    low, high = freq.agg(*(F.coalesce(f("v"), F.lit(0)) for f in (F.min, F.max))).first()
+    width = high - low + 1
+    keyed = freq.withColumn("key", F.col("c") * F.lit(width) + F.col("v") - F.lit(low))
+    prefix = exclusive_prefix(keyed, "key", "freq", 0, width * len(columns) - 1)
+    placed = keyed.join(prefix, "key")
+    sizes = freq.groupBy("c").agg(F.sum("freq").alias("n"))
+    # Places count from the first value of the column: the prefix less that of the columns before.
+    before = placed.groupBy("c").agg(F.min("prefix").alias("lead"))
+    ranged = placed.join(before.join(sizes, "c"), "c")
+    at = F.col("prefix") - F.col("lead")
     picks = []
     for p in probabilities:
-        at = p * (n - 1)
-        floor = int(at)
+        place = F.lit(p) * (F.col("n") - 1)
+        floor = F.floor(place)
         lower, upper = (
-            F.max(F.when(
-                (F.col("prefix") <= pos) & (F.lit(pos) < F.col("prefix") + F.col("freq")),
-                F.col(column),
-            )).cast("double")
-            for pos in (floor, min(floor + 1, n - 1))
+            F.max(F.when((at <= pos) & (pos < at + F.col("freq")), F.col("v"))).cast("double")
+            for pos in (floor, F.least(floor + 1, F.col("n") - 1))
         )
-        picks.append(lower + (upper - lower) * F.lit(at - floor))
-    return spans.agg(F.array(*picks).alias("q"))
+        picks.append(lower + (upper - lower) * F.max(place - floor))
+    found = ranged.groupBy("c").agg(F.array(*picks).alias("q"))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "c bigint, column_name string")
+    return names.join(found, "c", "left").select("column_name", "q")

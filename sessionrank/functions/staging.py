@@ -6,29 +6,32 @@ plan keeps column pruning and partition pruning for its readers.
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-_local_roots = {}
+_open_scopes = []
 
 
 def stage_root(spark):
-    """Shared folder for stage tables: the one the cluster names, else (local runs) our own."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
+    """Shared folder for stage tables: the one named by spark.checkpoint.dir or set on the context.
+
+    Where neither is set, a run in a single process (as in tests) sets a folder of its own; any other run must name one.
+    """
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_roots:
-        folder = tempfile.mkdtemp(prefix="sessionrank-")
-        context.setCheckpointDir(folder)
-        _local_roots[context.applicationId] = folder
-        return folder
-    return _local_roots[context.applicationId]
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and (context.master == "local" or context.master.startswith("local[")):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sessionrank-"))
+        root = context.getCheckpointDir()
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and every executor can reach")
+    return root
 
 
 def stage_path(spark, name):
     """A fresh path under the shared folder."""
-    return f"{stage_root(spark)}/stages/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/stages/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
 
 
 def materialize(df, name, partition_by=()):
@@ -37,3 +40,16 @@ def materialize(df, name, partition_by=()):
     path = stage_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+@contextmanager
+def stage_scope(spark):
+    """Deletes the stage tables made inside on leaving; results must be written or collected by then."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _open_scopes.pop():
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,10 +10,11 @@ from sessionrank.functions.staging import materialize
 # Sessions are processed in blocks of this many positions, so that a session without
 # length limit does not end up in one task.
 _BLOCK = 4096
-# Reading only the strongest edges has to cut the candidates by this factor to pay off.
-_SAVING = 8
-# Recent items of a session are marked by the bits of a long.
-_MAX_SLOTS = 62
+# Strongest edges of an item that retrieval reads first: below 1000, the limit up to which Spark cuts ranked
+# groups before shuffling them.
+_HEAD, _LONGEST_HEAD = 499, 998
+# Recent items of a session are marked by the bits of longs, this many in each.
+_SLOTS = 62
 
 
 def _pairs(sessions, window, block):
@@ -126,19 +127,53 @@ def _unseen_scores(reached, context, **more):
 
 def cooccurrence_scores(edges, context, window=schemas.WINDOW, hot_rows=HOT_ROWS):
     """Scores (session_id, item_id, score) of every candidate, context items excluded."""
-    recent = _recent_weights(context, window)
-    hot = hot_keys(context.withColumnRenamed("item_id", "item_a"), "item_a", hot_rows)
+    recent = materialize(_recent_weights(context, window), "recent")
+    hot = hot_keys(recent, "item_a", hot_rows)
     return _unseen_scores(_reach(edges, recent, hot), context).select(
         "session_id", F.col("item_b").alias("item_id"), "score"
     )
 
 
-def _bit(slot):
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), slot)
+def _marks(window):
+    """Columns mark_0, mark_1, ...: in which of the session's slots a candidate was reached."""
+    slot = F.col("slot")
+    return {
+        f"mark_{n}": F.coalesce(F.bit_or(F.when(
+            F.floor(slot / _SLOTS) == n, F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % _SLOTS).cast("int"))
+        )), F.lit(0))
+        for n in range(-(-max(window, 1) // _SLOTS))
+    }
 
 
-def _head_scores(edges, context, recent, top_k, head, hot):
-    """Top candidates from the strongest `head` edges of each item only, where that is safe.
+def _reached_in(slot, window):
+    """Whether a candidate's marks have the slot."""
+    return F.coalesce(*(
+        F.when(F.floor(slot / _SLOTS) == n, F.call_function("shiftright", F.col(name), (slot % _SLOTS).cast("int")).bitwiseAND(F.lit(1)) == 1)
+        for n, name in enumerate(_marks(window))
+    ), F.lit(False))
+
+
+def head_lists(edges, head):
+    """Rows (item_a, item_b, cnt, ceiling): each item's `head` strongest edges.
+
+    One row of each item (its strongest edge) has `ceiling`, the count of the strongest edge left out, 0 if none is.
+    """
+    strongest = Window.partitionBy("item_a").orderBy(F.desc("cnt"), "item_b")
+    lists = edges.withColumn("place", F.row_number().over(strongest)).filter(F.col("place") <= head + 1)
+    whole = Window.partitionBy("item_a")
+    ceiling = F.coalesce(F.max(F.when(F.col("place") == head + 1, F.col("cnt"))).over(whole), F.lit(0))
+    return lists.withColumn("ceiling", ceiling).filter(F.col("place") <= head).select(
+        "item_a", "item_b", "cnt", F.when(F.col("place") == 1, F.col("ceiling")).alias("ceiling")
+    )
+
+
+def head_size(top_k):
+    """Strongest edges to read for lists of `top_k`."""
+    return max(_HEAD, min(_LONGEST_HEAD, 10 * top_k), top_k)
+
+
+def _head_scores(edges, lists, context, recent, top_k, window, hot):
+    """Top candidates from the strongest edges of each item only, where that is safe.
 
     The strongest edge left out of an item's list bounds what the list can still add. Over a
     session's lists the bounds add up to the most an unreached candidate can score. If the
@@ -147,14 +182,8 @@ def _head_scores(edges, context, recent, top_k, head, hot):
 
     Returns the exact scores of those sessions, and the sessions left for a full search.
     """
-    strongest = Window.partitionBy("item_a").orderBy(F.desc("cnt"), "item_b")
-    lists = edges.withColumn("place", F.row_number().over(strongest)).filter(
-        F.col("place") <= head + 1
-    )
-    heads = lists.filter(F.col("place") <= head).select("item_a", "item_b", "cnt")
-    ceilings = lists.filter(F.col("place") == head + 1).select(
-        "item_a", F.col("cnt").alias("ceiling")
-    )
+    heads = lists.select("item_a", "item_b", "cnt")
+    ceilings = lists.filter("ceiling > 0").select("item_a", "ceiling")
     recent = salted_join(
         recent, ceilings, ["item_a"], "left", hot, "item_a", ["session_id"]
     ).na.fill(0, ["ceiling"])
@@ -165,8 +194,7 @@ def _head_scores(edges, context, recent, top_k, head, hot):
     )
     reached = _unseen_scores(
         _reach(heads, recent, hot), context,
-        reached_bound=F.sum(F.col("uses") * F.col("ceiling")),
-        reached_from=F.coalesce(F.bit_or(_bit(F.col("slot"))), F.lit(0)),
+        reached_bound=F.sum(F.col("uses") * F.col("ceiling")), **_marks(window),
     )
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
     everyone = Window.partitionBy("session_id")
@@ -181,10 +209,7 @@ def _head_scores(edges, context, recent, top_k, head, hot):
             F.col("kth").isNull()
             | (F.col("score") + F.col("bound") - F.col("reached_bound") >= F.col("kth"))
         )
-        .withColumn("missing", F.filter(
-            "open_lists",
-            lambda entry: F.col("reached_from").bitwiseAND(_bit(entry["slot"])) == 0,
-        ))
+        .withColumn("missing", F.filter("open_lists", lambda entry: ~_reached_in(entry["slot"], window)))
         .select("session_id", "item_b", "score", "last_count", "missing"),
         "judged",
     )
@@ -208,23 +233,8 @@ def _head_scores(edges, context, recent, top_k, head, hot):
     return exact, rest
 
 
-def _worthwhile_head(edges, recent, top_k, window, hot):
-    """How many of each item's strongest edges to read, None if reading all is as good."""
-    # Below 1000, the limit up to which Spark cuts ranked groups before shuffling them.
-    head = max(499, min(998, 10 * top_k), top_k)
-    degrees = edges.groupBy("item_a").agg(F.count(F.lit(1)).alias("degree"))
-    longest = degrees.agg(F.max("degree")).first()[0] or 0
-    if longest <= _SAVING * head or window > _MAX_SLOTS:
-        return None
-    work = salted_join(recent, degrees, ["item_a"], "inner", hot, "item_a", ["session_id"])
-    full, cut = work.agg(
-        F.sum("degree"), F.sum(F.least(F.col("degree"), F.lit(head)))
-    ).first()
-    return head if (full or 0) > _SAVING * (cut or 0) else None
-
-
 def retrieve_cooccurrence(
-    edges, context, top_k, window=schemas.WINDOW, head=None, hot_rows=HOT_ROWS
+    edges, context, top_k, window=schemas.WINDOW, head=None, hot_rows=HOT_ROWS, lists=None
 ):
     """Recommendations (session_id, item_id, score, rank, cooc_score_last_item).
 
@@ -232,26 +242,23 @@ def retrieve_cooccurrence(
     in the context are left out; equal scores are ordered by item_id. Sessions without a
     candidate have no row. `edges` is read more than once: pass a stage table.
 
+    Each item's `head` strongest edges are read first (`lists`, from `head_lists` with the same `head`, can be
+    kept with the edges); sessions that these do not settle are searched in full, so the result does not depend on `head`.
     `cooc_score_last_item` is the candidate's count next to the session's last item, which
-    is at hand here and saves the ranking matrix a join. `head` is the number of strongest
-    edges per item to try first; by default it is chosen, and used only where it saves
-    enough.
+    is at hand here and saves the ranking matrix a join.
     """
-    recent = _recent_weights(context, window)
-    hot = hot_keys(context.withColumnRenamed("item_id", "item_a"), "item_a", hot_rows)
-    head = head or _worthwhile_head(edges, recent, top_k, window, hot)
-    if head is None:
-        scores = _unseen_scores(_reach(edges, recent, hot), context)
-    else:
-        exact, rest = _head_scores(edges, context, recent, top_k, head, hot)
-        full = _unseen_scores(
-            _reach(edges, recent.join(rest, "session_id", "left_semi"), hot),
-            context.join(rest, "session_id", "left_semi"),
-        )
-        scores = exact.unionByName(full)
+    head = head or head_size(top_k)
+    lists = materialize(head_lists(edges, head), "head-lists") if lists is None else lists
+    recent = materialize(_recent_weights(context, window), "recent")
+    hot = hot_keys(recent, "item_a", hot_rows)
+    exact, rest = _head_scores(edges, lists, context, recent, top_k, window, hot)
+    full = _unseen_scores(
+        _reach(edges, recent.join(rest, "session_id", "left_semi"), hot),
+        context.join(rest, "session_id", "left_semi"),
+    )
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
     return (
-        scores.withColumn("rank", F.row_number().over(best))
+        exact.unionByName(full).withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top_k)
         .select(
             "session_id", F.col("item_b").alias("item_id"), "score", "rank",

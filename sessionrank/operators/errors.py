@@ -10,6 +10,7 @@ from sessionrank import schemas
 from sessionrank.functions.numbering import exact_quantiles
 from sessionrank.functions.skew import HOT_ROWS, hot_keys, salted_join
 from sessionrank.operators.features import above_quantile, session_lengths
+from sessionrank.operators.popularity import fit_popularity
 
 
 def target_ranks(recs, targets, systems=()):
@@ -58,10 +59,14 @@ def coverage(recs, items, top_k, systems=()):
     )
 
 
-def error_report(recs, targets, train, context, top_k, systems=(), hot_rows=HOT_ROWS):
-    """Target ranks with session length, the target's count in train, head flag and hit flag."""
+def error_report(recs, targets, train, context, top_k, systems=(), hot_rows=HOT_ROWS, item_counts=None):
+    """Target ranks with session length, the target's count in train, head flag and hit flag.
+
+    `item_counts` (item_id, n) spares counting the items of train.
+    """
+    item_counts = fit_popularity(train) if item_counts is None else item_counts
     counts = above_quantile(
-        train.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_train_count")),
+        item_counts.select("item_id", F.col("n").alias("item_train_count")),
         "item_train_count", schemas.HEAD_QUANTILE, "item_is_head",
     ).withColumnRenamed("item_id", "target_item_id")
     ranked = target_ranks(recs, targets, systems).join(
@@ -101,7 +106,7 @@ SUMMARY_COLUMNS = (
 def error_summary(report, columns=SUMMARY_COLUMNS):
     """Rows (column_name, count, mean, std, min, q25, q50, q75, max) of the report's numbers.
 
-    Quartiles are exact and interpolated. `report` is read several times: pass a stage table.
+    Quartiles are exact and interpolated. `report` is read twice: pass a stage table.
     """
     quartiles = exact_quantiles(report, columns, [0.25, 0.5, 0.75])
     moments = report.agg(*(
@@ -115,10 +120,8 @@ def error_summary(report, columns=SUMMARY_COLUMNS):
         ).alias(name)
         for name in columns
     ))
-    return moments.select(F.inline(F.array(*(
-        F.struct(F.col(name).alias("m"), quartiles[name].scalar().alias("q"))
-        for name in columns
-    )))).select(
-        "m.column_name", "m.count", "m.mean", "m.std", "m.min",
-        *(F.col("q")[i].alias(f"q{25 * (i + 1)}") for i in range(3)), "m.max",
+    described = moments.select(F.inline(F.array(*columns)))
+    return described.join(quartiles, "column_name").select(
+        "column_name", "count", "mean", "std", "min",
+        *(F.col("q")[i].alias(f"q{25 * (i + 1)}") for i in range(3)), "max",
     )

@@ -11,8 +11,11 @@ from sessionrank.functions.numbering import dense_index
 from sessionrank.functions.skew import HOT_ROWS, hot_keys, salted_join
 from sessionrank.functions.staging import materialize
 
-# Item factors are sent to the tasks in blocks of at most this many numbers (128 MB).
-_BLOCK_NUMBERS = 16 * 1024 * 1024
+# Blocks of sessions and of items that one task scores against each other: numbers in a block of vectors.
+_BLOCK_NUMBERS = 1 << 20
+# Ratings for each of the blocks that the factorization deals users and items out to.
+_RATINGS_PER_BLOCK = 5_000_000
+_MOST_IDS = (1 << 31) - 1
 _SCORE_DIGITS = 6
 
 
@@ -34,99 +37,102 @@ def fit_factors(
     for key, index in (("item_id", items), ("user_id", users)):
         hot = hot_keys(sessions, key, hot_rows)
         ratings = salted_join(ratings, index, [key], "inner", hot, key, ["user_id", "item_id"])
-    ratings = ratings.select(
-        F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "n"
-    )
+    ratings = ratings.select("user", "item", "n")
+    ratings = materialize(ratings, "ratings")
+    n, most = ratings.agg(F.count(F.lit(1)), F.greatest(F.max("user"), F.max("item"))).first()
+    if n and most > _MOST_IDS:
+        raise ValueError("the factorization takes at most 2^31 users and items")
+    n_blocks = max(10, -(-n // _RATINGS_PER_BLOCK))
     model = ALS(
         rank=factors, maxIter=iterations, regParam=regularization, implicitPrefs=True,
         userCol="user", itemCol="item", ratingCol="n", seed=seed,
-    ).fit(ratings)
+        numUserBlocks=n_blocks, numItemBlocks=n_blocks,
+    ).fit(ratings.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "n"))
     return model.itemFactors.withColumnRenamed("id", "item").join(
         items.select("item_id", F.col("item").cast("int").alias("item")), "item"
     ).select(F.col("item_id").alias("id"), "features")
 
 
-def session_vectors(factors, context, hot_rows=HOT_ROWS):
-    """Rows (session_id, vector): mean factors of the known context items, with repeats."""
-    rank = len((factors.first() or {"features": []})["features"])
+def _dimensions(factors):
+    first = factors.select(F.size("features")).first()
+    return first[0] if first else 0
+
+
+def session_vectors(factors, context, hot_rows=HOT_ROWS, dimensions=None):
+    """Rows (session_id, vector): mean factors of the known context items, with repeats.
+
+    `dimensions` is the length of the vectors, looked up if not given.
+    """
+    if factors is None:
+        raise RuntimeError("the factors have not been fitted")
+    dimensions = _dimensions(factors) if dimensions is None else dimensions
     hot = hot_keys(context, "item_id", hot_rows)
     known = salted_join(
         context.select("session_id", "item_id"), factors.withColumnRenamed("id", "item_id"),
         ["item_id"], "inner", hot, "item_id", ["session_id"],
     )
-    means = [F.avg(F.col("features")[i].cast("double")) for i in range(rank)]
+    means = [F.avg(F.col("features")[i].cast("double")) for i in range(dimensions)]
     return known.groupBy("session_id").agg(F.array(*means).alias("vector"))
 
 
-def _n_blocks(factors):
-    rank = len((factors.first() or {"features": []})["features"])
-    return max(1, -(-factors.count() * rank // _BLOCK_NUMBERS))
-
-
-def _block(factors, number, n_blocks):
-    """(ids, matrix) of one block of the factors, by ascending id."""
-    part = factors.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == number)
-    rows = part.orderBy("id").toPandas()
-    return rows["id"].to_numpy(), np.array(rows["features"].tolist(), dtype=np.float64)
-
-
-def _best_of_block(block):
-    """A function that scores batches of sessions against one broadcast block of items."""
-
-    def score(batches):
-        ids, matrix = block.value
-        if not len(ids):
-            return
-        for batch in batches:
-            sessions, items, scores = [], [], []
-            wanted = batch["wanted"].to_numpy()
-            # A few thousand scores per session at a time, whatever the batch size.
-            step = max(1, 8_000_000 // len(ids))
-            for start in range(0, len(batch), step):
-                vectors = np.array(batch["vector"].iloc[start:start + step].tolist())
-                products = np.round(vectors @ matrix.T, _SCORE_DIGITS) + 0.0
-                for offset, row in enumerate(products):
-                    k = min(int(wanted[start + offset]), len(ids))
-                    # Items are sorted by id, and a stable sort keeps that order among ties.
-                    cut = np.partition(row, len(row) - k)[len(row) - k] if k < len(row) else -np.inf
-                    near = np.flatnonzero(row >= cut)
-                    near = near[np.argsort(-row[near], kind="stable")][:k]
-                    sessions.append(np.full(len(near), batch["session_id"].iloc[start + offset]))
-                    items.append(ids[near])
-                    scores.append(row[near])
-            if sessions:
-                yield pd.DataFrame({
-                    "session_id": np.concatenate(sessions),
-                    "item_id": np.concatenate(items),
-                    "score": np.concatenate(scores),
-                })
-
-    return score
-
-
-def retrieve_by_factors(factors, context, top_k, hot_rows=HOT_ROWS):
+def _best_of_blocks(key, sessions, items):
+    """The best items of one block for each session of another: a matrix product."""
+    out = {"session_id": [], "item_id": [], "score": []}
+    if len(sessions) and len(items):
+        items = items.sort_values("id")
+        ids, matrix = items["id"].to_numpy(), np.array(items["features"].tolist(), dtype=np.float64)
+        wanted = sessions["wanted"].to_numpy()
+        vectors = np.array(sessions["vector"].tolist(), dtype=np.float64)
+        # A bounded number of scores at a time, whatever the size of the blocks.
+        step = max(1, 4_000_000 // len(ids))
+        for start in range(0, len(sessions), step):
+            products = np.round(vectors[start:start + step] @ matrix.T, _SCORE_DIGITS) + 0.0
+            for offset, row in enumerate(products):
+                k = min(int(wanted[start + offset]), len(ids))
+                # Items are sorted by id, and a stable sort keeps that order among ties.
+                cut = np.partition(row, len(row) - k)[len(row) - k] if k < len(row) else -np.inf
+                near = np.flatnonzero(row >= cut)
+                near = near[np.argsort(-row[near], kind="stable")][:k]
+                out["session_id"].append(np.full(len(near), sessions["session_id"].iloc[start + offset]))
+                out["item_id"].append(ids[near])
+                out["score"].append(row[near])
+    return pd.DataFrame({
+        "session_id": np.concatenate(out["session_id"] or [np.zeros(0, np.int64)]),
+        "item_id": np.concatenate(out["item_id"] or [np.zeros(0, np.int64)]),
+        "score": np.concatenate(out["score"] or [np.zeros(0)]),
+    })
+
+
+def _dealt(table, key, own, n_own, other, n_other):
+    """Rows in `n_own` blocks by a hash of their key, once for every block of the other side."""
+    return table.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int")).withColumn(
+        other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
+    )
+
+
+def retrieve_by_factors(factors, context, top_k, hot_rows=HOT_ROWS, block_numbers=None, dimensions=None):
     """Recommendations (session_id, item_id, score, rank): nearest items not in the context.
 
-    Every block of items yields each session's best k plus as many as the session has
+    Sessions and items are dealt out to blocks of about `block_numbers` numbers by hashes, every pair of blocks meets in
+    one task, and yields each session's best k plus as many as the session has
     distinct items, so that k remain once the context is taken out. Scores are rounded to
-    6 digits; equal scores are ordered by item_id.
+    6 digits; equal scores are ordered by item_id. `factors` is read twice: pass a stage table.
     """
-    spark = context.sparkSession
-    seen = context.select("session_id", "item_id")
-    sizes = seen.groupBy("session_id").agg(
-        (F.countDistinct("item_id") + top_k).alias("wanted")
+    if factors is None:
+        raise RuntimeError("the factors have not been fitted")
+    block_numbers = block_numbers or _BLOCK_NUMBERS
+    dimensions = _dimensions(factors) if dimensions is None else dimensions
+    seen = context.select("session_id", "item_id").distinct()
+    sizes = seen.groupBy("session_id").agg((F.count(F.lit(1)) + top_k).alias("wanted"))
+    vectors = materialize(
+        session_vectors(factors, context, hot_rows, dimensions).join(sizes, "session_id"), "session-vectors"
+    )
+    blocks = [max(1, -(-table.count() * max(dimensions, 1) // block_numbers)) for table in (vectors, factors)]
+    left = _dealt(vectors, "session_id", "sessions", blocks[0], "items", blocks[1])
+    right = _dealt(factors.select("id", "features"), "id", "items", blocks[1], "sessions", blocks[0])
+    near = left.groupBy("sessions", "items").cogroup(right.groupBy("sessions", "items")).applyInPandas(
+        _best_of_blocks, "session_id bigint, item_id bigint, score double"
     )
-    vectors = session_vectors(factors, context, hot_rows).join(sizes, "session_id")
-    n_blocks = _n_blocks(factors)
-    if n_blocks > 1:
-        vectors = materialize(vectors, "session-vectors")
-    near = None
-    for number in range(n_blocks):
-        block = spark.sparkContext.broadcast(_block(factors, number, n_blocks))
-        found = vectors.mapInPandas(
-            _best_of_block(block), "session_id bigint, item_id bigint, score double"
-        )
-        near = found if near is None else near.unionByName(found)
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_id")
     return (
         near.join(seen, ["session_id", "item_id"], "left_anti")

@@ -3,6 +3,7 @@
 from collections import Counter
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionrank import schemas
 from sessionrank.functions.numbering import count_quantiles, count_ranks
@@ -11,6 +12,8 @@ from sessionrank.functions.staging import materialize
 from sessionrank.operators.cooccurrence import recent_items
 
 NO_GENRE = "(no genres listed)"
+# Genres become columns of the matrix.
+MAX_GENRES = 1000
 
 ITEM_COLUMNS = [
     "item_global_count", "item_unique_users", "item_unique_sessions", "item_global_rank",
@@ -51,8 +54,8 @@ def item_counts(sessions):
 def item_ranks(counts):
     """Adds `item_global_rank`: popularity rank from 1, ties share the smallest."""
     ranks = count_ranks(counts, "item_global_count", "item_global_rank")
-    # One row per distinct count, at most sqrt(2 * events): always small next to the items.
-    return counts.join(F.broadcast(ranks), "item_global_count").select(
+    # One row per distinct count, at most sqrt(2 * events); Spark broadcasts it while it is small.
+    return counts.join(ranks, "item_global_count").select(
         *counts.columns, "item_global_rank"
     )
 
@@ -62,13 +65,15 @@ def item_heads(counts, quantile=schemas.HEAD_QUANTILE):
     return above_quantile(counts, "item_global_count", quantile, "item_is_head")
 
 
-def genre_vocabulary(movies):
-    """The genres in use, sorted; collected because each becomes a column."""
+def genre_vocabulary(movies, limit=MAX_GENRES):
+    """The genres in use, sorted; at most `limit` (an error otherwise), because each becomes a column."""
     rows = (
         movies.select(F.explode("genre_list").alias("genre")).distinct()
-        .filter(F.col("genre") != NO_GENRE).orderBy("genre").collect()
+        .filter(F.col("genre") != NO_GENRE).limit(limit + 1).collect()
     )
-    return [row["genre"] for row in rows]
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} genres: pass the ones that should become columns")
+    return sorted(row["genre"] for row in rows)
 
 
 def genre_column(genre):
@@ -149,9 +154,14 @@ def ranking_features(
     candidates (session_id, item_id, ...); items and users are feature tables. The score of
     the candidate next to the session's last item comes from the edge table `cooc`, or from
     the candidates themselves if retrieval carried it along; without either it is 0.
-    `hot_items` (from `hot_keys`) splits the rows of candidates that recur very often.
+    `hot_items` (from `hot_keys`) splits the rows of candidates that recur very often. Item columns
+    that are not numbers (a title, a genre list) are no features and are left out.
     """
-    hot_items = hot_items or {}
+    numbers = (T.NumericType, T.BooleanType)
+    items = items.select(*(
+        F.col(f"`{f.name}`").cast("int").alias(f.name) if isinstance(f.dataType, T.BooleanType) else F.col(f"`{f.name}`")
+        for f in items.schema if f.name == "item_id" or isinstance(f.dataType, numbers)
+    ))
     carried = "cooc_score_last_item" in candidates.columns
     spine = candidates.select(
         "session_id", F.col("item_id").alias("candidate_item_id"),

@@ -64,20 +64,37 @@ def _metrics_at(k, hits, n_relevant):
     ]
 
 
+def _hits(recs, relevant, by):
+    """Rows (*by, session_id, rank) of recommended relevant items."""
+    if "session_id" in recs.columns:
+        return recs.join(relevant, ["session_id", "item_id"]).select(*by, "session_id", "rank")
+    # One short list for all sessions: the targets look themselves up in it.
+    return relevant.join(recs, "item_id").select(*by, "session_id", "rank")
+
+
 def hit_metrics(recs, targets, k_values=schemas.K_VALUES):
     """Metrics of the sessions with at least one hit, one row per (system,) session.
 
-    All other sessions score 0 everywhere, so means need only these rows and the number of
+    `recs` is a recommendation table or {system: table}; a table without session_id is a list that every session
+    gets. All other sessions score 0 everywhere, so means need only these rows and the number of
     sessions.
     """
-    by = ["system"] if "system" in recs.columns else []
     relevant = relevant_sets(targets)
+    if isinstance(recs, dict):
+        by = ["system"]
+        tables = [table.select(F.lit(name).alias("system"), *(c for c in ("session_id", "item_id", "rank") if c in table.columns))
+                  for name, table in recs.items()]
+        shared = [t for t in tables if "session_id" not in t.columns]
+        own = [t for t in tables if "session_id" in t.columns]
+        united = [reduce(lambda a, b: a.unionByName(b), own)] if own else []
+        found = reduce(lambda a, b: a.unionByName(b), [_hits(t, relevant, by) for t in united + shared])
+    else:
+        by = ["system"] if "system" in recs.columns else []
+        found = _hits(recs, relevant, by)
     sizes = relevant.groupBy("session_id").agg(F.count(F.lit(1)).cast("int").alias("n_relevant"))
     ranks = F.when(F.col("rank") <= max(k_values), F.col("rank"))
-    hits = (
-        recs.join(relevant, ["session_id", "item_id"])
-        .groupBy(*by, "session_id")
-        .agg(F.array_sort(F.collect_list(ranks)).alias("hits"), F.min("rank").alias("first"))
+    hits = found.groupBy(*by, "session_id").agg(
+        F.array_sort(F.collect_list(ranks)).alias("hits"), F.min("rank").alias("first")
     )
     columns = [
         column for k in k_values for column in _metrics_at(k, F.col("hits"), F.col("n_relevant"))
@@ -114,11 +131,11 @@ def evaluate(recs, targets, k_values=schemas.K_VALUES):
 def compare_systems(systems, targets, k_values=schemas.K_VALUES, column="system"):
     """Mean metrics of several systems: (system, metric, value), rounded to 5 digits.
 
-    `systems` maps names to recommendation tables.
+    `systems` maps names to recommendation tables; one without session_id is a list for every session.
     """
     names = metric_names(k_values)
     n_sessions = targets.agg(F.countDistinct("session_id")).scalar()
-    sums = hit_metrics(combine_systems(systems), targets, k_values).groupBy("system").agg(
+    sums = hit_metrics(systems, targets, k_values).groupBy("system").agg(
         *(F.sum(n).alias(n) for n in names)
     )
     spine = system_spine(targets.sparkSession, systems)

@@ -24,7 +24,10 @@ def popular_items(popularity, top_k):
 
 
 def retrieve_popular(popularity, context, top_k):
-    """Recommendations (session_id, item_id, score, rank); context items are not excluded."""
+    """Recommendations (session_id, item_id, score, rank); context items are not excluded.
+
+    That is k rows for each session. Evaluation needs only `popular_items`, the list that all sessions share.
+    """
     return (
         context.select("session_id").distinct()
         .withColumn("top", _top(popularity, top_k).scalar())

@@ -3,15 +3,17 @@
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionrank import schemas
 
-# The features of the ranker, in order; genre flags follow.
+# The features of the ranker, in order; genre flags follow, named with this prefix.
+GENRE_PREFIX = "genre_"
 FEATURE_COLS = [
     "session_length",
     "item_global_count",
@@ -27,17 +29,45 @@ FEATURE_COLS = [
 ]
 
 
-def feature_columns(matrix):
-    """The ranker's features present in the matrix."""
-    genres = [c for c in matrix.columns if c.startswith("genre_")]
-    return [c for c in FEATURE_COLS if c in matrix.columns] + genres
+# Rounds of boosting, and for how many of them the loss on held-out rows may fail to fall before the rest is dropped.
+MAX_ROUNDS, PATIENCE = 50, 30
 
 
-def fit_ranker(train, val=None, max_iter=50, **params):
+def feature_columns(matrix):
+    """The ranker's features that the matrix has: the fixed ones in their order, then flags as they come."""
+    numeric = {f.name: f.dataType for f in matrix.schema if isinstance(f.dataType, T.NumericType)}
+    flags = (name for name in numeric if name.startswith(GENRE_PREFIX))
+    return [*filter(numeric.__contains__, FEATURE_COLS), *flags]
+
+
+def _best_rounds(losses, patience):
+    """Rounds up to the one of least loss, looking no further than `patience` rounds without a new least."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _first_rounds(trees, rounds):
+    """The boosted model of the first rounds."""
+    context = SparkSession.getActiveSession().sparkContext
+    kind = context._jvm.org.apache.spark.ml
+    kept = context._gateway.new_array(kind.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(trees.trees[:rounds], trees.treeWeights)):
+        kept[i], weights[i] = tree._java_obj, float(weight)
+    shorter = GBTClassificationModel(kind.classification.GBTClassificationModel(trees.uid, kept, weights))
+    return trees._copyValues(shorter)
+
+
+def fit_ranker(train, val=None, max_iter=MAX_ROUNDS, patience=PATIENCE, **params):
     """A fitted pipeline (assembler, boosted trees) on `label`.
 
-    With `val`, boosting stops once the loss on it no longer falls. `params` override the
-    tree settings.
+    With `val`, the loss on it is measured after every round, and the rounds up to the best one are kept: the least loss
+    before `patience` rounds in a row bring no improvement. `params` override the tree settings.
     """
     settings = {
         "lossType": "logistic", "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 20,
@@ -45,23 +75,23 @@ def fit_ranker(train, val=None, max_iter=50, **params):
         "maxIter": max_iter, **params,
     }
     columns = feature_columns(train)
-    data = train.select(*(F.col(f"`{c}`") for c in columns), "label")
-    if val is not None:
-        held_out = val.select(*(F.col(f"`{c}`") for c in columns), "label")
-        data = data.withColumn("is_val", F.lit(False)).unionByName(
-            held_out.withColumn("is_val", F.lit(True))
-        )
-        settings["validationIndicatorCol"] = "is_val"
+    narrow = [F.col(f"`{c}`") for c in columns] + [F.col("label").cast("double").alias("label")]
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
     trees = GBTClassifier(featuresCol="features", labelCol="label", **settings)
-    return Pipeline(stages=[assembler, trees]).fit(data)
+    model = Pipeline(stages=[assembler, trees]).fit(train.select(*narrow))
+    if val is not None:
+        held_out = model.stages[0].transform(val.select(*narrow))
+        if held_out.limit(1).count():
+            losses = model.stages[1].evaluateEachIteration(held_out)
+            rounds = _best_rounds(losses, patience)
+            if rounds < len(losses):
+                model = PipelineModel([model.stages[0], _first_rounds(model.stages[1], rounds)])
+    return model
 
 
 def predict(model, matrix):
     """Adds `score`, the probability of a positive label."""
-    if model is None:
-        raise RuntimeError("the ranker has not been fitted")
-    return model.transform(matrix).withColumn(
+    return _fitted(model).transform(matrix).withColumn(
         "score", vector_to_array("probability")[1]
     ).drop("features", "rawPrediction", "probability", "prediction")
 
@@ -84,19 +114,23 @@ def linear_score(matrix, weights):
     return matrix.withColumn("score", reduce(lambda a, b: a + b, terms))
 
 
+def _fitted(model):
+    if model is None:
+        raise RuntimeError("the ranker has not been fitted")
+    return model
+
+
 def feature_importance(spark, model):
     """Rows (feature, importance), largest first; importances sum to 1."""
-    assembler, trees = model.stages
-    rows = [
-        (name, float(gain))
-        for name, gain in zip(assembler.getInputCols(), trees.featureImportances.toArray())
-    ]
+    assembler, trees = _fitted(model).stages
+    gains = dict(enumerate(trees.featureImportances.toArray()))
+    rows = [(name, float(gains.get(i, 0.0))) for i, name in enumerate(assembler.getInputCols())]
     return spark.createDataFrame(rows, schemas.IMPORTANCE).orderBy(F.desc("importance"), "feature")
 
 
 def save_ranker(model, path):
     """Saves the pipeline; the feature list is part of it."""
-    model.write().overwrite().save(path)
+    _fitted(model).write().overwrite().save(path)
 
 
 def load_ranker(path):

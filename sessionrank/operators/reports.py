@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from sessionrank import schemas
 from sessionrank.functions.numbering import count_quantiles
 from sessionrank.operators.slices import length_bucket
 
-# The headline metrics, and the longest session that is reported on.
+# The headline metrics.
 KEY_METRICS = ("recall@10", "ndcg@10", "mrr")
-_LONGEST = 50
 
 
 def hit_kpis(report):
@@ -51,11 +51,15 @@ def rank_histogram(report, bins):
     )
 
 
-def hit_rate_by_length(report):
-    """Rows (length_bucket, n_sessions, hit_rate); lengths outside 1..50 are left out."""
+def hit_rate_by_length(report, max_length=schemas.MAX_LENGTH):
+    """Rows (length_bucket, n_sessions, hit_rate) of sessions with a context, up to `max_length` long (None: any).
+
+    Sessions are cut at the same length by default, so none is left out for being long.
+    """
     length = F.col("session_length")
+    within = (length > 0) if max_length is None else length.between(1, max_length)
     return (
-        report.filter((length > 0) & (length <= _LONGEST))
+        report.filter(within)
         .groupBy(length_bucket(length).alias("length_bucket"))
         .agg(
             F.count(F.lit(1)).alias("n_sessions"),

@@ -4,9 +4,10 @@ Events are (user_id, item_id, timestamp, *tie columns). Timestamps are integers;
 given in the same unit. Spark keeps no input order, so equal timestamps are ordered by the
 tie columns, which should make the order of a user's events total.
 
-All window work happens per timeline: a user, or, for a user with a large share of all
-events, one of several slices of that user's time range. Slices are numbered on their own
-and stitched together through a small table of what crosses their borders.
+The log is evaluated once, into a stage table; everything else reads that. All window work
+happens per timeline: a user, or, for a user with more rows than a task should sort, one of
+several slices of that user's events in order. Slices are numbered on their own and stitched
+together through a small table of what crosses their borders.
 """
 
 from collections import namedtuple
@@ -16,13 +17,12 @@ from pyspark.sql import functions as F
 
 from sessionrank import schemas
 from sessionrank.functions.numbering import exclusive_prefix
-from sessionrank.functions.skew import HOT_ROWS, hot_keys
+from sessionrank.functions.skew import BROADCAST_ROWS, HOT_ROWS, hot_keys
 from sessionrank.functions.staging import materialize
 
-# Resolution of the time quantiles at which a hot user's range is cut.
-_GRID = 1000
-
-Timelines = namedtuple("Timelines", "events keys shifts edges low high")
+# The parts of a log: `plain` users, and the events of hot users (None without any) in `slices` of their order.
+_Parts = namedtuple("_Parts", "plain slices n_slices")
+_SLICED = ("user_id", "slice")
 
 
 # --- numbering inside a timeline ------------------------------------------------------
@@ -61,34 +61,41 @@ def _number_rows(local, tie_cols, keys):
 # --- slices of hot users --------------------------------------------------------------
 
 
-def _cut_points(events, hot):
-    """Rows (user_id, cuts): times at which each hot user's range is cut, ascending."""
-    spark = events.sparkSession
-    users = spark.createDataFrame([(u,) for u in hot], "user_id bigint")
-    grid = [i / _GRID for i in range(1, _GRID)]
-    quantiles = (
-        events.join(F.broadcast(users), "user_id")
-        .groupBy("user_id")
-        .agg(F.percentile_approx("timestamp", grid, 10 * _GRID).alias("grid"))
-        .collect()
+def _parts(events, tie_cols, hot_rows):
+    """Writes the log once and splits it: users a task can sort, and slices of the others.
+
+    Hot users' events are dealt out by ranges of (user, timestamp, *ties), a range for every
+    `hot_rows` rows, so that equal timestamps are split too; a range is a slice.
+    """
+    log = materialize(events, "events")
+    hot = hot_keys(log, "user_id", hot_rows)
+    if hot is None:
+        return _Parts(log, None, 0)
+    n_slices = hot.table.agg(F.sum("parts")).first()[0]
+    users = hot.hinted()
+    sliced = (
+        log.join(users.select("user_id"), "user_id", "left_semi")
+        .repartitionByRange(int(n_slices), "user_id", "timestamp", *tie_cols)
+        .withColumn("slice", F.spark_partition_id())
     )
-    cuts = []
-    for row in quantiles:
-        parts = min(hot[row["user_id"]], _GRID)
-        picked = {row["grid"][i * _GRID // parts - 1] for i in range(1, parts)}
-        cuts.append((row["user_id"], sorted(picked)))
-    return spark.createDataFrame(cuts, "user_id bigint, cuts array<bigint>")
+    plain = log.join(users.select("user_id"), "user_id", "left_anti")
+    return _Parts(plain, materialize(sliced, "slices"), int(n_slices))
+
+
+def _small(table, n_slices):
+    """A table of a few rows per slice, broadcast unless there are very many slices."""
+    return F.broadcast(table) if n_slices <= BROADCAST_ROWS // 2 else table
 
 
-def _slice_borders(events, gap):
-    """What crosses the borders of the hot users' slices.
+def _slice_borders(numbered, gap):
+    """What crosses the borders of the slices.
 
     Returns two small tables. shifts (user_id, slice, shift, closed): what to add to a slice's
     session numbers to get the user's, and when the slice before ended. edges (user_id, slice, local_session_id, before, total): for
     the first and last session of a slice, its rows in earlier slices and in all slices.
     """
-    keys = ("user_id", "slice")
-    pieces = _number_sessions(events, gap, (), keys).groupBy(*keys, "local_session_id").agg(
+    keys = _SLICED
+    pieces = numbered.groupBy(*keys, "local_session_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("timestamp").alias("opens"),
         F.max("timestamp").alias("closes"),
@@ -132,40 +139,25 @@ def _slice_borders(events, gap):
     return shifted.select(*keys, "shift", "closed"), edges
 
 
-def _timelines(events, gap, hot_rows):
-    """Splits the events into timelines: per user, or per slice where a user is hot."""
-    total, low, high = events.agg(
-        F.count(F.lit(1)), F.coalesce(F.min("user_id"), F.lit(0)),
-        F.coalesce(F.max("user_id"), F.lit(0)),
-    ).first()
-    hot = hot_keys(events, "user_id", hot_rows, total)
-    if not hot:
-        return Timelines(events, ("user_id",), None, None, low, high)
-    cuts = F.broadcast(_cut_points(events.select("user_id", "timestamp"), hot))
-    number = F.size(F.filter("cuts", lambda cut: cut <= F.col("timestamp")))
-    sliced = (
-        events.join(cuts, "user_id", "left")
-        .withColumn("slice", F.when(F.col("cuts").isNull(), 0).otherwise(number))
-    )
-    crossing = sliced.filter(F.col("cuts").isNotNull()).select("user_id", "slice", "timestamp")
-    shifts, edges = _slice_borders(crossing, gap)
-    return Timelines(sliced.drop("cuts"), ("user_id", "slice"), shifts, edges, low, high)
+def _numbered_slices(parts, gap, tie_cols, keep):
+    """The hot users' rows with numbers within the user, and in `slice` where they were numbered.
 
-
-def _stitch(rows, lines):
-    """Turns numbers within slices into numbers within the user, where slices exist."""
-    if lines.edges is None:
-        return rows
-    keys = list(lines.keys)
+    `keep` names further columns to keep. Slices are numbered once, written, and stitched.
+    """
+    local = _number_rows(_number_sessions(parts.slices, gap, tie_cols, _SLICED), tie_cols, _SLICED)
+    rows = materialize(local.select(
+        *_SLICED, "timestamp", *keep, "delta", "local_session_id", "row", "n_rows"
+    ), "numbered-slices")
+    shifts, edges = _slice_borders(rows, gap)
     stitched = {
         "delta": F.coalesce("delta", F.col("timestamp") - F.col("closed")),
         "row": F.col("row") + F.coalesce("before", F.lit(0)),
         "n_rows": F.coalesce("total", "n_rows"),
         "local_session_id": F.col("local_session_id") + F.coalesce("shift", F.lit(0)),
     }
-    joined = rows.join(F.broadcast(lines.edges), [*keys, "local_session_id"], "left").join(
-        F.broadcast(lines.shifts), keys, "left"
-    )
+    joined = rows.join(
+        _small(edges, parts.n_slices), [*_SLICED, "local_session_id"], "left"
+    ).join(_small(shifts, parts.n_slices), [*_SLICED], "left")
     return joined.select(*(
         stitched[c].alias(c) if c in stitched else F.col(c) for c in rows.columns
     ))
@@ -175,9 +167,13 @@ def _stitch(rows, lines):
 
 
 def _numbered(events, gap, tie_cols, hot_rows):
-    lines = _timelines(events, gap, hot_rows)
-    local = _number_sessions(lines.events, gap, tie_cols, lines.keys)
-    return _stitch(_number_rows(local, tie_cols, lines.keys), lines).drop("slice")
+    parts = _parts(events, tie_cols, hot_rows)
+    keys = ("user_id",)
+    rows = _number_rows(_number_sessions(parts.plain, gap, tie_cols, keys), tie_cols, keys)
+    if parts.slices is None:
+        return rows
+    others = [c for c in events.columns if c not in ("user_id", "timestamp")]
+    return rows.unionByName(_numbered_slices(parts, gap, tie_cols, others).drop("slice"))
 
 
 def event_gaps(events, tie_cols=(), hot_rows=HOT_ROWS):
@@ -199,36 +195,25 @@ def sessions_of_min_length(events, gap, min_length, tie_cols=(), hot_rows=HOT_RO
 # --- sessions -------------------------------------------------------------------------
 
 
-def _kept_per_timeline(lines, gap, min_length):
-    """Rows (*keys, n_sessions): sessions of sufficient length that start in a timeline."""
-    keys = list(lines.keys)
-    pieces = (
-        _number_sessions(lines.events.select(*keys, "timestamp"), gap, (), keys)
-        .groupBy(*keys, "local_session_id")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .withColumn("row", F.lit(0).cast("bigint"))
+def _kept_rows(rows, keys, min_length, max_length, order):
+    """Rows (*keys, item_id, timestamp, started, position, n_items) of the sessions that are kept.
+
+    `started` counts the kept sessions that have begun in the timeline so far. Sorted as the
+    rows already are, so the running count costs no further sort.
+    """
+    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    kept = _stitch(pieces, lines).filter(F.col("n_rows") >= min_length)
-    starts = F.sum((F.col("row") == 0).cast("bigint"))
-    return kept.groupBy(*keys).agg(starts.alias("n_sessions"))
-
-
-def _first_ids(kept, lines):
-    """The users with sessions, and rows (*keys, first_id): kept sessions before each timeline."""
-    keys = list(lines.keys)
-    kept = materialize(kept, "session-counts")
-    per_user = kept
-    if len(keys) > 1:
-        per_user = kept.groupBy("user_id").agg(F.sum("n_sessions").alias("n_sessions"))
-    users = exclusive_prefix(per_user, "user_id", "n_sessions", lines.low, lines.high)
-    if len(keys) == 1:
-        return per_user.select("user_id"), users.withColumnRenamed("prefix", "first_id")
-    earlier = Window.partitionBy("user_id").orderBy("slice").rowsBetween(
-        Window.unboundedPreceding, -1
+    kept = rows.filter(F.col("n_rows") >= min_length).withColumn(
+        "started", F.sum((F.col("row") == 0).cast("bigint")).over(so_far)
     )
-    inside = kept.withColumn("inside", F.coalesce(F.sum("n_sessions").over(earlier), F.lit(0)))
-    return per_user.select("user_id"), inside.join(users, "user_id").select(
-        *keys, (F.col("prefix") + F.col("inside")).alias("first_id")
+    size, position = F.col("n_rows"), F.col("row")
+    if max_length is not None:
+        kept = kept.filter(F.col("n_rows") - F.col("row") <= max_length)
+        size = F.least("n_rows", F.lit(max_length).cast("bigint"))
+        position = F.col("row") - (F.col("n_rows") - size)
+    return kept.select(
+        *keys, "item_id", "timestamp", "started", position.cast("int").alias("position"), size.alias("n_items")
     )
 
 
@@ -245,7 +230,8 @@ def build_sessions(
 
     Sessions shorter than `min_length` are dropped, then the last `max_length` rows of each
     are kept (None keeps all). `session_id` counts from 0 in (user, time) order without
-    holes. `keep_size` adds `n_items`, the rows of the session.
+    holes. `keep_size` adds `n_items`, the rows of the session. `hot_rows` is the number of
+    rows of one user that a task may sort.
     """
     sessions, _ = sessions_and_users(
         events, gap, min_length, max_length, tie_cols, keep_size, hot_rows
@@ -263,47 +249,61 @@ def sessions_and_users(
     hot_rows=HOT_ROWS,
 ):
     """`build_sessions`, and the table of the users that have a session."""
-    lines = _timelines(
-        events.select("user_id", "item_id", "timestamp", *tie_cols), gap, hot_rows
-    )
-    keys = list(lines.keys)
-    users, first_ids = _first_ids(_kept_per_timeline(lines, gap, min_length), lines)
-
-    local = _number_sessions(lines.events, gap, tie_cols, keys)
-    rows = _stitch(_number_rows(local, tie_cols, keys), lines)
-    rows = rows.filter(F.col("n_rows") >= min_length)
-    # Sorted as the rows already are, so the running count costs no further sort.
-    so_far = Window.partitionBy(*keys).orderBy(
-        "local_session_id", "timestamp", *tie_cols
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    started = F.sum((F.col("row") == 0).cast("bigint")).over(so_far)
-    rows = rows.withColumn("started", started)
+    parts = _parts(events.select("user_id", "item_id", "timestamp", *tie_cols), tie_cols, hot_rows)
+    keys = ("user_id",)
+    local = _number_rows(_number_sessions(parts.plain, gap, tie_cols, keys), tie_cols, keys)
+    order = ("local_session_id", "timestamp", *tie_cols)
+    rows = materialize(_kept_rows(local, keys, min_length, max_length, order), "kept-rows")
+    # The last row of a session is always kept, so a user's highest running count is the number of sessions.
+    counts = rows.groupBy("user_id").agg(F.max("started").alias("n_sessions"))
+    if parts.slices is not None:
+        # Rows of a slice are ordered by what numbers them, as the ties are gone.
+        whole = _numbered_slices(parts, gap, tie_cols, ["item_id"])
+        sliced = materialize(
+            _kept_rows(whole, _SLICED, min_length, max_length, ("local_session_id", "row")), "kept-slices"
+        )
+        begins = (F.col("row") == 0) & (F.col("n_rows") >= min_length)
+        per_slice = materialize(
+            whole.groupBy(*_SLICED).agg(F.sum(begins.cast("bigint")).alias("n_sessions")), "slice-counts"
+        )
+        counts = counts.unionByName(per_slice.groupBy("user_id").agg(F.sum("n_sessions").alias("n_sessions")))
+    counts = materialize(counts.filter("n_sessions > 0"), "session-counts")
+    low, high = counts.agg(*(F.coalesce(f("user_id"), F.lit(0)) for f in (F.min, F.max))).first()
+    first = exclusive_prefix(counts, "user_id", "n_sessions", low, high).withColumnRenamed("prefix", "first_id")
 
-    size, position = F.col("n_rows"), F.col("row")
-    if max_length is not None:
-        rows = rows.filter(F.col("n_rows") - F.col("row") <= max_length)
-        size = F.least("n_rows", F.lit(max_length).cast("bigint"))
-        position = F.col("row") - (F.col("n_rows") - size)
     columns = [
         F.col("user_id"),
         (F.col("first_id") + F.col("started") - 1).alias("session_id"),
         F.col("item_id"),
         F.col("timestamp"),
-        position.cast("int").alias("position"),
+        F.col("position"),
+        *([F.col("n_items")] if keep_size else []),
     ]
-    if keep_size:
-        columns.append(size.alias("n_items"))
-    return rows.join(first_ids, keys).select(*columns), users
+    sessions = rows.join(first, "user_id").select(*columns)
+    if parts.slices is not None:
+        earlier = Window.partitionBy("user_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        starts = per_slice.withColumn(
+            "inside", F.coalesce(F.sum("n_sessions").over(earlier), F.lit(0))
+        ).join(first, "user_id").select(*_SLICED, (F.col("first_id") + F.col("inside")).alias("first_id"))
+        sessions = sessions.unionByName(
+            sliced.join(_small(starts, parts.n_slices), [*_SLICED]).select(*columns)
+        )
+    return sessions, counts.select("user_id")
 
 
 def session_summary(sessions):
     """One row: number of sessions and of users."""
-    return sessions.agg(
-        F.countDistinct("session_id").alias("n_sessions"),
-        F.countDistinct("user_id").alias("n_users"),
+    # Each session has one row at its first position, so users are the groups of those rows.
+    return _per_user(sessions).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_sessions"), F.count(F.lit(1)).alias("n_users")
     )
 
 
+def _per_user(sessions, *by):
+    """Rows (*by, user_id, n): sessions of each user."""
+    return sessions.filter("position = 0").groupBy(*by, "user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- split ----------------------------------------------------------------------------
 
 
@@ -366,9 +366,8 @@ def split_sessions(sessions, *fractions_and_seed, users=None, **options):
 
 def split_summary(split):
     """Rows (split, n_users, n_sessions)."""
-    return split.groupBy("split").agg(
-        F.countDistinct("user_id").alias("n_users"),
-        F.countDistinct("session_id").alias("n_sessions"),
+    return _per_user(split, "split").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_users"), F.sum("n").alias("n_sessions")
     )
 
 

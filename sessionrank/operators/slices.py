@@ -6,7 +6,8 @@ from sessionrank import schemas
 from sessionrank.functions.numbering import count_quantiles
 from sessionrank.functions.skew import hot_keys, salted_join, HOT_ROWS
 from sessionrank.operators.features import above_quantile, session_lengths
-from sessionrank.operators.metrics import combine_systems, hit_metrics, metric_names, to_long
+from sessionrank.operators.metrics import hit_metrics, metric_names, to_long
+from sessionrank.operators.popularity import fit_popularity
 
 
 def _pairs(targets):
@@ -26,9 +27,12 @@ def tag_session_length(targets, context):
     return targets.join(lengths, "session_id", "left")
 
 
-def tag_item_popularity(targets, train, hot_rows=HOT_ROWS):
-    """Adds the slice `item_popularity`: head or tail by count in train, unseen is tail."""
-    counts = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+def tag_item_popularity(targets, train, hot_rows=HOT_ROWS, item_counts=None):
+    """Adds the slice `item_popularity`: head or tail by count in train, unseen is tail.
+
+    `item_counts` (item_id, n) spares counting the items of train.
+    """
+    counts = fit_popularity(train) if item_counts is None else item_counts
     heads = above_quantile(counts, "n", schemas.HEAD_QUANTILE, "is_head").filter(
         "is_head = 1"
     ).select(F.col("item_id").alias("target_item_id"), F.lit("head").alias("item_popularity"))
@@ -52,25 +56,21 @@ def tag_user_density(targets, train, hot_rows=HOT_ROWS):
 
 
 def _sliced(tagged, slices, systems, targets, k_values):
-    """Mean metrics per system and slice: one pass over (session, system)."""
+    """Mean metrics per system and slice: sessions are counted once per slice, and only hits are summed."""
     names = metric_names(k_values)
-    metrics = hit_metrics(combine_systems(systems), targets, k_values)
     tags = F.array(*(
         F.struct(F.lit(s).alias("slice_type"), F.col(s).alias("slice_value")) for s in slices
     ))
-    every = tagged.select(
-        "session_id", tags.alias("tags"),
-        F.explode(F.array(*map(F.lit, systems))).alias("system"),
-    )
-    means = (
-        every.join(metrics, ["session_id", "system"], "left")
-        .select("system", F.inline("tags"), *names)
-        .filter(F.col("slice_value").isNotNull())
-        .groupBy("slice_type", "slice_value", "system")
-        .agg(
-            F.count(F.lit(1)).alias("n_sessions"),
-            *(F.avg(F.coalesce(F.col(n), F.lit(0.0))).alias(n) for n in names),
-        )
+    tagged = tagged.select("session_id", F.inline(tags)).filter(F.col("slice_value").isNotNull())
+    every = tagged.groupBy("slice_type", "slice_value").agg(
+        F.count(F.lit(1)).alias("n_sessions")
+    ).withColumn("system", F.explode(F.array(*map(F.lit, systems))))
+    sums = tagged.join(hit_metrics(systems, targets, k_values), "session_id").groupBy(
+        "slice_type", "slice_value", "system"
+    ).agg(*(F.sum(n).alias(n) for n in names))
+    means = every.join(sums, ["slice_type", "slice_value", "system"], "left").select(
+        "slice_type", "slice_value", "n_sessions", "system",
+        *((F.coalesce(F.col(n), F.lit(0.0)) / F.col("n_sessions")).alias(n) for n in names),
     )
     keys = ["slice_type", "slice_value", "n_sessions", "system"]
     return to_long(means, keys, names).select(
@@ -96,10 +96,10 @@ def slice_by_user_density(train, targets, recs, k_values=schemas.K_VALUES):
     return _sliced(tagged, ["user_density"], {"": recs}, targets, k_values).drop("system")
 
 
-def compare_slices(context, targets, train, systems, k_values=schemas.K_VALUES):
+def compare_slices(context, targets, train, systems, k_values=schemas.K_VALUES, item_counts=None):
     """All slices of several systems: (slice_type, slice_value, n_sessions, metric, value, system)."""
     tagged = tag_session_length(_pairs(targets), context)
-    tagged = tag_user_density(tag_item_popularity(tagged, train), train)
+    tagged = tag_user_density(tag_item_popularity(tagged, train, item_counts=item_counts), train)
     slices = ["session_length", "item_popularity", "user_density"]
     return _sliced(tagged, slices, systems, targets, k_values)
 

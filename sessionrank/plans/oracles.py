@@ -282,6 +282,12 @@ _ORDERED = [
     "precision@10", "precision@20", "recall@5", "recall@10", "recall@20",
 ]
 _SYSTEMS = ["popularity", "cooccurrence", "cooc+ranker"]
+# The ranker's features in order.
+_FEATURES = [
+    "session_length", "item_global_count", "item_global_rank", "item_unique_users", "item_unique_sessions",
+    "item_is_head", "user_total_interactions", "user_total_sessions", "user_mean_session_length", "user_is_dense",
+    "cooc_score_last_item", *(f"genre_{g}" for g in _GENRES),
+]
 # Every item of a session, context or target, as relevant.
 _WHOLE_SESSION = """
   SELECT session_id, item_id FROM ctx UNION SELECT session_id, target_item_id FROM tgt"""
@@ -335,6 +341,12 @@ def oracles():
         "q_build_sessions": _sql(f"SELECT {_SESSION_COLUMNS} FROM sess", ["sess"]),
         "q_build_sessions_sparse": _sql(
             f"SELECT {_SESSION_COLUMNS} FROM sess", ["sess"], "sparse"),
+        "q_event_gaps_sliced": _sql(
+            'SELECT event_id, user_id, item_id, "timestamp", delta FROM '
+            '(SELECT tie AS event_id, * FROM gaps)', ["gaps"]),
+        "q_build_sessions_sliced": _sql(f"SELECT {_SESSION_COLUMNS} FROM sess", ["sess"]),
+        "q_build_sessions_sparse_sliced": _sql(
+            f"SELECT {_SESSION_COLUMNS} FROM sess", ["sess"], "sparse"),
         "q_session_summary": _sql(
             "SELECT count(DISTINCT session_id) AS n_sessions, count(DISTINCT user_id) AS n_users "
             "FROM sess", ["sess"]),
@@ -391,6 +403,10 @@ def oracles():
         "q_cooc_recs_top10": _sql("SELECT * FROM cooc_recs WHERE rank <= 10", ["cooc_recs"]),
         "q_cooc_recs_sparse": _sql(
             "SELECT * FROM cooc_recs WHERE rank <= 10", ["cooc_recs"], "sparse"),
+        "q_cooc_recs_heads": _sql("SELECT * FROM cooc_recs", ["cooc_recs"]),
+        "q_cooc_recs_sparse_heads": _sql(
+            "SELECT * FROM cooc_recs WHERE rank <= 10", ["cooc_recs"], "sparse"),
+        "q_cooc_scores_salted": _sql("SELECT * FROM scores", ["scores"]),
         "q_cooc_summary": _sql(
             "SELECT (SELECT count(DISTINCT item_id) FROM train) AS n_items, "
             "count(*) AS n_pairs FROM cooc", ["cooc", "train"], "sparse"),
@@ -401,8 +417,23 @@ def oracles():
             "GROUP BY session_id, dim", ["ctx_all"]),
         "q_embedding_recs": _sql(_embedding(0), ["ctx_all"]),
         "q_embedding_recs_unknown": _sql(_embedding(440), ["ctx_all"]),
+        "q_embedding_recs_blocks": _sql(_embedding(0), ["ctx_all"]),
+        "q_als_facts": _sql("""
+SELECT session_id, n AS n_items, n AS n_different, n AS last_rank, CAST(0 AS BIGINT) AS n_seen
+FROM (SELECT c.session_id, least(10, max(k.n) - count(DISTINCT CASE WHEN known THEN c.item_id END)) AS n
+      FROM (SELECT *, item_id IN (SELECT item_id FROM train) AS known FROM ctx) c,
+           (SELECT count(DISTINCT item_id) AS n FROM train) k
+      GROUP BY c.session_id HAVING bool_or(known)) WHERE n > 0""", ["ctx", "train"]),
         # ranking
         "q_rerank": _sql("SELECT * FROM ranked", ["ranked"]),
+        "q_ranker_features": "SELECT CAST(place AS INTEGER) AS place, feature FROM (VALUES "
+            + ", ".join(f"({i}, '{n}')" for i, n in enumerate(_FEATURES)) + ") t(place, feature)",
+        "q_ranker_facts": _sql(
+            "SELECT fact, n AS value FROM (SELECT count(*) AS n FROM cooc_recs), (SELECT unnest("
+            "['scored rows', 'scores in range', 'scores kept']) AS fact) "
+            "UNION ALL SELECT 'feature ' || f, 1 FROM (SELECT unnest(["
+            + ", ".join(f"'{n}'" for n in _FEATURES) + "]) AS f) "
+            "UNION ALL SELECT 'importance, thousandths', 1000 UNION ALL SELECT 'top features', 15", ["cooc_recs"]),
         "q_two_stage": _sql(
             "SELECT metric, value FROM means WHERE system = 'cooc+ranker'", ["means"], **three),
         # evaluation
@@ -422,6 +453,7 @@ def oracles():
         "q_evaluate": _sql(
             "SELECT metric, value FROM means WHERE system = 'cooccurrence'", ["means"], **three),
         "q_compare_systems": _sql("SELECT * FROM means", ["means"], **three),
+        "q_stages_reloaded": _sql("SELECT * FROM means", ["means"], **three),
         "q_compare_systems_sparse": _sql("SELECT * FROM means", ["means"], "sparse", **three),
         "q_evaluate_retrieval": _sql(
             "SELECT system AS retriever, metric, value FROM means", ["means"], recs="two"),

@@ -1,5 +1,6 @@
 """The registered queries: every operator on the benchmark tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sessionrank import schemas
@@ -8,24 +9,21 @@ from sessionrank.operators import (
     cooccurrence, errors, factors, features, metrics, popularity, ranking, reports, sessions,
     slices,
 )
-from sessionrank.plans.stages import prepare
+from sessionrank.plans import stages
 from sessionrank.sources import files, fixtures
 
 _QUERIES = {}
 
-# Weights of the linear score that stands in for the trees where a query is
-# compared with SQL.
+# A limit of rows per task that the users of the small tables exceed, and weights of the linear score
+# that stands in for the trees where a query is compared with SQL.
+HOT_SLICE = 16
 LINEAR_WEIGHTS = {
     "cooc_score_last_item": 3.0, "item_global_count": 0.5, "item_global_rank": -0.25,
 }
 
 
 def _query(function):
-    def run(spark, folder):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return function(spark, folder)
-
-    _QUERIES[f"q_{function.__name__}"] = run
+    _QUERIES[f"q_{function.__name__}"] = function
     return function
 
 
@@ -36,7 +34,7 @@ def registered():
 
 def _prepared(spark, folder, log=fixtures.dense_log):
     events, gap, ties = log(spark, folder)
-    return prepare(events, gap, tie_cols=ties)
+    return stages.prepare(events, gap, tie_cols=ties)
 
 
 def _sessions(spark, folder, log=fixtures.dense_log, **options):
@@ -59,6 +57,13 @@ def event_gaps(spark, folder):
     return sessions.event_gaps(events, ties)
 
 
+@_query
+def event_gaps_sliced(spark, folder):
+    # Few rows to a task, so that users are numbered in slices and stitched.
+    events, _, ties = fixtures.dense_log(spark, folder)
+    return sessions.event_gaps(events, ties, hot_rows=HOT_SLICE)
+
+
 @_query
 def local_sessions(spark, folder):
     events, gap, ties = fixtures.dense_log(spark, folder)
@@ -93,6 +98,16 @@ def build_sessions_sparse(spark, folder):
     return _sessions(spark, folder, fixtures.sparse_log)
 
 
+@_query
+def build_sessions_sliced(spark, folder):
+    return _sessions(spark, folder, hot_rows=HOT_SLICE)
+
+
+@_query
+def build_sessions_sparse_sliced(spark, folder):
+    return _sessions(spark, folder, fixtures.sparse_log, hot_rows=HOT_SLICE)
+
+
 @_query
 def session_summary(spark, folder):
     return sessions.session_summary(_sessions(spark, folder))
@@ -131,15 +146,6 @@ def _train(spark, folder, log=fixtures.dense_log):
     return _prepared(spark, folder, log).sessions("train")
 
 
-def _features(spark, folder, data, genres=None):
-    """Item and user features of the training sessions."""
-    train = data.sessions("train")
-    return (
-        features.item_features(train, fixtures.items(spark, folder), genres),
-        features.user_features(train),
-    )
-
-
 @_query
 def item_counts(spark, folder):
     return features.item_counts(_train(spark, folder, fixtures.sparse_log))
@@ -187,7 +193,11 @@ def session_context(spark, folder):
 
 def _matrix(spark, folder, split="test"):
     data = _prepared(spark, folder)
-    return data.matrix(split, *_features(spark, folder, data), data.candidates(split))
+    # Text columns of the items are no features.
+    items = fixtures.items(spark, folder)
+    feats = stages.fit_features(data, items)
+    texts = feats.items.join(items.select("item_id", "title", "genre_list"), "item_id", "left")
+    return data.matrix(split, texts, feats.users, data.candidates(split))
 
 
 @_query
@@ -197,7 +207,7 @@ def cooc_feature(spark, folder):
     candidates = data.neighbours("test", schemas.RETRIEVAL_K).drop("cooc_score_last_item")
     matrix = features.ranking_features(
         candidates, data.context("test"), data.targets("test"),
-        *_features(spark, folder, data, genres=[]), cooc=data.edges,
+        *stages.fit_features(data, fixtures.items(spark, folder), genres=[]), cooc=data.edges,
     )
     return matrix.select("session_id", "candidate_item_id", "cooc_score_last_item")
 
@@ -276,6 +286,25 @@ def cooc_recs_sparse(spark, folder):
     return _neighbours(spark, folder, schemas.RANKING_K, fixtures.sparse_log)
 
 
+@_query
+def cooc_recs_heads(spark, folder):
+    # Few edges to a list, so that not all sessions are settled by the lists.
+    recs = _prepared(spark, folder).neighbours("test", schemas.RETRIEVAL_K, head=8)
+    return recs.drop("cooc_score_last_item")
+
+
+@_query
+def cooc_recs_sparse_heads(spark, folder):
+    recs = _prepared(spark, folder, fixtures.sparse_log).neighbours("test", schemas.RANKING_K, head=2)
+    return recs.drop("cooc_score_last_item")
+
+
+@_query
+def cooc_scores_salted(spark, folder):
+    data = _prepared(spark, folder)
+    return cooccurrence.cooccurrence_scores(data.edges, data.context("test"), hot_rows=HOT_SLICE)
+
+
 @_query
 def cooc_summary(spark, folder):
     data = _prepared(spark, folder, fixtures.sparse_log)
@@ -304,6 +333,13 @@ def embedding_recs(spark, folder):
     )
 
 
+@_query
+def embedding_recs_blocks(spark, folder):
+    return factors.retrieve_by_factors(
+        fixtures.item_vectors(spark, folder), _whole_context(spark, folder), 20, block_numbers=20_000
+    )
+
+
 @_query
 def embedding_recs_unknown(spark, folder):
     # Item ids moved so that part of them has no vector.
@@ -312,85 +348,112 @@ def embedding_recs_unknown(spark, folder):
     )
 
 
-@_query
-def als_recs(spark, folder):
+def _als_recs(spark, folder):
     data = _prepared(spark, folder)
     model = materialize(factors.fit_factors(data.sessions("train")), "factors")
-    return factors.retrieve_by_factors(model, data.context("test"), schemas.RANKING_K)
+    return data, factors.retrieve_by_factors(model, data.context("test"), schemas.RANKING_K)
 
 
-# --- ranking --------------------------------------------------------------------------
+@_query
+def als_recs(spark, folder):
+    return _als_recs(spark, folder)[1]
 
 
-def _linear_ranks(data, spark, folder, candidates):
-    # The linear score uses no genre, so none is collected.
-    matrix = data.matrix("test", *_features(spark, folder, data, genres=[]), candidates)
-    return ranking.rerank(
-        ranking.linear_score(matrix, LINEAR_WEIGHTS), schemas.RANKING_K
+@_query
+def als_facts(spark, folder):
+    # What must hold for the lists of any factorization.
+    data, recs = _als_recs(spark, folder)
+    seen = data.context("test").select("session_id", "item_id").distinct().withColumn("seen", F.lit(True))
+    return recs.join(seen, ["session_id", "item_id"], "left").groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.countDistinct("item_id").alias("n_different"),
+        F.max("rank").cast("bigint").alias("last_rank"), F.count("seen").alias("n_seen"),
     )
 
 
+# --- ranking --------------------------------------------------------------------------
+
+
+def _linear(matrix):
+    return ranking.linear_score(matrix, LINEAR_WEIGHTS)
+
+
 def _three_systems(spark, folder, log=fixtures.dense_log):
+    # The linear score uses no genre, so none is collected.
     data = _prepared(spark, folder, log)
-    candidates = data.candidates("test")
-    return data, {
-        "popularity": data.popular("test", schemas.RANKING_K),
-        "cooccurrence": candidates.filter(F.col("rank") <= schemas.RANKING_K),
-        "cooc+ranker": _linear_ranks(data, spark, folder, candidates),
-    }
+    feats = stages.fit_features(data, fixtures.items(spark, folder), genres=[])
+    return data, stages.recommend(data, feats, _linear)
 
 
 @_query
 def rerank(spark, folder):
-    data = _prepared(spark, folder)
-    return _linear_ranks(data, spark, folder, data.candidates("test"))
+    return _three_systems(spark, folder)[1][stages.RANKER]
 
 
 @_query
 def two_stage(spark, folder):
-    data = _prepared(spark, folder)
-    recs = _linear_ranks(data, spark, folder, data.candidates("test"))
-    return metrics.evaluate(recs, data.targets("test"))
+    data, systems = _three_systems(spark, folder)
+    return metrics.evaluate(systems[stages.RANKER], data.targets("test"))
 
 
 def _fitted_ranker(spark, folder, **params):
     data = _prepared(spark, folder)
-    train = data.sessions("train")
-    items = materialize(features.item_features(train, fixtures.items(spark, folder)), "items")
-    users = materialize(features.user_features(train), "users")
-    fitted_on = [
-        materialize(data.matrix(part, items, users, data.candidates(part)), f"{part}-matrix")
-        for part in ("train", "val")
-    ]
-    model = ranking.fit_ranker(*fitted_on, **params)
-    return model, data, data.matrix("test", items, users, data.candidates("test"))
+    feats = stages.fit_features(data, fixtures.items(spark, folder))
+    model = stages.train(data, feats, **params)
+    return model, data, data.matrix("test", *feats, data.candidates("test"))
 
 
 @_query
 def gbt_scores(spark, folder):
-    model, _, matrix = _fitted_ranker(spark, folder, max_iter=10)
+    model, _, matrix = _fitted_ranker(spark, folder)
     return ranking.predict(model, matrix).select("session_id", "candidate_item_id", "score")
 
 
 @_query
 def gbt_two_stage(spark, folder):
-    model, data, matrix = _fitted_ranker(spark, folder, max_iter=10)
+    model, data, matrix = _fitted_ranker(spark, folder)
     recs = ranking.rerank(ranking.predict(model, matrix), schemas.RANKING_K)
     return metrics.evaluate(recs, data.targets("test"))
 
 
 @_query
 def gbt_importance(spark, folder):
-    model, _, _ = _fitted_ranker(spark, folder, max_iter=10)
+    model, _, _ = _fitted_ranker(spark, folder)
     return ranking.feature_importance(spark, model)
 
 
 @_query
 def top_features(spark, folder):
-    model, _, _ = _fitted_ranker(spark, folder, max_iter=10)
+    model, _, _ = _fitted_ranker(spark, folder)
     return reports.top_features(ranking.feature_importance(spark, model), 15)
 
 
+@_query
+def ranker_facts(spark, folder):
+    """What must hold for any fitted ranker: rows scored, scores in range and kept by saving, names, importances."""
+    model, _, matrix = _fitted_ranker(spark, folder)
+    path = stage_path(spark, "ranker")
+    ranking.save_ranker(model, path)
+    scored = materialize(ranking.predict(model, materialize(matrix, "tested")), "scored")
+    again = ranking.predict(ranking.load_ranker(path), scored.withColumnRenamed("score", "first_score"))
+    facts = again.agg(
+        F.count(F.lit(1)).alias("scored rows"),
+        F.count_if(F.col("score").between(0, 1)).alias("scores in range"),
+        F.count_if(F.col("score") == F.col("first_score")).alias("scores kept"),
+    ).unpivot([], ["scored rows", "scores in range", "scores kept"], "fact", "value")
+    importance = ranking.feature_importance(spark, model)
+    top = reports.top_features(importance, 15)
+    return facts.unionByName(importance.select(
+        F.concat(F.lit("feature "), "feature").alias("fact"), F.count_if(F.col("importance") >= 0).over(Window.partitionBy("feature")).alias("value")
+    )).unionByName(importance.agg(F.round(1000 * F.sum("importance")).cast("bigint").alias("value")).withColumn("fact", F.lit("importance, thousandths"))
+    ).unionByName(top.agg(F.count(F.lit(1)).alias("value")).withColumn("fact", F.lit("top features")))
+
+
+@_query
+def ranker_features(spark, folder):
+    names = ranking.feature_columns(_matrix(spark, folder))
+    return spark.createDataFrame(list(enumerate(names)), "place int, feature string")
+
+
 # --- evaluation -----------------------------------------------------------------------
 
 
@@ -439,7 +502,7 @@ def multi_target_metrics(spark, folder):
     # Every item of a session counts as relevant.
     data = _prepared(spark, folder)
     every = data.sessions("test").select("session_id", F.col("item_id").alias("target_item_id"))
-    per_session = metrics.session_metrics(data.popular("test", schemas.RETRIEVAL_K), every)
+    per_session = metrics.session_metrics(data.popular_list(schemas.RETRIEVAL_K), every)
     return _plain_columns(per_session, ("recall", "precision", "map", "ndcg", "mrr"))
 
 
@@ -465,21 +528,23 @@ def compare_systems(spark, folder):
 
 
 @_query
-def compare_systems_sparse(spark, folder):
-    return _compared(spark, folder, fixtures.sparse_log)
+def stages_reloaded(spark, folder):
+    # Prepared sessions are kept, read back by another run and evaluated there.
+    path = stage_path(spark, "run")
+    stages.save(_prepared(spark, folder), path)
+    data = stages.load_prepared(spark, path)
+    feats = stages.fit_features(data, fixtures.items(spark, folder), genres=[])
+    return stages.evaluate(data, stages.recommend(data, feats, _linear))["final_eval"]
 
 
-def _two_systems(data):
-    return {
-        "popularity": data.popular("test", schemas.RETRIEVAL_K),
-        "cooccurrence": data.neighbours("test", schemas.RETRIEVAL_K),
-    }
+@_query
+def compare_systems_sparse(spark, folder):
+    return _compared(spark, folder, fixtures.sparse_log)
 
 
 @_query
 def evaluate_retrieval(spark, folder):
-    data = _prepared(spark, folder)
-    return metrics.compare_systems(_two_systems(data), data.targets("test"), column="retriever")
+    return stages.evaluate(_prepared(spark, folder), {})["retrieval_eval"]
 
 
 @_query
@@ -518,17 +583,13 @@ def slice_density(spark, folder):
 @_query
 def all_slices(spark, folder):
     data = _prepared(spark, folder)
-    return slices.all_slices(
-        data.context("test"), data.targets("test"), data.sessions("train"),
-        data.neighbours("test", schemas.RANKING_K),
-    )
+    recs = {"": data.neighbours("test", schemas.RANKING_K)}
+    return stages.slice_systems(data, recs)["slice_eval_combined"].drop("system")
 
 
 def _sliced(spark, folder):
     data, systems = _three_systems(spark, folder)
-    return slices.compare_slices(
-        data.context("test"), data.targets("test"), data.sessions("train"), systems
-    ), list(systems)
+    return stages.slice_systems(data, systems)["slice_eval_combined"], list(systems)
 
 
 @_query
@@ -569,7 +630,10 @@ def missed(spark, folder):
 @_query
 def coverage(spark, folder):
     data = _prepared(spark, folder, fixtures.sparse_log)
-    systems = _two_systems(data)
+    systems = {
+        "popularity": data.popular("test", schemas.RETRIEVAL_K),
+        "cooccurrence": data.neighbours("test", schemas.RETRIEVAL_K),
+    }
     return errors.coverage(
         metrics.combine_systems(systems), data.sessions("train"), schemas.RANKING_K, list(systems)
     )
@@ -579,7 +643,7 @@ def _report(spark, folder):
     data = _prepared(spark, folder)
     return errors.error_report(
         data.neighbours("test", schemas.RETRIEVAL_K), data.targets("test"),
-        data.sessions("train"), data.context("test"), schemas.RANKING_K,
+        data.sessions("train"), data.context("test"), schemas.RANKING_K, item_counts=data.item_counts,
     )
 
 
@@ -591,9 +655,7 @@ def error_report(spark, folder):
 @_query
 def missed_rate(spark, folder):
     data, systems = _three_systems(spark, folder)
-    return errors.missed_rate(
-        metrics.combine_systems(systems), data.targets("test"), schemas.RANKING_K, list(systems)
-    )
+    return stages.analyse_errors(data, systems)["missed_rate"]
 
 
 @_query

@@ -1,8 +1,10 @@
 """The stages of the whole run, from the event log to reports.
 
-Every stage table is written once to shared storage and read by all later stages.
+Every stage table is written once to shared storage and read by all later stages. Stages also run on
+their own: `load_prepared` and `ranking.load_ranker` pick up what `save` kept, for any split.
 """
 
+from collections import namedtuple
 from functools import cached_property
 
 from pyspark.sql import functions as F
@@ -11,16 +13,25 @@ from sessionrank import schemas
 from sessionrank.functions.skew import hot_keys
 from sessionrank.functions.staging import materialize
 from sessionrank.operators import errors, features, metrics, ranking, sessions, slices
-from sessionrank.operators.cooccurrence import fit_cooccurrence, retrieve_cooccurrence
-from sessionrank.operators.popularity import fit_popularity, retrieve_popular
-from sessionrank.sources.files import safe_name, write_results, write_table
+from sessionrank.operators.cooccurrence import (
+    fit_cooccurrence, head_lists, head_size, retrieve_cooccurrence,
+)
+from sessionrank.operators.popularity import fit_popularity, popular_items, retrieve_popular
+from sessionrank.sources.files import read_table, write_results, write_table
+
+POPULARITY, COOCCURRENCE, RANKER = "popularity", "cooccurrence", "cooc+ranker"
 
 
 class Prepared:
-    """Sessions of an event log, split by user, with their contexts and targets."""
+    """Sessions of an event log, split by user, with their contexts and targets.
+
+    `window` is the reach of co-occurrence, in fitting and in retrieval.
+    """
 
-    def __init__(self, table):
+    def __init__(self, table, window=schemas.WINDOW):
         self.table = table
+        self.window = window
+        self._lists, self._candidates = {}, {}
 
     def sessions(self, split):
         """Sessions of one split."""
@@ -40,32 +51,49 @@ class Prepared:
     @cached_property
     def edges(self):
         """Stage table of the training co-occurrences."""
-        return materialize(fit_cooccurrence(self.sessions("train")), "edges")
+        return materialize(fit_cooccurrence(self.sessions("train"), self.window), "edges")
+
+    def lists(self, head):
+        """Stage table of each item's strongest training co-occurrences."""
+        if head not in self._lists:
+            self._lists[head] = materialize(head_lists(self.edges, head), "head-lists")
+        return self._lists[head]
+
+    @cached_property
+    def item_counts(self):
+        """Stage table (item_id, n) of the training items."""
+        return materialize(fit_popularity(self.sessions("train")), "item-counts")
+
+    def popular_list(self, top_k):
+        """The popularity list that every session gets: (item_id, n, rank)."""
+        return popular_items(self.item_counts, top_k)
 
     def popular(self, split, top_k):
-        """Popularity recommendations for one split."""
-        return retrieve_popular(
-            fit_popularity(self.sessions("train")), self.context(split), top_k
-        )
+        """Popularity recommendations for one split, a row per session and item."""
+        return retrieve_popular(self.item_counts, self.context(split), top_k)
 
-    def neighbours(self, split, top_k):
+    def neighbours(self, split, top_k, head=None):
         """Co-occurrence recommendations for one split."""
-        return retrieve_cooccurrence(self.edges, self.context(split), top_k)
+        head = head or head_size(top_k)
+        return retrieve_cooccurrence(
+            self.edges, self.context(split), top_k, self.window, head, lists=self.lists(head)
+        )
 
     def candidates(self, split, top_k=schemas.RETRIEVAL_K):
         """Stage table of the co-occurrence recommendations.
 
         Ranks follow a total order, so a shorter list is the same table cut at its rank.
         """
-        return materialize(self.neighbours(split, top_k), "candidates")
+        if (split, top_k) not in self._candidates:
+            self._candidates[split, top_k] = materialize(self.neighbours(split, top_k), "candidates")
+        return self._candidates[split, top_k]
 
     def matrix(self, split, items, users, candidates):
         """Ranking matrix of the candidates of one split."""
+        hot = hot_keys(candidates, "item_id")
         return features.ranking_features(
             candidates, self.context(split), self.targets(split), items, users,
-            hot_items=hot_keys(
-                candidates.withColumnRenamed("item_id", "candidate_item_id"), "candidate_item_id"
-            ),
+            hot_items=hot and hot.named("candidate_item_id"),
         )
 
 
@@ -78,13 +106,105 @@ def prepare(
     test_fraction=schemas.TEST_FRACTION,
     val_fraction=schemas.VAL_FRACTION,
     seed=schemas.SEED,
+    window=schemas.WINDOW,
 ):
     """Sessionizes, splits and writes the sessions, partitioned by split."""
     table, users = sessions.sessions_and_users(
         events, gap, min_length, max_length, tie_cols, keep_size=True
     )
     split = sessions.split_sessions(table, test_fraction, val_fraction, seed, users=users)
-    return Prepared(materialize(split, "sessions", partition_by=["split"]))
+    return Prepared(materialize(split, "sessions", partition_by=["split"]), window)
+
+
+def save(data, folder):
+    """Keeps the prepared sessions, and contexts and targets of all splits, under a folder."""
+    write_table(data.table, f"{folder}/processed/sessions", ["split"])
+    for part in ("train", "val", "test"):
+        write_table(data.context(part), f"{folder}/processed/{part}_context")
+        write_table(data.targets(part), f"{folder}/processed/{part}_targets")
+
+
+def load_prepared(spark, folder, window=schemas.WINDOW):
+    """Sessions kept by `save`."""
+    return Prepared(read_table(spark, f"{folder}/processed/sessions"), window)
+
+
+Features = namedtuple("Features", "items users")
+
+
+def fit_features(data, movies, genres=None):
+    """Stage tables of the item and user features of the training sessions."""
+    train = data.sessions("train")
+    return Features(
+        materialize(features.item_features(train, movies, genres), "items"),
+        materialize(features.user_features(train), "users"),
+    )
+
+
+def train(data, feats, retrieval_k=schemas.RETRIEVAL_K, folder=None, **ranker_params):
+    """A ranker fitted on train, its rounds chosen on val; with `folder`, matrices and model are kept there."""
+    matrices = {
+        part: materialize(data.matrix(part, *feats, data.candidates(part, retrieval_k)), f"{part}-matrix")
+        for part in ("train", "val")
+    }
+    model = ranking.fit_ranker(matrices["train"], matrices["val"], **ranker_params)
+    if folder:
+        for part, matrix in matrices.items():
+            write_table(matrix, f"{folder}/results/{part}_feature_matrix")
+        ranking.save_ranker(model, f"{folder}/results/models/ranker")
+    return model
+
+
+def recommend(data, feats, score, split="test", retrieval_k=schemas.RETRIEVAL_K, ranking_k=schemas.RANKING_K):
+    """{system: recommendations} of the three systems; the popularity list is shared by all sessions.
+
+    `score` is a fitted ranker or a function that adds `score` to a matrix.
+    """
+    candidates = data.candidates(split, retrieval_k)
+    matrix = data.matrix(split, *feats, candidates)
+    scored = score(matrix) if callable(score) else ranking.predict(score, matrix)
+    return {
+        POPULARITY: data.popular_list(ranking_k),
+        COOCCURRENCE: candidates.filter(F.col("rank") <= ranking_k),
+        RANKER: materialize(ranking.rerank(scored, ranking_k), "reranked"),
+    }
+
+
+def evaluate(data, systems, split="test", retrieval_k=schemas.RETRIEVAL_K, k_values=schemas.K_VALUES):
+    """Results final_eval (all systems) and retrieval_eval (the retrievers' long lists)."""
+    targets = data.targets(split)
+    retrievers = {POPULARITY: data.popular_list(retrieval_k), COOCCURRENCE: data.candidates(split, retrieval_k)}
+    results = {"retrieval_eval": metrics.compare_systems(retrievers, targets, k_values, column="retriever")}
+    if systems:
+        results["final_eval"] = metrics.compare_systems(systems, targets, k_values)
+    return results
+
+
+def slice_systems(data, systems, split="test", k_values=schemas.K_VALUES):
+    """Results slice_eval_combined: the systems' metrics by slice."""
+    found = slices.compare_slices(
+        data.context(split), data.targets(split), data.sessions("train"), systems, k_values, data.item_counts
+    )
+    return {"slice_eval_combined": found}
+
+
+def analyse_errors(data, systems, split="test", ranking_k=schemas.RANKING_K):
+    """Results coverage_stats, error_report, missed_targets and missed_rate."""
+    names, targets, train = list(systems), data.targets(split), data.sessions("train")
+    own = {
+        name: recs if "session_id" in recs.columns else data.popular(split, ranking_k)
+        for name, recs in systems.items()
+    }
+    recs = materialize(metrics.combine_systems(own), "recommendations", ["system"])
+    report = errors.error_report(
+        recs, targets, train, data.context(split), ranking_k, names, item_counts=data.item_counts
+    )
+    return {
+        "coverage_stats": errors.coverage(recs, train, ranking_k, names),
+        "error_report": materialize(report, "report"),
+        "missed_targets": errors.missed_targets(recs, targets, ranking_k, names),
+        "missed_rate": errors.missed_rate(recs, targets, ranking_k, names),
+    }
 
 
 def run(
@@ -99,76 +219,37 @@ def run(
     ranking_k=schemas.RANKING_K,
     k_values=schemas.K_VALUES,
     out=None,
+    test_fraction=schemas.TEST_FRACTION,
+    val_fraction=schemas.VAL_FRACTION,
+    seed=schemas.SEED,
+    window=schemas.WINDOW,
+    genres=None,
     **ranker_params,
 ):
     """The whole run: prepare, train, evaluate, slice, analyse errors.
 
     Returns the result tables by name. With `out`, the stage tables, the model and the
-    results are also kept under that folder.
+    results are also kept under that folder. The tables read stage tables; wrap the call and the use of its
+    results in `stage_scope` to have those deleted afterwards.
     """
-    spark = events.sparkSession
-    data = prepare(events, gap, min_length, max_length, tie_cols)
-    train = data.sessions("train")
-    items = materialize(features.item_features(train, movies), "items")
-    users = materialize(features.user_features(train), "users")
-
-    # train
-    candidates = {part: data.candidates(part, retrieval_k) for part in {"train", "val", split}}
-    matrices = {
-        part: materialize(data.matrix(part, items, users, candidates[part]), f"{part}-matrix")
-        for part in ("train", "val")
-    }
-    model = ranking.fit_ranker(matrices["train"], matrices["val"], **ranker_params)
-    importance = ranking.feature_importance(spark, model)
-
-    # evaluate, slice and analyse errors on the same recommendations
-    context, targets = data.context(split), data.targets(split)
-    tested = matrices.get(split)
-    if tested is None:
-        tested = data.matrix(split, items, users, candidates[split])
-    systems = {
-        "popularity": data.popular(split, ranking_k),
-        "cooccurrence": candidates[split].filter(F.col("rank") <= ranking_k),
-        "cooc+ranker": ranking.rerank(ranking.predict(model, tested), ranking_k),
-    }
-    recs = materialize(metrics.combine_systems(systems), "recommendations", ["system"])
-    systems = {name: recs.filter(F.col("system") == name) for name in systems}
-    names = list(systems)
-    report = materialize(
-        errors.error_report(recs, targets, train, context, ranking_k, names), "report"
-    )
+    data = prepare(events, gap, min_length, max_length, tie_cols, test_fraction, val_fraction, seed, window)
+    feats = fit_features(data, movies, genres)
+    model = train(data, feats, retrieval_k, out, **ranker_params)
+    systems = recommend(data, feats, model, split, retrieval_k, ranking_k)
     results = {
         "session_summary": sessions.session_summary(data.table),
         "split_summary": sessions.split_summary(data.table),
-        "feature_importance": importance,
-        "final_eval": metrics.compare_systems(systems, targets, k_values),
-        "retrieval_eval": metrics.compare_systems(
-            {
-                "popularity": data.popular(split, retrieval_k),
-                "cooccurrence": candidates[split],
-            },
-            targets, k_values, column="retriever",
-        ),
-        "slice_eval_combined": slices.compare_slices(context, targets, train, systems, k_values),
-        "coverage_stats": errors.coverage(recs, train, ranking_k, names),
-        "error_report": report,
-        "missed_targets": errors.missed_targets(recs, targets, ranking_k, names),
-        "missed_rate": errors.missed_rate(recs, targets, ranking_k, names),
+        "feature_importance": ranking.feature_importance(events.sparkSession, model),
+        **evaluate(data, systems, split, retrieval_k, k_values),
+        **slice_systems(data, systems, split, k_values),
+        **analyse_errors(data, systems, split, ranking_k),
     }
     if out:
-        write_table(data.table, f"{out}/processed/sessions", ["split"])
-        for part in ("train", "val", "test"):
-            write_table(data.context(part), f"{out}/processed/{part}_context")
-            write_table(data.targets(part), f"{out}/processed/{part}_targets")
+        save(data, out)
         write_table(movies, f"{out}/processed/movies")
-        for part, matrix in matrices.items():
-            write_table(matrix, f"{out}/results/{part}_feature_matrix")
-        ranking.save_ranker(model, f"{out}/results/models/ranker")
+        results |= {name: materialize(results[name], name) for name in ("slice_eval_combined", "missed_targets")}
         for name, table in results.items():
             write_results(table, f"{out}/results/{name}")
-        for name in names:
-            for table in ("slice_eval", "error_report", "missed_targets"):
-                source = results["slice_eval_combined" if table == "slice_eval" else table]
-                own = source.filter(F.col("system") == name)
-                write_results(own, f"{out}/results/{table}_{safe_name(name)}")
+        for source, name in (("slice_eval_combined", "slice_eval"), ("error_report",) * 2, ("missed_targets",) * 2):
+            write_results(results[source], f"{out}/results/{name}_by_system", by_system=True)
     return results

@@ -16,8 +16,11 @@ def _table(spark, folder, name):
 
 
 def _micros(column):
-    # The tables hold times without zone; the session time zone must be UTC.
-    return F.unix_micros(F.col(column).cast("timestamp"))
+    # The tables hold times without zone, taken as UTC whatever the session's time zone is.
+    time = F.col(column)
+    seconds = F.hour(time) * 3600 + F.minute(time) * 60
+    rest = F.extract(F.lit("SECOND"), time) * MICROS_PER_SECOND
+    return F.unix_date(time.cast("date")) * F.lit(DAY) + seconds.cast("bigint") * MICROS_PER_SECOND + rest.cast("bigint")
 
 
 def dense_log(spark, folder):

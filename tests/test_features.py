@@ -1,124 +1,163 @@
+"""Features of a random log against plain Python."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
 import pytest
 from conftest import rows
 
+from sessionrank.functions.skew import hot_keys
 from sessionrank.operators import features as X
 
 SESSIONS = "user_id bigint, session_id bigint, item_id bigint, timestamp bigint, position int"
 MOVIES = "item_id bigint, title string, genres string, genre_list array<string>"
+CANDIDATES = "session_id bigint, item_id bigint, rank int"
+KINDS = ["Noir", "Kids-TV", "Old West"]
 
 
-@pytest.fixture
-def train(table):
-    return table(
-        [(1, 0, 10, 0, 0), (1, 0, 11, 1, 1), (1, 0, 12, 2, 2), (2, 1, 10, 0, 0), (2, 1, 13, 1, 1)],
-        SESSIONS,
-    )
-
-
-@pytest.fixture
-def movies(table):
-    genres = {10: "Action|Comedy", 11: "Action", 12: "Drama", 13: "Comedy"}
-    return table([(i, "t", g, g.split("|")) for i, g in genres.items()], MOVIES)
-
-
-@pytest.fixture
-def context(table):
-    return table([(0, 10, 0), (0, 11, 1), (0, 12, 2), (1, 10, 0)],
-                 "session_id bigint, item_id bigint, position int")
-
-
-@pytest.fixture
-def targets(table):
-    return table([(0, 1, 12), (1, 2, 13)], "session_id bigint, user_id bigint, target_item_id bigint")
-
-
-def test_item_features(train, movies):
-    got = {r["item_id"]: r for r in X.item_features(train, movies).collect()}
-    assert got[10]["item_global_count"] == 2 and got[10]["item_unique_users"] == 2
-    assert got[10]["item_unique_sessions"] == 2 and got[10]["item_global_rank"] == 1
-    assert {got[i]["item_global_rank"] for i in (11, 12, 13)} == {2}
-    assert got[10]["genre_action"] == 1 and got[12]["genre_action"] == 0
-    assert got[10]["item_is_head"] == 1 and got[11]["item_is_head"] == 0
-    assert X.item_features(train, movies).columns == [
-        "item_id", *X.ITEM_COLUMNS, "genre_action", "genre_comedy", "genre_drama"
+@pytest.fixture(scope="module")
+def log():
+    """(user, session, item, time, position): 23 sessions of 9 users, low items most frequent."""
+    rng = random.Random(11)
+    return [
+        (s % 9, s, int(14 * rng.random() ** 2), 100 * s + p, p) for s in range(23) for p in range(rng.randrange(1, 8))
     ]
 
 
-def test_items_without_metadata_and_without_rows(train, movies):
-    known = movies.filter("item_id <> 11")
-    got = {r["item_id"]: r for r in X.item_features(train.filter("item_id <> 13"), known).collect()}
-    assert got[11]["genre_action"] is None and 13 not in got
-
-
-def test_genre_names(table):
-    movies = table(
-        [(1, "a", "", ["Children's", "Sci-Fi", "Film Noir"]), (2, "b", "", ["(no genres listed)"])],
-        MOVIES,
-    )
-    got = X.item_genres(movies)
-    assert got.columns == ["item_id", "genre_children's", "genre_film_noir", "genre_sci_fi"]
-    assert rows(got) == [(1, 1, 1, 1), (2, 0, 0, 0)]
-
-
-def test_genre_names_that_coincide_are_an_error(table):
-    movies = table([(1, "a", "", ["Sci-Fi", "Sci Fi"])], MOVIES)
-    with pytest.raises(ValueError, match="genre_sci_fi"):
-        X.item_genres(movies)
+@pytest.fixture(scope="module")
+def kinds():
+    rng = random.Random(12)
+    return {i: sorted(rng.sample(KINDS, rng.randrange(1, 4))) for i in range(0, 14) if i != 3}
 
 
-def test_user_features(train):
-    got = {r["user_id"]: r for r in X.user_features(train).collect()}
-    assert got[1]["user_mean_session_length"] == 3.0 and got[2]["user_mean_session_length"] == 2.0
-    assert got[1]["user_total_interactions"] == 3 and got[1]["user_total_sessions"] == 1
-    assert got[1]["user_is_dense"] == 1 and got[2]["user_is_dense"] == 0
+@pytest.fixture(scope="module")
+def train(table, log):
+    return table(log, SESSIONS)
 
 
-def test_session_context(context):
-    assert rows(X.session_context(context)) == [(0, 3, 12, 11), (1, 1, 10, 0)]
+@pytest.fixture(scope="module")
+def movies(table, kinds):
+    return table([(i, f"title {i}", "|".join(g), g) for i, g in kinds.items()], MOVIES)
 
 
-def _matrix(table, train, movies, context, targets, **options):
-    candidates = table(
-        [(0, 12, 1), (0, 11, 2), (0, 10, 3), (1, 13, 1), (1, 10, 2), (1, 99, 3)],
-        "session_id bigint, item_id bigint, rank int",
-    )
-    return X.ranking_features(
-        candidates, context, targets, X.item_features(train, movies), X.user_features(train),
-        **options,
-    )
+@pytest.fixture(scope="module")
+def context(train):
+    return train.filter("session_id < 12").select("session_id", "item_id", "position")
 
 
-def test_matrix(table, train, movies, context, targets):
-    cooc = table([(12, 11, 4), (10, 13, 2)], "item_a bigint, item_b bigint, cnt bigint")
-    matrix = _matrix(table, train, movies, context, targets, cooc=cooc)
-    got = {(r["session_id"], r["candidate_item_id"]): r for r in matrix.collect()}
-    assert len(got) == 6
-    assert {k for k, r in got.items() if r["label"] == 1} == {(0, 12), (1, 13)}
-    assert got[0, 11]["cooc_score_last_item"] == 4.0 and got[0, 12]["cooc_score_last_item"] == 0.0
-    assert got[1, 13]["cooc_score_last_item"] == 2.0
-    assert got[1, 99]["item_global_count"] == 0 and got[1, 99]["genre_action"] == 0
-    assert not any(v is None for r in got.values() for v in r)
-    assert rows(X.matrix_summary(matrix)) == [(6, len(matrix.columns), 2, 2 / 6)]
-
-
-def test_matrix_without_scores_and_with_hot_items(table, train, movies, context, targets):
-    plain = _matrix(table, train, movies, context, targets)
-    split = _matrix(table, train, movies, context, targets, hot_items={10: 3, 12: 2})
-    assert rows(plain) == rows(split)
-    assert {r["cooc_score_last_item"] for r in plain.collect()} == {0.0}
-
-
-def test_matrix_of_unknown_session_and_user(table, train, movies, context):
-    targets = table([(0, 77, 12)], "session_id bigint, user_id bigint, target_item_id bigint")
-    got = {(r["session_id"], r["candidate_item_id"]): r
-           for r in _matrix(table, train, movies, context, targets).collect()}
-    assert got[0, 12]["user_total_sessions"] == 0 and got[0, 12]["label"] == 1
-    assert got[1, 13]["user_id"] == 0 and got[1, 13]["label"] == 0
-
-
-def test_empty_candidates(table, train, movies, context, targets):
-    none = table([], "session_id bigint, item_id bigint, rank int")
+@pytest.fixture(scope="module")
+def targets(table):
+    return table([(s, s % 9 if s != 5 else 400, (3 * s) % 14) for s in range(11)],
+                 "session_id bigint, user_id bigint, target_item_id bigint")
+
+
+def _item_facts(log):
+    count, users, sessions = defaultdict(int), defaultdict(set), defaultdict(set)
+    for u, s, i, _, _ in log:
+        count[i] += 1
+        users[i].add(u)
+        sessions[i].add(s)
+    limit = np.quantile(list(count.values()), 0.8)
+    return {
+        i: (n, len(users[i]), len(sessions[i]), 1 + sum(m > n for m in count.values()), int(n >= limit))
+        for i, n in count.items()
+    }
+
+
+def _user_facts(log):
+    lengths = defaultdict(lambda: defaultdict(int))
+    for u, s, _, _, _ in log:
+        lengths[u][s] += 1
+    totals = {u: sum(n.values()) for u, n in lengths.items()}
+    limit = np.quantile(list(totals.values()), 0.8)
+    return {u: (totals[u], len(n), totals[u] / len(n), int(totals[u] >= limit)) for u, n in lengths.items()}
+
+
+def test_item_features(log, kinds, train, movies):
+    got = X.item_features(train, movies)
+    assert got.columns == ["item_id", *X.ITEM_COLUMNS, "genre_kids_tv", "genre_noir", "genre_old_west"]
+    facts = _item_facts(log)
+    found = {r["item_id"]: r for r in got.collect()}
+    assert set(found) == set(facts)
+    for i, (n, users, sessions, rank, head) in facts.items():
+        r = found[i]
+        assert (r["item_global_count"], r["item_unique_users"], r["item_unique_sessions"],
+                r["item_global_rank"], r["item_is_head"]) == (n, users, sessions, rank, head)
+        flags = [r["genre_noir"], r["genre_kids_tv"], r["genre_old_west"]]
+        assert flags == ([int(k in kinds[i]) for k in KINDS] if i in kinds else [None] * 3)
+
+
+def test_genre_columns(table):
+    odd = table([(8, "x", "", ["Rock'n'Roll", "Late Night-Show"]), (9, "y", "", ["(no genres listed)"])], MOVIES)
+    got = X.item_genres(odd)
+    assert got.columns == ["item_id", "genre_late_night_show", "genre_rock'n'roll"]
+    assert rows(got) == [(8, 1, 1), (9, 0, 0)]
+    assert X.item_genres(odd, ["Unheard"]).columns == ["item_id", "genre_unheard"]
+
+
+def test_genres_that_cannot_be_columns_are_an_error(table):
+    same = table([(8, "x", "", ["Late Night", "late-night"])], MOVIES)
+    with pytest.raises(ValueError, match="genre_late_night"):
+        X.item_genres(same)
+    with pytest.raises(ValueError, match="more than 1 genres"):
+        X.genre_vocabulary(same, limit=1)
+
+
+def test_user_features(log, train):
+    found = {r["user_id"]: tuple(r)[1:] for r in X.user_features(train).select("user_id", *X.USER_COLUMNS).collect()}
+    assert found == _user_facts(log)
+
+
+def _context_facts(log):
+    items = defaultdict(list)
+    for _, s, i, _, _ in log:
+        if s < 12:
+            items[s].append(i)
+    return {s: (len(i), i[-1], i[-2] if len(i) > 1 else 0) for s, i in items.items()}
+
+
+def test_session_context(log, context):
+    assert {r[0]: tuple(r)[1:] for r in X.session_context(context).collect()} == _context_facts(log)
+
+
+def _candidates():
+    return [(s, i, r) for s in range(13) for r, i in enumerate([(5 * s + k) % 17 for k in range(6)], 1)]
+
+
+@pytest.mark.parametrize("hot_rows", [3, 10**6])
+def test_matrix(table, log, kinds, train, movies, context, targets, hot_rows):
+    cooc = {(a, b): a * 20 + b for a in range(14) for b in range(14) if (a + b) % 3 == 0}
+    candidates = table(_candidates(), CANDIDATES)
+    hot = hot_keys(candidates, "item_id", hot_rows)
+    items = X.item_features(train, movies)
+    texts = items.join(movies.select("item_id", "title", "genre_list"), "item_id", "left")
     matrix = X.ranking_features(
-        none, context, targets, X.item_features(train, movies), X.user_features(train)
+        candidates, context, targets, texts, X.user_features(train), hot_rows=hot_rows,
+        cooc=table([(a, b, n) for (a, b), n in cooc.items()], "item_a bigint, item_b bigint, cnt bigint"),
+        hot_items=hot and hot.named("candidate_item_id"),
     )
-    assert rows(matrix) == [] and "label" in matrix.columns
+    assert "title" not in matrix.columns and "genre_list" not in matrix.columns
+    by_item, by_user, by_session = _item_facts(log), _user_facts(log), _context_facts(log)
+    wanted = {s: (s % 9 if s != 5 else 400, (3 * s) % 14) for s in range(11)}
+    expected = []
+    for s, i, _ in _candidates():
+        length, last, second = by_session.get(s, (0, 0, 0))
+        user, target = wanted.get(s, (0, None))
+        n, users, sessions, rank, head = by_item.get(i, (0,) * 5)
+        flags = [int(i in by_item and i in kinds and k in kinds[i]) for k in ("Kids-TV", "Noir", "Old West")]
+        total, own, mean, dense = by_user.get(user, (0, 0, 0.0, 0)) if s in wanted else (0, 0, 0.0, 0)
+        score = float(cooc.get((last, i), 0)) if s in by_session else 0.0
+        expected.append((s, i, length, last, second, user, n, users, sessions, rank, head, *flags,
+                         total, own, mean, dense, score, int(i == target)))
+    assert rows(matrix) == sorted(expected, key=str)
+    positive = sum(e[-1] for e in expected)
+    assert rows(X.matrix_summary(matrix)) == [(len(expected), len(matrix.columns), positive, positive / len(expected))]
+
+
+def test_matrix_without_scores_and_without_candidates(table, train, movies, context, targets):
+    feats = X.item_features(train, movies, genres=[]), X.user_features(train)
+    plain = X.ranking_features(table(_candidates(), CANDIDATES), context, targets, *feats)
+    assert {r["cooc_score_last_item"] for r in plain.collect()} == {0.0}
+    none = X.ranking_features(table([], CANDIDATES), context, targets, *feats)
+    assert rows(none) == [] and none.columns == plain.columns

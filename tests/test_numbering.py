@@ -33,16 +33,18 @@ def test_quantiles_equal_numpy(table, spread):
     df = table([(v,) for v in values], "x bigint")
     probabilities = [0.0, 0.25, 0.4, 0.5, 0.8, 1.0]
     expected = np.quantile(values, probabilities)
-    got = [
-        N.exact_quantiles(df, ["x"], probabilities)["x"], N.count_quantiles(df, "x", probabilities)
-    ]
+    got = [N.exact_quantiles(df, ["x"], probabilities), N.count_quantiles(df, "x", probabilities)]
     for quantiles in got:
         assert np.allclose(quantiles.first()["q"], expected)
 
 
-def test_quantiles_of_nothing(table):
-    df = table([(None,)], "x bigint")
-    assert N.exact_quantiles(df, ["x"], [0.5])["x"].first()["q"] is None
+def test_quantiles_of_several_columns_and_of_nothing(table):
+    data = [(i, -i * i if i % 3 else None, None) for i in range(40)]
+    df = table(data, "a bigint, b bigint, c bigint")
+    got = {r["column_name"]: r["q"] for r in N.exact_quantiles(df, ["a", "b", "c"], [0.1, 0.5]).collect()}
+    for k, name in enumerate("ab"):
+        assert np.allclose(got[name], np.quantile([r[k] for r in data if r[k] is not None], [0.1, 0.5]))
+    assert got["c"] is None
 
 
 def test_count_ranks(table):
@@ -55,9 +57,11 @@ def test_salted_join_equals_join(table):
     left = table([(rng.choice([1, 1, 1, 2, 3, None]), i) for i in range(200)], "k bigint, x bigint")
     right = table([(1, "a"), (1, "b"), (2, "c"), (9, "d")], "k bigint, y string")
     hot = hot_keys(left, "k", 20)
-    assert hot[1] > 3 and 9 not in hot
+    found = dict(map(tuple, hot.table.collect()))
+    assert found[1] > 3 and 9 not in found
+    assert hot_keys(left, "k", 20).table.inputFiles() == hot.table.inputFiles()
     for how in ("inner", "left"):
         assert rows(salted_join(left, right, ["k"], how, hot, "k", ["x"])) == rows(
             left.join(right, "k", how)
         )
-    assert hot_keys(left, "k") == {}
+    assert hot_keys(left, "k") is None

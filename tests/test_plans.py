@@ -18,10 +18,11 @@ def _sessions(table):
 
 def test_sessions_shuffle_the_rows_once_and_never_to_one_task(table):
     events = table([(1, 2, 3, 4)], "user_id bigint, item_id bigint, timestamp bigint, tie bigint")
+    # The rows are numbered in one shuffle, written, and joined with the users' first ids.
+    plan = _plan(S.local_sessions(events, 10, ("tie",)))
+    assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan
     plan = _plan(S.build_sessions(events, tie_cols=("tie",)))
-    assert "SinglePartition" not in plan
-    assert plan.count("Exchange hashpartitioning(user_id") == 1
-    assert plan.count("Sort [user_id") == 2
+    assert "SinglePartition" not in plan and "Window" not in plan.split("Join")[0]
 
 
 def test_pairs_are_counted_before_the_shuffle_without_a_self_join(table):
@@ -32,8 +33,7 @@ def test_pairs_are_counted_before_the_shuffle_without_a_self_join(table):
 def test_lists_are_cut_before_the_shuffle(table):
     edges = table([(1, 2, 3)], "item_a bigint, item_b bigint, cnt bigint")
     plan = _plan(C.retrieve_cooccurrence(edges, _sessions(table), 10))
-    for step in ("row_number(), 10, Partial", "row_number(), 5, Partial"):
-        assert step in plan
+    assert "row_number(), 10, Partial" in plan
     for step in ("CartesianProduct", "NestedLoop", "SinglePartition", "Python"):
         assert step not in plan
 

@@ -11,7 +11,8 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = [
     "q_build_sessions", "q_split_sessions", "q_item_features", "q_user_features",
     "q_ranking_features_test", "q_cooc_recs", "q_compare_systems", "q_slice_systems",
-    "q_error_summary", "q_embedding_recs",
+    "q_error_summary", "q_embedding_recs", "q_build_sessions_sparse_sliced", "q_cooc_recs_sparse_heads",
+    "q_embedding_recs_blocks", "q_stages_reloaded", "q_evaluate_retrieval",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no benchmark tables")

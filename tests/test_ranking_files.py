@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from sessionrank import schemas
 from sessionrank.operators import ranking as K
 from sessionrank.operators import reports as R
+from sessionrank.functions.staging import materialize, stage_scope
+from sessionrank.plans import stages
 from sessionrank.plans.stages import run
 from sessionrank.sources import files
 
@@ -59,9 +62,27 @@ def test_saved_ranker_scores_the_same(matrix, model, tmp_path):
     )
 
 
-def test_unfitted_ranker_is_an_error(matrix):
-    with pytest.raises(RuntimeError):
-        K.predict(None, matrix)
+def test_unfitted_ranker_is_an_error(spark, matrix, tmp_path):
+    for use in (lambda: K.predict(None, matrix), lambda: K.feature_importance(spark, None),
+                lambda: K.save_ranker(None, str(tmp_path / "none"))):
+        with pytest.raises(RuntimeError):
+            use()
+
+
+def test_rounds_are_chosen_on_held_out_rows(matrix):
+    assert K._best_rounds([5, 4, 3, 3.5, 2.9, 3], 30) == 5
+    assert K._best_rounds([5, 4, 3, 3.5, 3.4, 2.9], 2) == 3
+    train, val = matrix.filter("session_id < 30"), matrix.filter("session_id >= 30")
+    # Labels of the held-out rows are turned around, so the first round is the best.
+    turned = val.withColumn("label", 1 - F.col("label"))
+    trees = K.fit_ranker(train, turned, max_iter=6, maxDepth=3).stages[1]
+    assert trees.getNumTrees == 1
+    whole = K.fit_ranker(train, max_iter=6, maxDepth=3)
+    cut = K.fit_ranker(train, val, max_iter=6, maxDepth=3)
+    n = cut.stages[1].getNumTrees
+    nodes = lambda trees: [t.toDebugString.split("\n", 1)[1] for t in trees]
+    assert n <= 6 and nodes(cut.stages[1].trees) == nodes(whole.stages[1].trees[:n])
+    assert rows(K.predict(cut, val).select("score"))[0][0] > 0
 
 
 def test_rerank_breaks_ties_by_item(table):
@@ -133,5 +154,21 @@ def test_whole_run(spark, table, tmp_path):
     read = files.read_results(spark, f"{out}/results/final_eval", schemas.EVALUATION)
     assert rows(read) == rows(results["final_eval"])
     assert K.load_ranker(f"{out}/results/models/ranker").stages[0].getInputCols()[-1] == "genre_drama"
-    assert files.read_results(spark, f"{out}/results/missed_targets_cooc_ranker",
-                              results["missed_targets"].schema) is not None
+    by_system = spark.read.csv(f"{out}/results/missed_targets_by_system", header=True)
+    assert by_system.count() == results["missed_targets"].count()
+    assert {r["system"] for r in by_system.select("system").distinct().collect()} <= {"popularity", "cooccurrence", "cooc_ranker"}
+    # Another run evaluates what was kept.
+    data = stages.load_prepared(spark, out)
+    feats = stages.fit_features(data, movies)
+    kept = K.load_ranker(f"{out}/results/models/ranker")
+    again = stages.evaluate(data, stages.recommend(data, feats, kept))
+    assert rows(again["final_eval"]) == rows(results["final_eval"])
+    assert rows(stages.analyse_errors(data, stages.recommend(data, feats, kept, "val"), "val")["missed_rate"])
+
+
+def test_stage_tables_are_deleted_after_use(spark, table):
+    with stage_scope(spark):
+        kept = materialize(table([(1,)], "x bigint"), "short-lived")
+        path = kept.inputFiles()[0].removeprefix("file:")
+        assert kept.count() == 1 and os.path.exists(path)
+    assert not os.path.exists(path)

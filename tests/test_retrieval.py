@@ -112,20 +112,20 @@ def test_short_lists_settle_some_sessions_and_not_others(spark, table):
     edges = table(pairs, "item_a bigint, item_b bigint, cnt bigint")
     context = _sessions(table, {0: [1], 1: [2], 2: [1, 2]})
     recent = C._recent_weights(context, 5)
-    exact, rest = C._head_scores(edges, context, recent, 2, 3, {})
+    exact, rest = C._head_scores(edges, C.head_lists(edges, 3), context, recent, 2, 5, None)
     assert {r[0] for r in rows(exact)} == {0, 2} and rows(rest) == [(1,)]
     got = [r[:4] for r in rows(C.retrieve_cooccurrence(edges, context, 2, head=3))]
     assert got == [(0, 100, 50, 1), (0, 101, 40, 2), (1, 300, 3, 1), (1, 301, 3, 2),
                    (2, 100, 50, 1), (2, 101, 40, 2)]
 
 
-def test_head_is_used_only_where_it_saves(table, monkeypatch):
-    edges = table([(1, b, 1) for b in range(600)] + [(2, 1, 1)],
-                  "item_a bigint, item_b bigint, cnt bigint")
-    monkeypatch.setattr(C, "_SAVING", 1)
-    for items, expected in ([1], 499), ([2], None):
-        recent = C._recent_weights(_sessions(table, {0: items}), 5)
-        assert C._worthwhile_head(edges, recent, 10, 5, {}) == expected
+def test_wide_windows(table):
+    train = _random_lists(8, 40, 30, 150)
+    edges = C.fit_cooccurrence(_sessions(table, train), 5)
+    lists = {0: [i % 29 for i in range(140)], 1: [3, 4], 2: list(range(29, 0, -1)) * 3}
+    expected = _brute_recs(_brute_edges(train, 5), lists, 3, 130)
+    got = C.retrieve_cooccurrence(edges, _sessions(table, lists), 3, window=130, head=2)
+    assert rows(got) == expected
 
 
 def _factors(table, n, rank=8, seed=0):
@@ -136,9 +136,7 @@ def _factors(table, n, rank=8, seed=0):
 
 
 @pytest.mark.parametrize("block_numbers", [None, 40])
-def test_factor_recs_equal_brute_force(table, monkeypatch, block_numbers):
-    if block_numbers:
-        monkeypatch.setattr(A, "_BLOCK_NUMBERS", block_numbers)
+def test_factor_recs_equal_brute_force(table, block_numbers):
     matrix, factors = _factors(table, 30)
     lists = {s: items for s, items in _random_lists(3, 25, 40, 6).items()}
     expected = []
@@ -149,7 +147,7 @@ def test_factor_recs_equal_brute_force(table, monkeypatch, block_numbers):
         scores = np.round(matrix @ matrix[known].mean(axis=0), 6)
         ranked = sorted((i for i in range(30) if i not in items), key=lambda i: (-scores[i], i))
         expected += [(s, i, float(scores[i]), r) for r, i in enumerate(ranked[:5], 1)]
-    got = rows(A.retrieve_by_factors(factors, _sessions(table, lists), 5, hot_rows=20))
+    got = rows(A.retrieve_by_factors(factors, _sessions(table, lists), 5, hot_rows=20, block_numbers=block_numbers))
     assert [(r[0], r[1], r[3]) for r in got] == [(r[0], r[1], r[3]) for r in sorted(expected, key=str)]
 
 
@@ -167,3 +165,8 @@ def test_factorization_separates_two_groups(table):
     assert {r[0] for r in got} == {0, 1}
     assert all((r[1] >= 10**12) == (r[0] == 1) for r in got)
     assert not {(0, 0), (0, 1)} & {r[:2] for r in got}
+
+
+def test_unfitted_factors_are_an_error(table):
+    with pytest.raises(RuntimeError):
+        A.retrieve_by_factors(None, _sessions(table, {0: [1]}), 3)

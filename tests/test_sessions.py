@@ -17,10 +17,15 @@ def _build(events, **options):
     return S.build_sessions(events, tie_cols=("tie",), **options)
 
 
-def test_gap_starts_a_session(table):
-    events = _events(table, [(1, 10, 0), (1, 11, 600), (1, 12, 5000), (1, 13, 5600)])
-    built = _build(events, max_length=None)
-    assert built.select("session_id").distinct().count() == 2
+def test_gaps_limits_and_lengths(table):
+    rng = random.Random(31)
+    times = [0]
+    for _ in range(50):
+        times.append(times[-1] + rng.choice([1, 899, 900, 901, 5000]))
+    triples = [(4, rng.randrange(6), t) for t in times]
+    for low in (1, 2, 4):
+        built = _build(_events(table, triples), gap=900, min_length=low, max_length=None, keep_size=True)
+        assert rows(built) == _brute(triples, 900, low, None)
 
 
 def test_gap_is_strict(table):
@@ -28,12 +33,6 @@ def test_gap_is_strict(table):
     assert [r[1] for r in rows(_build(events))] == [0, 0, 1, 1]
 
 
-def test_short_sessions_are_dropped(table):
-    events = _events(table, [(1, 10, 0), (1, 11, 10000), (1, 12, 10600)])
-    built = rows(_build(events))
-    assert [(r[1], r[2], r[4]) for r in built] == [(0, 11, 0), (0, 12, 1)]
-
-
 def test_truncation_keeps_the_last_rows(table):
     events = _events(table, [(1, i, 100 * i) for i in range(10)])
     built = rows(_build(events, max_length=5))
@@ -103,6 +102,39 @@ def test_steps_are_the_same_for_hot_users(table):
         assert rows(step(25)) == rows(step(10**6))
 
 
+def test_one_moment_of_one_user_is_split(table, monkeypatch):
+    # All events of the hot user have one timestamp: only the ties can split them.
+    triples = [(6, i % 5, 100) for i in range(400)] + [(6, 1, 9000), (2, 1, 5), (2, 3, 6)]
+    events = _events(table, triples)
+    largest = []
+    parts_of = S._parts
+
+    def watched(*args):
+        parts = parts_of(*args)
+        largest.append(parts.slices.groupBy("user_id", "slice").count().agg(F.max("count")).first()[0])
+        return parts
+
+    monkeypatch.setattr(S, "_parts", watched)
+    built = _build(events, gap=50, max_length=None, keep_size=True, hot_rows=40)
+    assert rows(built) == _brute(triples, 50, 2, None) and max(largest) < 120
+
+
+def test_the_log_is_evaluated_once(spark, table):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    triples = [(u, i % 3, 40 * i) for u in range(6) for i in range(30)] + [(9, 1, 7 * i) for i in range(200)]
+    events = _events(table, triples).mapInArrow(counted, EVENTS)
+    for hot_rows in (10**6, 50):
+        read.value = 0
+        built = S.build_sessions(events, gap=100, tie_cols=("tie",), hot_rows=hot_rows)
+        assert built.count() and read.value == len(triples)
+
+
 def test_ids_are_dense_for_far_apart_users(table):
     users = [3, 70_000, 5_000_000_000, 2**40 + 1]
     events = _events(table, [(u, i, t) for u in users for i, t in ((1, 0), (2, 5), (3, 9999), (4, 9999))])
@@ -157,9 +189,3 @@ def test_one_row_session_has_a_target_and_no_context(table):
     events = _events(table, [(1, 10, 0)])
     context, targets = S.extract_targets(_build(events, min_length=1))
     assert rows(targets) == [(0, 1, 10)] and rows(context) == []
-
-
-def test_one_exchange_of_the_rows(table):
-    events = _events(table, [(u, i, i) for u in range(4) for i in range(3)])
-    plan = S.local_sessions(events, 10, ("tie",))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan
