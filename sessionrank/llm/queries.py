@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sessionrank.llm import chat, decontaminate, fingerprint, langid, lm, mix, pii, secret_scan, shard, simhash
 from sessionrank.llm.common import joined_spans, read
+from sessionrank.llm.oracles import ORACLES  # noqa: F401
 
 VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
@@ -101,6 +102,3 @@ QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_pii, op3_lm_scoring, op4_chat_formatting, op5_simhash_near_dedup, op6_secret_scan,
     op7_document_fingerprints, op8_sharding, op9_source_mixing, op10_language_id,
 )}
-
-# DuckDB SQL of the queries that SQL can express.
-ORACLES = {}
