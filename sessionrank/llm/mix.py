@@ -8,6 +8,8 @@ from sessionrank.llm.common import WORD, stage
 WEIGHTS, LIMIT, SEED = (1, 2, 3), 3, "mix"
 # The order of a source is looked at in so many bins; only the bin in which its sample ends is sorted.
 BINS = 1 << 16
+# What the sample leaves of a target, because its next document is too long, is filled this many times over by later ones.
+FILLS = 2
 # A table of sources of up to so many rows is broadcast.
 BROADCAST_SOURCES = 100_000
 
@@ -58,37 +60,76 @@ def _ranked(docs, propensity):
     return docs.withColumn("rank", rank).withColumn("bin", F.floor(F.col("rank") * BINS).cast("int"))
 
 
+def _taken():
+    """Whether a ranked document with the `cuts` of its source is in the sample."""
+    def within(cut):
+        return (F.col("size") <= cut["limit"]) & (
+            (F.col("bin") < cut["bin"]) | ((F.col("bin") == cut["bin"]) & (F.col("rank") <= cut["rank"]))
+        )
+
+    return F.exists("cuts", within)
+
+
 def cuts(light, targets, propensity=None):
-    """Rows (source, source_size, target, whole, part, end_bin, end_rank) that say how often each document is taken.
+    """(Rows (source, source_size, target, whole, part, cuts), small): how often each document is taken.
 
-    Every document is taken `whole` times for certain, and once more if its rank is in a bin before end_bin, or in
-    end_bin and not above end_rank. The ranks are taken in order up to the one that brings the words nearest to the target;
-    equal ranks go together. `light` has (source, size, draw).
+    Every document is taken `whole` times for certain, and once more if one of the `cuts` (limit, bin, rank) holds it: its
+    size is within the limit and its rank not behind the cut. The first cut is the sample: ranks in order as long as their
+    words fit the target. FILLS further cuts do the same with what is left and the documents no longer than
+    that; the last one may go beyond the target if that comes nearer. Equal ranks go together. Only the bin in
+    which a cut lies is sorted. `light` has (source, size, draw); `small` tells that sources are few enough to broadcast.
     """
     small = targets.count() <= BROADCAST_SOURCES
     some = F.col("source_size") > 0
     whole = F.when(some, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
     plan = targets.withColumn("whole", whole)
     plan = plan.withColumn("part", F.when(some, F.col("target") / F.col("source_size") - F.col("whole")).otherwise(0.0))
-    plan = plan.withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
-
-    ranked = _ranked(of_source(light, plan, small), propensity)
-    upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = ranked.groupBy("source", "need", "bin").agg(F.sum("size").alias("size")).withColumn("upto", F.sum("size").over(upto))
-    ends = bins.filter(F.col("upto") >= F.col("need")).groupBy("source").agg(
-        F.min(F.struct("bin", (F.col("upto") - F.col("size")).alias("before"))).alias("end")
-    ).select("source", F.col("end.bin").alias("end_bin"), F.col("end.before").alias("before"))
-    plan = stage(of_source(plan, ends, small, "left"), "mix-ends")
-
-    last = _ranked(of_source(light, plan, small), propensity).filter(F.col("bin") == F.col("end_bin"))
-    ahead = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    steps = last.groupBy("source", "rank", "before", "need").agg(F.sum("size").alias("size")).withColumn(
-        "off", F.abs(F.col("before") + F.sum("size").over(ahead) - F.col("need"))
-    )
-    best = steps.groupBy("source").agg(
-        F.min(F.struct("off", "rank")).alias("best"), F.min(F.abs(F.col("before") - F.col("need"))).alias("none")
-    ).select("source", F.when(F.col("none") <= F.col("best.off"), -1.0).otherwise(F.col("best.rank")).alias("end_rank"))
-    return stage(of_source(plan, best, small, "left").drop("before", "need"), "mix-cuts"), small
+    plan = plan.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
+    plan = plan.withColumn("cuts", F.array().cast("array<struct<limit:bigint,bin:int,rank:double>>"))
+    so_far = Window.partitionBy("source").rowsBetween(Window.unboundedPreceding, 0)
+    for fill in range(FILLS + 1):
+        limit = F.floor("left").cast("bigint") if fill else F.lit((1 << 63) - 1)
+        free = _ranked(of_source(light, plan, small), propensity).filter(
+            (F.col("part") > 0) & ~_taken() & (F.col("size") <= limit)
+        )
+        bins = free.groupBy("source", "left", "bin").agg(F.sum("size").alias("size"))
+        bins = bins.withColumn("upto", F.sum("size").over(so_far.orderBy("bin")))
+        ends = bins.filter(F.col("upto") > F.col("left")).groupBy("source").agg(
+            F.min(F.struct("bin", (F.col("upto") - F.col("size")).alias("before"))).alias("end")
+        )
+        all_words = bins.groupBy("source").agg(F.max("upto").alias("all"))
+        plan = of_source(of_source(plan, ends, small, "left"), all_words, small, "left")
+        # Without a bin that goes beyond what is left, all free documents are taken.
+        plan = stage(plan.select(
+            *targets.columns, "whole", "part", "left", "cuts",
+            F.when(F.col("part") > 0, F.coalesce("end.bin", F.lit(BINS + 1))).otherwise(-1).alias("end_bin"),
+            F.coalesce("end.before", "all", F.lit(0)).alias("before"),
+        ), "mix-ends")
+        limit = F.floor("left").cast("bigint") if fill else F.lit((1 << 63) - 1)
+        last = _ranked(of_source(light, plan, small), propensity).filter(
+            (F.col("part") > 0) & ~_taken() & (F.col("size") <= limit) & (F.col("bin") == F.col("end_bin"))
+        )
+        steps = last.groupBy("source", "rank", "before", "left").agg(F.sum("size").alias("size")).withColumn(
+            "upto", F.col("before") + F.sum("size").over(so_far.orderBy("rank"))
+        )
+        if fill < FILLS:
+            steps = steps.filter(F.col("upto") <= F.col("left")).groupBy("source").agg(
+                F.max(F.struct("rank", "upto")).alias("best")
+            )
+        else:
+            off = lambda words: F.abs(F.col(words) - F.col("left"))
+            steps = steps.filter(off("upto") < off("before")).withColumn("off", off("upto")).groupBy("source").agg(
+                F.min_by(F.struct("rank", "upto"), F.struct("off", "rank")).alias("best")
+            )
+        plan = of_source(plan, steps, small, "left")
+        plan = stage(plan.select(
+            *targets.columns, "whole", "part",
+            (F.col("left") - F.coalesce("best.upto", "before")).alias("left"),
+            F.concat("cuts", F.array(F.struct(
+                limit.alias("limit"), F.col("end_bin").alias("bin"), F.coalesce("best.rank", F.lit(-1.0)).alias("rank")
+            ))).alias("cuts"),
+        ), "mix-cuts")
+    return plan.drop("left"), small
 
 
 def of_source(rows, table, small, how="inner"):
@@ -118,10 +159,9 @@ def rated(docs, id_col="doc_id", text="text", source="source", propensity=None,
     inner = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], F.col(source).alias("source"), words(F.col(text)).alias("size"),
                         draw(id_col, seed).alias("draw"), *([F.col(propensity)] if propensity else []))
     ranked = _ranked(of_source(inner, plan, small), propensity)
-    more = (F.col("bin") < F.col("end_bin")) | ((F.col("bin") == F.col("end_bin")) & (F.col("rank") <= F.col("end_rank")))
     return ranked.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "size", "source_size", "target",
-        (F.col("whole") + F.coalesce(more, F.lit(False)).cast("int")).alias("copies"),
+        (F.col("whole") + _taken().cast("int")).alias("copies"),
     )
 
 

@@ -69,15 +69,27 @@ targets AS (
   FROM shares, ends),
 plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM targets),
-steps AS (
-  SELECT d.source, draw, abs(sum(size) OVER (PARTITION BY d.source ORDER BY draw) - (target - whole * source_size)) AS off
-  FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source
-  UNION ALL SELECT source, -1, abs(target - whole * source_size) FROM plan),
-cuts AS (
+p0 AS (
+  SELECT d.*, target - whole * source_size AS need,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY draw) AS upto
+  FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source),
+k0 AS (SELECT source, need, need - coalesce(max(upto) FILTER (WHERE upto <= need), 0) AS rest FROM p0 GROUP BY source, need),
+p1 AS (
+  SELECT p0.doc_id, p0.source, p0.size, p0.draw, rest, sum(p0.size) OVER (PARTITION BY p0.source ORDER BY draw) AS upto
+  FROM p0 JOIN k0 ON p0.source IS NOT DISTINCT FROM k0.source WHERE NOT upto <= p0.need AND size <= rest),
+k1 AS (SELECT source, rest - coalesce(max(upto) FILTER (WHERE upto <= rest), 0) AS rest FROM p1 GROUP BY source, rest),
+p2 AS (
+  SELECT p1.doc_id, p1.source, p1.draw, k1.rest, sum(p1.size) OVER (PARTITION BY p1.source ORDER BY draw) AS upto
+  FROM p1 JOIN k1 ON p1.source IS NOT DISTINCT FROM k1.source WHERE NOT upto <= p1.rest AND size <= k1.rest),
+k2 AS (
   SELECT source, draw AS cut FROM (
-    SELECT *, row_number() OVER (PARTITION BY source ORDER BY off, draw) AS place FROM steps) WHERE place = 1)
-SELECT doc_id, size, source_size, target,
-       CAST((whole + CASE WHEN draw <= cut THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source JOIN cuts ON d.source IS NOT DISTINCT FROM cuts.source"""
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY abs(upto - rest), draw) AS place FROM (
+      SELECT source, draw, upto, rest FROM p2 UNION ALL SELECT DISTINCT source, -1, 0, rest FROM p2)) WHERE place = 1),
+more AS (
+  SELECT doc_id FROM p0 WHERE upto <= need UNION ALL SELECT doc_id FROM p1 WHERE upto <= rest
+  UNION ALL SELECT doc_id FROM p2 JOIN k2 ON p2.source IS NOT DISTINCT FROM k2.source WHERE draw <= cut)
+SELECT d.doc_id, d.size, source_size, target,
+       CAST((whole + CASE WHEN more.doc_id IS NULL THEN 0 ELSE 1 END) * d.size AS BIGINT) AS taken
+FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source LEFT JOIN more USING (doc_id)"""
 
 ORACLES = {"op1_decontamination": _OP1, "op4_chat_formatting": _OP4, "op9_source_mixing": _OP9}
