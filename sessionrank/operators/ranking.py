@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 from sessionrank import schemas
 
-# The features of the ranker, in order; genre flags follow, named with this prefix.
-GENRE_PREFIX = "genre_"
+# What numbers in the matrix identify or label a row.
+NO_FEATURES = {"session_id", "candidate_item_id", "user_id", "last_item_id", "second_last_item_id", "label"}
+
+# The features of the ranker, in order; genre flags follow.
 FEATURE_COLS = [
     "session_length",
     "item_global_count",
@@ -34,10 +36,13 @@ MAX_ROUNDS, PATIENCE = 50, 30
 
 
 def feature_columns(matrix):
-    """The ranker's features that the matrix has: the fixed ones in their order, then flags as they come."""
-    numeric = {f.name: f.dataType for f in matrix.schema if isinstance(f.dataType, T.NumericType)}
-    flags = (name for name in numeric if name.startswith(GENRE_PREFIX))
-    return [*filter(numeric.__contains__, FEATURE_COLS), *flags]
+    """The ranker's features: every number of the matrix that is neither an id nor the label.
+
+    The fixed ones come in their order, whatever their place in the matrix; others follow as they come.
+    """
+    order = {name: place for place, name in enumerate(FEATURE_COLS)}
+    numbers = (f.name for f in matrix.schema if isinstance(f.dataType, T.NumericType))
+    return sorted((n for n in numbers if n not in NO_FEATURES), key=lambda n: order.get(n, len(order)))
 
 
 def _best_rounds(losses, patience):

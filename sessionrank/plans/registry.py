@@ -16,7 +16,7 @@ _QUERIES = {}
 
 # A limit of rows per task that the users of the small tables exceed, and weights of the linear score
 # that stands in for the trees where a query is compared with SQL.
-HOT_SLICE = 16
+HOT_SLICE = 48
 LINEAR_WEIGHTS = {
     "cooc_score_last_item": 3.0, "item_global_count": 0.5, "item_global_rank": -0.25,
 }
