@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 # Python tasks work on so many bytes of text at a time.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def read(spark, folder, name):
@@ -53,7 +54,7 @@ def texts_of(column):
 
 def pieces(batch, at):
     """Consecutive slices of a batch whose texts (column number `at`) come to PIECE_BYTES or a single row."""
-    sizes = np.array([len(x) for x in texts_of(batch.column(at))], dtype=np.int64)
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(sizes) // PIECE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
     for a, b in zip(cuts, cuts[1:]):
