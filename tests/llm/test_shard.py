@@ -53,3 +53,26 @@ def test_every_arrangement_is_equally_likely(spark):
     first = [[r["doc_id"] for r in shard.shuffle(docs, shards=2, seed=s, part_rows=2).orderBy("shard", "slot").collect()] for s in range(60)]
     means = np.mean([[row.index(i) for i in range(6)] for row in first], axis=0)
     assert np.abs(means - 2.5).max() < 1.0
+
+
+def test_copies_of_a_row_are_dealt_independently(spark):
+    n = 600
+    docs = documents(spark, [f"t{i}" for i in range(n)] * 3, ids=list(range(n)) * 3, source=["s"] * (3 * n))
+    places = {}
+    for r in shard.shuffle(docs, part_rows=50).collect():
+        places.setdefault((r["doc_id"], r["text"]), []).append((r["shard"], r["slot"]))
+    assert len(places) == n and all(len(set(p)) == 3 for p in places.values())
+    pairs = [(a, b) for p in places.values() for a, b in ((p[0], p[1]), (p[0], p[2]), (p[1], p[2]))]
+    together = sum(a[0] == b[0] for a, b in pairs) / len(pairs)
+    assert abs(together - 1 / 8) < 0.05
+    assert sum(a[0] == b[0] and abs(a[1] - b[1]) == 1 for a, b in pairs) < 0.02 * len(pairs)
+
+
+def test_rows_of_one_id_and_of_none_are_spread(spark):
+    docs = documents(spark, [f"t{i % 400}" for i in range(1600)], ids=[None] * 800 + [7] * 800, source=["s"] * 1600)
+    slots = {}
+    for r in shard.shuffle(docs, part_rows=50).collect():
+        slots.setdefault(r["shard"], []).append((r["slot"], r["doc_id"]))
+    for rows in slots.values():  # neighbours have the same id by chance only
+        ids = [i for _, i in sorted(rows, key=lambda x: x[0])]
+        assert sum(a == b for a, b in zip(ids, ids[1:])) < 0.65 * len(ids)
