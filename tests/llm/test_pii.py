@@ -70,3 +70,24 @@ def test_prefix_sums_in_blocks(spark):
         pii.prefix_sums(F.sequence(F.lit(1).cast("bigint"), F.lit(1000).cast("bigint"))).alias("p"),
     ).first()
     assert row["p"] == [k * (k + 1) // 2 for k in range(1000)]
+
+
+def iban(country, account):
+    """With valid check digits."""
+    turned = "".join(str(int(c, 36)) for c in account + country + "00")
+    return f"{country}{98 - int(turned) % 97:02d}{account}"
+
+
+def test_ibans_end_at_their_country_s_length(spark):
+    good = ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO93 8601 1117 947"]
+    good += [iban(c, "1" * (n - 4)) for n, cs in pii.IBAN_LENGTHS.items() for c in cs.split()]
+    after = ["", " Please pay", " 2024", " BIC COBADEFF", ", X", " A1 B2", " " + good[2]]
+    cases = [(f"To {g}{a}", g, a) for g in good for a in after]
+    texts = [t for t, _, _ in cases] + ["To DE89370400440532013000X", "To DE8937040044053201300", "xDE89370400440532013000", "QQ89370400440532013000"]
+    for r in pii.find_pii(documents(spark, texts)).collect():
+        got = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "iban"]
+        if r["doc_id"] < len(cases):
+            text, g, a = cases[r["doc_id"]]
+            assert got[:1] == [(3, 3 + len(g))] and len(got) == 1 + (a == after[-1]), text
+        else:
+            assert got == []
