@@ -20,6 +20,8 @@ _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 # Tokens that the battery looks at, and the alphabets it infers, smallest first.
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]+")
 TOKEN_LEAST = 20
+# What is looked at in a run with characters of both base64 alphabets, which fits neither.
+_PARTS = [re.compile(r"[A-Za-z0-9%s]{%d,}" % (c, TOKEN_LEAST)) for c in ("+/", "_-")]
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = (
     ("hex", DIGITS + "abcdef"), ("HEX", DIGITS + "ABCDEF"), ("base32", UPPER + "234567"), ("base36", DIGITS + LOWER),
@@ -43,6 +45,17 @@ def encoding_of(token):
     return next((k for k, (alphabet, _) in enumerate(_SETS) if chars <= alphabet), None)
 
 
+def tokens(text):
+    """(start, end) of the runs that the battery looks at; of a run that has '+' or '/' and '_' or '-', its longest parts without either pair."""
+    for m in TOKEN.finditer(text):
+        if len(m[0]) < TOKEN_LEAST:
+            continue
+        if any(c in m[0] for c in "+/") and any(c in m[0] for c in "_-"):
+            yield from sorted({(p.start(), p.end()) for part in _PARTS for p in part.finditer(text, m.start(), m.end())})
+        else:
+            yield m.start(), m.end()
+
+
 def _two_sided(z):
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -83,13 +96,13 @@ def spans(text):
     found = [(0, m.start(), m.end(), -1, -1, 0) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     found += [(1, m.start(), m.end(), -1, -1, 0) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST]
     found += [(2, m.start(), m.end(), -1, -1, 0) for m in HEX.finditer(text) if len(m[0]) >= HEX_LEAST]
-    for m in TOKEN.finditer(text):
-        if len(m[0]) >= TOKEN_LEAST:
-            encoding = encoding_of(m[0])
-            if encoding is not None:
-                stratum = encoding * 64 + len(m[0]).bit_length()
-                key = zlib.crc32(m[0].encode()) << 31 ^ zlib.adler32(m[0].encode())
-                found.append((3, m.start(), m.end(), stratum, rounded(p_value(m[0], encoding)), key))
+    for start, end in tokens(text):
+        token = text[start:end]
+        encoding = encoding_of(token)
+        if encoding is not None:
+            stratum = encoding * 64 + len(token).bit_length()
+            key = zlib.crc32(token.encode()) << 31 ^ zlib.adler32(token.encode())
+            found.append((3, start, end, stratum, rounded(p_value(token, encoding)), key))
     return sorted(found, key=lambda s: (s[1], s[0], s[2]))
 
 

@@ -57,3 +57,13 @@ def test_discovery_control_is_benjamini_hochberg(spark):
 
 def test_empty_table(spark):
     assert s.find_secrets(documents(spark, TEXTS).limit(0)).collect() == []
+
+
+def test_tokens_glued_by_the_other_alphabet_s_characters_are_found(spark):
+    rng = random.Random(6)
+    letters = s.ENCODINGS[6][1]
+    keys = ["".join(rng.choice(letters) for _ in range(36)) + "+/9z" for _ in range(40)]
+    texts = [f"key_{k}" for k in keys] + [f"x-{k}_prod" for k in keys]
+    found = {r["doc_id"]: [(x["kind"], x["start"], x["end"]) for x in r["spans"]] for r in s.find_secrets(documents(spark, texts)).collect()}
+    at = [4] * 40 + [2] * 40
+    assert sum(("random", a, a + 40) in found[i] for i, a in enumerate(at)) >= 76
