@@ -1,6 +1,6 @@
 """DuckDB SQL of the queries that SQL can express, written apart from the Spark code.
 
-The others have none: XXH64, CRC32 and fitted models are not at hand in SQL, look-behind patterns neither.
+The others have none: XXH64 and fitted models are not at hand in SQL, look-behind patterns neither.
 """
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -92,4 +92,91 @@ SELECT d.doc_id, d.size, source_size, target,
        CAST((whole + CASE WHEN more.doc_id IS NULL THEN 0 ELSE 1 END) * d.size AS BIGINT) AS taken
 FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source LEFT JOIN more USING (doc_id)"""
 
-ORACLES = {"op1_decontamination": _OP1, "op4_chat_formatting": _OP4, "op9_source_mixing": _OP9}
+
+
+def _crc32(codes):
+    """CRC-32, bit by bit, of a SQL list of bytes."""
+    bits = f"flatten([[(b >> i) & 1 for i in range(8)] for b in {codes}])"
+    start = f"list_prepend(CAST(4294967295 AS BIGINT), {bits})"
+    return f"xor(list_reduce({start}, lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"
+
+
+_VALUES = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)")
+_LEAF = " || ".join(f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')" for v in (*_VALUES, "$text"))
+_DIGITS = "[CAST(ord(x) AS BIGINT) for x in string_split(CAST(doc_id AS VARCHAR), '')]"
+_CHANGED = f"CASE WHEN {_crc32(_DIGITS)} % 5 = 0 THEN translate(text, '{_UPPER}', '{_LOWER}') ELSE text END"
+
+_OP11 = f"""
+WITH RECURSIVE
+leaves AS (
+  SELECT doc_id, source, sha256({_LEAF.replace("$text", "text")}) AS leaf, sha256({_LEAF.replace("$text", "changed")}) AS changed
+  FROM (SELECT *, {_CHANGED} AS changed FROM documents)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, count(*) OVER (PARTITION BY source) AS n,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree
+  FROM leaves),
+inner_nodes AS (
+  SELECT tree, 0 AS level, k, n, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT tree, level + 1, k // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY k))
+  FROM inner_nodes WHERE n > 1 GROUP BY tree, level, k // 16, n),
+subroots AS (SELECT tree, digest AS subroot FROM inner_nodes WHERE n = 1),
+top_nodes AS (
+  SELECT 0 AS tree, 0 AS level, tree - 1 AS k, (SELECT count(*) FROM subroots) AS n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT 0, level + 1, k // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY k))
+  FROM top_nodes WHERE n > 1 GROUP BY level, k // 16, n),
+runs AS (
+  SELECT tree, level, k // 16 AS run, list(digest ORDER BY k) AS digests
+  FROM (SELECT * FROM inner_nodes UNION ALL SELECT * FROM top_nodes) WHERE n > 1 GROUP BY ALL),
+up AS (
+  SELECT row_number() OVER () AS id, doc_id, leaf, tree, tree AS home, 0 AS level, k, n, changed AS folded, '' AS proof FROM ranked
+  UNION ALL
+  SELECT id, doc_id, leaf, up.tree, home, up.level + 1, k // 16, (n + 15) // 16,
+         sha256(array_to_string(digests[1:k % 16], '') || folded || array_to_string(digests[k % 16 + 2:], '')),
+         proof || array_to_string(digests[1:k % 16], '') || array_to_string(digests[k % 16 + 2:], '')
+  FROM up JOIN runs ON runs.tree = up.tree AND runs.level = up.level AND runs.run = k // 16 WHERE n > 1),
+over AS (
+  SELECT id, doc_id, leaf, home, 0 AS level, home - 1 AS k, (SELECT count(*) FROM subroots) AS n, folded, proof FROM up WHERE n = 1
+  UNION ALL
+  SELECT id, doc_id, leaf, home, over.level + 1, k // 16, (n + 15) // 16,
+         sha256(array_to_string(digests[1:k % 16], '') || folded || array_to_string(digests[k % 16 + 2:], '')),
+         proof || array_to_string(digests[1:k % 16], '') || array_to_string(digests[k % 16 + 2:], '')
+  FROM over JOIN runs ON runs.tree = 0 AND runs.level = over.level AND runs.run = k // 16 WHERE n > 1)
+SELECT doc_id, leaf, subroot, top.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = top.digest AS verified
+FROM over JOIN subroots ON home = subroots.tree, (SELECT digest FROM top_nodes WHERE n = 1) AS top WHERE over.n = 1"""
+
+_CODES = "[CAST(ord(x) AS BIGINT) for x in string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, '')]"
+_BYTES = f"flatten([CASE WHEN p < 128 THEN [p] ELSE [192 | (p >> 6), 128 | (p & 63)] END for p in {_CODES}])"
+
+_OP12 = rf"""
+WITH RECURSIVE
+tokens AS (
+  SELECT doc_id, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+  GROUP BY doc_id, w),
+hashed AS (SELECT w, n, {_crc32(_BYTES)} AS h FROM tokens),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT x.word AS a, y.word AS b, y.n FROM cut AS x JOIN cut AS y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT cut.word, words.word, words.n FROM cut JOIN words ON rest = words.word
+  UNION SELECT words.word, cut.word, cut.n FROM cut JOIN words ON rest = words.word),
+best AS (
+  SELECT a AS word, count(*) OVER (PARTITION BY a) AS n_near, b, n, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS place FROM near),
+forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 10 * words.n THEN b END AS form,
+         CASE WHEN best.n >= 10 * words.n THEN best.n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word AND place = 1),
+chains AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL SELECT chains.word, forms.form, steps + 1 FROM chains JOIN forms ON chains.root = forms.word WHERE form IS NOT NULL)
+SELECT forms.word, form, ends.root, n, n_near, form_n
+FROM forms JOIN (SELECT word, max_by(root, steps) AS root FROM chains GROUP BY word) AS ends ON ends.word = forms.word"""
+
+ORACLES = {"op1_decontamination": _OP1, "op4_chat_formatting": _OP4, "op9_source_mixing": _OP9, "op11_merkle_manifest": _OP11,
+           "op12_spelling_variants": _OP12}

@@ -4,8 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from sessionrank.llm import chat, decontaminate, fingerprint, langid, lm, mix, pii, secret_scan, shard, simhash
-from sessionrank.llm.common import joined_spans, read
+from sessionrank.llm import (
+    chat, decontaminate, fingerprint, langid, lm, merkle, mix, pii, secret_scan, shard, simhash, spelling, toxicity,
+)
+from sessionrank.llm.common import LOWER, UPPER, joined_spans, read
 from sessionrank.llm.oracles import ORACLES  # noqa: F401
 
 VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -98,7 +100,32 @@ def op10_language_id(spark, folder):
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
 
 
+def op11_merkle_manifest(spark, folder):
+    number = F.col("doc_id").cast("string")  # a null id has no decimal form: such rows are left as they are
+    hit = F.crc32(number.cast("binary")) % 5 == 0
+    found = merkle.audit(read(spark, folder, "documents"), {"text": F.translate("text", UPPER, LOWER)}, hit)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op12_spelling_variants(spark, folder):
+    return spelling.group_variants(read(spark, folder, "documents"), spelling.noisy)
+
+
+def op13_toxicity(spark, folder):
+    docs, held_out = read(spark, folder, "documents"), remainder("doc_id", 3) == 1
+    model = toxicity.fit(docs, read(spark, folder, "labels").filter(~held_out))
+    found = toxicity.tag(docs, model)
+    spans = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "toxic_words", spans.alias("spans"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_pii, op3_lm_scoring, op4_chat_formatting, op5_simhash_near_dedup, op6_secret_scan,
     op7_document_fingerprints, op8_sharding, op9_source_mixing, op10_language_id,
+    op11_merkle_manifest, op12_spelling_variants, op13_toxicity,
 )}

@@ -23,6 +23,6 @@ def test_query_equals_sql(spark, name):
     assert sorted(tuple(r[c] for c in columns) for r in got.collect()) == sorted(theirs)
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in driver.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in driver.queries()
