@@ -54,6 +54,29 @@ def dense_index(df, key, out):
     return exclusive_prefix(ones, key, "one", low, high).withColumnRenamed("prefix", out)
 
 
+def ordered_prefix(df, order, **values):
+    """`df` with, for each `name=column`, the sum of the column over all rows before in the order of the columns `order`.
+
+    The order must be total (no two rows alike in it); it may be of any types. Rows are dealt out by ranges of it, written with the number
+    of their task, and summed within the task; the tasks' own totals, one row for each, are added up in the driver.
+    """
+    names = df.columns
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialize(dealt.withColumn("its task", F.spark_partition_id()), "ranges")
+    totals = placed.groupBy("its task").agg(*[F.sum(c).alias(n) for n, c in values.items()]).collect()
+    lead, leads = dict.fromkeys(values, 0), []
+    for row in sorted(totals, key=lambda r: r["its task"]):
+        leads.append((row["its task"], *lead.values()))
+        lead = {n: lead[n] + (row[n] or 0) for n in values}
+    schema = "`its task` int, " + ", ".join(f"`{n}` {placed.schema[c].dataType.simpleString()}" for n, c in values.items())
+    leads = df.sparkSession.createDataFrame(leads, schema)
+    before = Window.partitionBy("its task").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.select(*names, "its task", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{n} inside") for n, c in values.items()])
+    return inside.join(F.broadcast(leads), "its task").select(
+        *names, *[(F.col(n) + F.col(f"{n} inside")).alias(n) for n in values]
+    )
+
+
 def frequencies(df, value):
     """Rows (value, freq): how often each value occurs."""
     return df.groupBy(value).agg(F.count(F.lit(1)).alias("freq"))

@@ -2,16 +2,15 @@
 
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionrank import schemas
+from sessionrank.operators import boosting
+from sessionrank.sources import trees
 
+# What identifies a row of the matrix.
+KEYS = ("session_id", "candidate_item_id")
 # What numbers in the matrix identify or label a row.
 NO_FEATURES = {"session_id", "candidate_item_id", "user_id", "last_item_id", "second_last_item_id", "label"}
 
@@ -31,10 +30,6 @@ FEATURE_COLS = [
 ]
 
 
-# Rounds of boosting, and for how many of them the loss on held-out rows may fail to fall before the rest is dropped.
-MAX_ROUNDS, PATIENCE = 50, 30
-
-
 def feature_columns(matrix):
     """The ranker's features: every number of the matrix that is neither an id nor the label.
 
@@ -45,60 +40,17 @@ def feature_columns(matrix):
     return sorted((n for n in numbers if n not in NO_FEATURES), key=lambda n: order.get(n, len(order)))
 
 
-def _best_rounds(losses, patience):
-    """Rounds up to the one of least loss, looking no further than `patience` rounds without a new least."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def _first_rounds(trees, rounds):
-    """The boosted model of the first rounds."""
-    context = SparkSession.getActiveSession().sparkContext
-    kind = context._jvm.org.apache.spark.ml
-    kept = context._gateway.new_array(kind.regression.DecisionTreeRegressionModel, rounds)
-    weights = context._gateway.new_array(context._jvm.double, rounds)
-    for i, (tree, weight) in enumerate(zip(trees.trees[:rounds], trees.treeWeights)):
-        kept[i], weights[i] = tree._java_obj, float(weight)
-    shorter = GBTClassificationModel(kind.classification.GBTClassificationModel(trees.uid, kept, weights))
-    return trees._copyValues(shorter)
-
+def fit_ranker(train, val=None, **settings):
+    """A boosting.Booster on `label`: up to 500 rounds, ended and chosen by the area under the curve on `val`.
 
-def fit_ranker(train, val=None, max_iter=MAX_ROUNDS, patience=PATIENCE, **params):
-    """A fitted pipeline (assembler, boosted trees) on `label`.
-
-    With `val`, the loss on it is measured after every round, and the rounds up to the best one are kept: the least loss
-    before `patience` rounds in a row bring no improvement. `params` override the tree settings.
+    `settings` override those of boosting.Settings. Without `val` all rounds are fitted and kept.
     """
-    settings = {
-        "lossType": "logistic", "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 20,
-        "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": schemas.SEED,
-        "maxIter": max_iter, **params,
-    }
-    columns = feature_columns(train)
-    narrow = [F.col(f"`{c}`") for c in columns] + [F.col("label").cast("double").alias("label")]
-    assembler = VectorAssembler(inputCols=columns, outputCol="features")
-    trees = GBTClassifier(featuresCol="features", labelCol="label", **settings)
-    model = Pipeline(stages=[assembler, trees]).fit(train.select(*narrow))
-    if val is not None:
-        held_out = model.stages[0].transform(val.select(*narrow))
-        if held_out.limit(1).count():
-            losses = model.stages[1].evaluateEachIteration(held_out)
-            rounds = _best_rounds(losses, patience)
-            if rounds < len(losses):
-                model = PipelineModel([model.stages[0], _first_rounds(model.stages[1], rounds)])
-    return model
+    return boosting.fit(train, val, feature_columns(train), KEYS, boosting.Settings(**settings))
 
 
 def predict(model, matrix):
     """Adds `score`, the probability of a positive label."""
-    return _fitted(model).transform(matrix).withColumn(
-        "score", vector_to_array("probability")[1]
-    ).drop("features", "rawPrediction", "probability", "prediction")
+    return _fitted(model).score(matrix)
 
 
 def rerank(scored, top_k, score="score"):
@@ -126,18 +78,22 @@ def _fitted(model):
 
 
 def feature_importance(spark, model):
-    """Rows (feature, importance), largest first; importances sum to 1."""
-    assembler, trees = _fitted(model).stages
-    gains = dict(enumerate(trees.featureImportances.toArray()))
-    rows = [(name, float(gains.get(i, 0.0))) for i, name in enumerate(assembler.getInputCols())]
-    return spark.createDataFrame(rows, schemas.IMPORTANCE).orderBy(F.desc("importance"), "feature")
+    """Rows (feature, importance), largest first: the total gain of the feature's splits."""
+    return _fitted(model).total_gain(spark).orderBy(F.desc("importance"), "feature")
+
+
+def fit_history(spark, model):
+    """Rows (round, auc, loss, train_loss, kept) of all rounds fitted: on the validation rows, and the loss on the training rows."""
+    kept = len(_fitted(model).trees)
+    rows = [(*h, h[0] <= kept) for h in model.history]
+    return spark.createDataFrame(rows, "round int, auc double, loss double, train_loss double, kept boolean")
 
 
 def save_ranker(model, path):
-    """Saves the pipeline; the feature list is part of it."""
-    _fitted(model).write().overwrite().save(path)
+    """Saves the trees as text, and the names of their features beside them."""
+    trees.write_trees(SparkSession.active(), _fitted(model), path)
 
 
 def load_ranker(path):
-    """A ranker saved by `save_ranker`."""
-    return PipelineModel.load(path)
+    """A ranker saved by `save_ranker`, or a text of trees of the same format from elsewhere."""
+    return trees.read_trees(SparkSession.active(), path)

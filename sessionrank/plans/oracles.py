@@ -288,6 +288,12 @@ _FEATURES = [
     "item_is_head", "user_total_interactions", "user_total_sessions", "user_mean_session_length", "user_is_dense",
     "cooc_score_last_item", *(f"genre_{g}" for g in _GENRES),
 ]
+# Facts that hold for no tree or round.
+_LEAFWISE_FACTS = [
+    "trees with too many leaves", "trees without a root", "nodes that are not the child of one node", "children that are no nodes",
+    "splits without gain", "leaves with too few rows", "splits whose children have other rows", "rounds of a sample that raised its loss",
+    "rounds beyond the best one and patience", "kept rounds after the best", "rounds fitted short of patience",
+]
 # Every item of a session, context or target, as relevant.
 _WHOLE_SESSION = """
   SELECT session_id, item_id FROM ctx UNION SELECT session_id, target_item_id FROM tgt"""
@@ -319,6 +325,63 @@ def _embedding(shift):
 WHERE rank <= 20"""
 
 
+def _leafwise(splits):
+    """Steps of the first splits of one tree on all rows of `matrix`: s1, s2, ... and the leaves after them.
+
+    Derivatives are those of the log loss at the mean label, as multiples of 2^-30; at most 255 bins a feature.
+    """
+    long = " UNION ALL ".join(
+        f"SELECT r, {i} AS f, CAST({name} AS DOUBLE) AS v FROM numbered" for i, name in enumerate(_FEATURES)
+    )
+    steps = [
+        ("numbered", "SELECT *, row_number() OVER () AS r FROM matrix"),
+        ("derivatives", "SELECT r, CAST(round((p - label) * 1073741824) AS BIGINT) AS g, CAST(round(p * (1 - p) * 1073741824) AS BIGINT) AS h "
+                        "FROM numbered, (SELECT avg(label) AS p FROM numbered)"),
+        ("cells", long),
+        ("kinds", "SELECT *, count(*) OVER (PARTITION BY f) AS kinds, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS place, "
+                  "sum(n) OVER (PARTITION BY f ORDER BY v) - n AS before, sum(n) OVER (PARTITION BY f) AS every "
+                  "FROM (SELECT f, v, count(*) AS n FROM cells GROUP BY f, v)"),
+        ("bins", "SELECT f, bin, min(v) AS low, max(v) AS high FROM (SELECT *, CASE WHEN kinds <= 255 THEN place "
+                 "ELSE floor(CAST(before * 255 AS DOUBLE) / every) END AS bin FROM kinds) GROUP BY f, bin"),
+        ("edges", "SELECT f, high + (following - high) / 2 AS edge FROM "
+                  "(SELECT *, lead(low) OVER (PARTITION BY f ORDER BY bin) AS following FROM bins) WHERE following IS NOT NULL"),
+        ("binned", "SELECT r, cells.f, edge FROM cells LEFT JOIN (SELECT DISTINCT kinds.f, v, min(edge) AS edge FROM kinds JOIN edges "
+                   "ON kinds.f = edges.f AND v <= edge GROUP BY kinds.f, v) e ON cells.f = e.f AND cells.v = e.v"),
+        ("leaf0", "SELECT r, 0 AS leaf FROM numbered"),
+    ]
+    score = lambda g, h: f"pow(greatest(abs({g} / 1073741824) - 0.05, 0), 2) / ({h} / 1073741824 + 0.05)"
+    for i in range(1, splits + 1):
+        steps += [
+            (f"hist{i}", f"SELECT leaf, f, edge, sum(g) AS g, sum(h) AS h, count(*) AS n FROM binned JOIN leaf{i - 1} USING (r) "
+                         "JOIN derivatives USING (r) GROUP BY leaf, f, edge"),
+            (f"sums{i}", "SELECT leaf, f, edge, "
+                         + ", ".join(f"sum({c}) OVER upto AS {c}l, sum({c}) OVER every AS {c}" for c in "ghn")
+                         + f" FROM hist{i} WINDOW upto AS (PARTITION BY leaf, f ORDER BY edge NULLS LAST), every AS (PARTITION BY leaf, f)"),
+            (f"s{i}", f"SELECT * FROM (SELECT *, {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} AS gain FROM sums{i} "
+                      "WHERE edge IS NOT NULL AND nl >= 20 AND n - nl >= 20 AND hl >= 1073741.824 AND h - hl >= 1073741.824) "
+                      "WHERE gain > 0 ORDER BY gain DESC, leaf, f, edge LIMIT 1"),
+            (f"leaf{i}", f"SELECT l.r, CASE WHEN l.leaf <> s{i}.leaf THEN l.leaf WHEN v <= edge THEN {2 * i - 1} ELSE {2 * i} END AS leaf "
+                         f"FROM leaf{i - 1} l, s{i} JOIN cells ON cells.f = s{i}.f WHERE cells.r = l.r"),
+        ]
+    return steps
+
+
+def _tree_sql(body):
+    base = _sql("", ["matrix"], split="train")
+    return base.rstrip() + "".join(f", {name} AS MATERIALIZED ({text})" for name, text in _leafwise(3)) + "\n" + body
+
+
+_SPLITS = " UNION ALL ".join(f"SELECT {i - 1} AS place, * FROM s{i}" for i in (1, 2, 3))
+_NAMES = "(VALUES " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(_FEATURES)) + ") names(f, feature)"
+
+# The trees of the saved text: (tree, node, feature, threshold, left, right), children below 0 being leaves.
+_SAVED_NODES = """(VALUES (0, 0, 'cooc_score_last_item', 1.5, 1, 2), (0, 1, 'item_global_rank', 40.5, -1, -3), (0, 2, 'session_length', 3.5, -2, -4),
+  (1, 0, 'item_is_head', 0.5, -1, 1), (1, 1, 'cooc_score_last_item', 0.5, -2, -3)) nodes(tree, node, feature, threshold, l, r)"""
+# Zeros count as missing in one split, and missing values go right there.
+_SAVED_LEAVES = """(VALUES (0, -1, -2.5), (0, -2, -1.25), (0, -3, -3.0), (0, -4, -0.5), (1, -1, -0.125), (1, -2, 0.25), (1, -3, 0.75))
+  leaves(tree, node, value)"""
+
+
 def oracles():
     """SQL per query name."""
     three = {"recs": "three"}
@@ -434,6 +497,38 @@ FROM (SELECT c.session_id, least(10, max(k.n) - count(DISTINCT CASE WHEN known T
             "UNION ALL SELECT 'feature ' || f, 1 FROM (SELECT unnest(["
             + ", ".join(f"'{n}'" for n in _FEATURES) + "]) AS f) "
             "UNION ALL SELECT 'importance, thousandths', 1000 UNION ALL SELECT 'top features', 15", ["cooc_recs"]),
+        "q_leafwise_facts": "SELECT unnest([" + ", ".join(f"'{f}'" for f in _LEAFWISE_FACTS) + "]) AS fact, CAST(0 AS BIGINT) AS value",
+        "q_leafwise_tree": _tree_sql(
+            "SELECT CAST(place AS INTEGER) AS place, feature, round(edge, 6) AS threshold, round(gain, 6) AS gain, CAST(n AS BIGINT) AS rows "
+            f"FROM ({_SPLITS}) JOIN {_NAMES} USING (f)"),
+        "q_leafwise_leaves": _tree_sql(
+            "SELECT n AS rows, round(p - sign(g) * greatest(abs(g) - 0.05, 0) / (h + 0.05) * 0.05, 6) AS value "
+            "FROM (SELECT leaf, count(*) AS n, sum(g) / 1073741824 AS g, sum(h) / 1073741824 AS h FROM leaf3 JOIN derivatives USING (r) GROUP BY leaf), "
+            "(SELECT ln(avg(label) / (1 - avg(label))) AS p FROM matrix)"),
+        "q_total_gain": _tree_sql(
+            f"SELECT feature, round(coalesce(sum(gain), 0), 6) AS importance FROM {_NAMES} LEFT JOIN ({_SPLITS}) USING (f) GROUP BY feature"),
+        "q_auc": _sql(
+            "SELECT item_is_head, round((sum(CASE WHEN label = 1 THEN below + ties / 2 ELSE 0 END)) / (sum(label) * sum(1 - label)), 6) AS auc FROM ("
+            "SELECT s.item_is_head, label, sum(1 - label) OVER (PARTITION BY s.part ORDER BY score RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+            "- sum(1 - label) OVER (PARTITION BY s.part, score) AS below, sum(1 - label) OVER (PARTITION BY s.part, score) AS ties FROM ("
+            "SELECT item_is_head AS part, item_is_head, label, 3 * cooc_score_last_item + 0.5 * item_global_count - 0.25 * item_global_rank AS score FROM matrix "
+            "UNION ALL SELECT -1, NULL, label, 3 * cooc_score_last_item + 0.5 * item_global_count - 0.25 * item_global_rank FROM matrix) s) "
+            "GROUP BY item_is_head HAVING sum(label) > 0", ["matrix"]),
+        "q_saved_tree_scores": _sql("", ["matrix"]).replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+values_of AS MATERIALIZED (SELECT session_id, candidate_item_id, feature, CAST(value AS DOUBLE) AS value FROM (
+  SELECT session_id, candidate_item_id, CAST(cooc_score_last_item AS DOUBLE) AS cooc_score_last_item,
+         CAST(item_global_rank AS DOUBLE) AS item_global_rank, CAST(session_length AS DOUBLE) AS session_length,
+         CAST(item_is_head AS DOUBLE) AS item_is_head FROM matrix)
+  UNPIVOT (value FOR feature IN (cooc_score_last_item, item_global_rank, session_length, item_is_head))),
+descent AS (
+  SELECT session_id, candidate_item_id, tree, 0 AS node FROM matrix, (SELECT unnest([0, 1]) AS tree)
+  UNION ALL
+  SELECT session_id, candidate_item_id, descent.tree,
+         CASE WHEN descent.tree = 1 AND descent.node = 1 AND value = 0 THEN r WHEN value <= threshold THEN l ELSE r END
+  FROM descent JOIN {_SAVED_NODES} ON nodes.tree = descent.tree AND nodes.node = descent.node
+  JOIN values_of USING (session_id, candidate_item_id, feature))
+SELECT session_id, candidate_item_id, round(1 / (1 + exp(-sum(value))), 6) AS score
+FROM descent JOIN {_SAVED_LEAVES} ON leaves.tree = descent.tree AND leaves.node = descent.node GROUP BY session_id, candidate_item_id""",
         "q_two_stage": _sql(
             "SELECT metric, value FROM means WHERE system = 'cooc+ranker'", ["means"], **three),
         # evaluation

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from sessionrank import schemas
 from sessionrank.functions.staging import materialize, stage_path
 from sessionrank.operators import (
-    cooccurrence, errors, factors, features, metrics, popularity, ranking, reports, sessions,
+    boosting, cooccurrence, errors, factors, features, metrics, popularity, ranking, reports, sessions,
     slices,
 )
 from sessionrank.plans import stages
-from sessionrank.sources import files, fixtures
+from sessionrank.sources import files, fixtures, trees
 
 _QUERIES = {}
 
@@ -429,12 +429,13 @@ def top_features(spark, folder):
 
 @_query
 def ranker_facts(spark, folder):
-    """What must hold for any fitted ranker: rows scored, scores in range and kept by saving, names, importances."""
+    """What must hold for any fitted ranker: rows scored, scores in range and kept by saving, names, importances, rounds."""
     model, _, matrix = _fitted_ranker(spark, folder)
     path = stage_path(spark, "ranker")
     ranking.save_ranker(model, path)
+    loaded = ranking.load_ranker(path)
     scored = materialize(ranking.predict(model, materialize(matrix, "tested")), "scored")
-    again = ranking.predict(ranking.load_ranker(path), scored.withColumnRenamed("score", "first_score"))
+    again = ranking.predict(loaded, scored.withColumnRenamed("score", "first_score"))
     facts = again.agg(
         F.count(F.lit(1)).alias("scored rows"),
         F.count_if(F.col("score").between(0, 1)).alias("scores in range"),
@@ -442,12 +443,136 @@ def ranker_facts(spark, folder):
     ).unpivot([], ["scored rows", "scores in range", "scores kept"], "fact", "value")
     importance = ranking.feature_importance(spark, model)
     top = reports.top_features(importance, 15)
+    gains = importance.agg(F.sum("importance")).scalar()
+    kept = loaded.nodes(spark).agg(F.sum("gain").alias("kept")).select(F.round(1000 * F.col("kept") / gains).cast("bigint").alias("value"))
     return facts.unionByName(importance.select(
         F.concat(F.lit("feature "), "feature").alias("fact"), F.count_if(F.col("importance") >= 0).over(Window.partitionBy("feature")).alias("value")
-    )).unionByName(importance.agg(F.round(1000 * F.sum("importance")).cast("bigint").alias("value")).withColumn("fact", F.lit("importance, thousandths"))
+    )).unionByName(kept.withColumn("fact", F.lit("importance, thousandths"))
     ).unionByName(top.agg(F.count(F.lit(1)).alias("value")).withColumn("fact", F.lit("top features")))
 
 
+@_query
+def leafwise_facts(spark, folder):
+    """What must hold for trees grown best-first and rounds chosen by validation rows, whatever the data."""
+    model, _, _ = _fitted_ranker(spark, folder)
+    settings = boosting.Settings()
+    nodes = materialize(model.nodes(spark), "nodes")
+    history = materialize(ranking.fit_history(spark, model), "rounds")
+    leaves = nodes.filter("node < 0").groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
+    inner = nodes.filter("node >= 0")
+    sides = inner.select("tree", F.explode(F.array("left", "right")).alias("node"))
+    falls = history.withColumn("before", F.lag("train_loss").over(Window.partitionBy(F.floor((F.col("round") - 1) / 5)).orderBy("round")))
+    best = history.agg(F.max_by("round", F.struct("auc", -F.col("round")))).scalar()
+    counts = {
+        "trees with too many leaves": leaves.filter(F.col("n") > settings.leaves),
+        "trees without a root": nodes.select("tree").distinct().join(inner.filter("node = 0").select("tree"), "tree", "left_anti"),
+        "nodes that are not the child of one node": sides.groupBy("tree", "node").count().filter("count <> 1"),
+        "children that are no nodes": sides.join(nodes.select("tree", "node"), ["tree", "node"], "left_anti"),
+        "splits without gain": inner.filter("NOT gain > 0"),
+        "leaves with too few rows": nodes.filter((F.col("node") < 0) & (F.col("rows") < settings.min_rows)),
+        "splits whose children have other rows": inner.select("tree", F.col("rows").alias("whole"), F.explode(F.array("left", "right")).alias("node"), F.col("node").alias("parent")).join(
+            nodes.select("tree", "node", "rows"), ["tree", "node"]).groupBy("tree", "parent", "whole").agg(F.sum("rows").alias("parts")).filter("whole <> parts"),
+        "rounds of a sample that raised its loss": falls.filter("before IS NOT NULL AND train_loss > before"),
+        "rounds beyond the best one and patience": history.filter(F.col("round") > best + settings.patience),
+        "kept rounds after the best": history.filter((F.col("round") > best) & F.col("kept")),
+        "rounds fitted short of patience": history.agg(F.max("round").alias("last")).filter(
+            (F.col("last") < best + settings.patience) & (F.col("last") < settings.rounds)),
+    }
+    found = None
+    for fact, rows in counts.items():
+        row = rows.agg(F.count(F.lit(1)).alias("value")).select(F.lit(fact).alias("fact"), "value")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+# A tree small enough to be grown in SQL as well.
+SMALL_TREE = {"rounds": 1, "leaves": 4, "row_share": 1.0, "feature_share": 1.0}
+
+
+def _small_tree(spark, folder):
+    return ranking.fit_ranker(materialize(_matrix(spark, folder, "train"), "train-matrix"), **SMALL_TREE)
+
+
+@_query
+def leafwise_tree(spark, folder):
+    """The first splits, best first, of all training rows."""
+    nodes = _small_tree(spark, folder).nodes(spark).filter("node >= 0")
+    return _rounded(nodes.select(F.col("node").alias("place"), "feature", "threshold", "gain", "rows"), "threshold", "gain")
+
+
+@_query
+def leafwise_leaves(spark, folder):
+    """Rows and scores of the leaves of that tree."""
+    nodes = _small_tree(spark, folder).nodes(spark).filter("node < 0")
+    return _rounded(nodes.select("rows", "value"), "value")
+
+
+@_query
+def total_gain(spark, folder):
+    model = _small_tree(spark, folder)
+    path = stage_path(spark, "ranker")
+    ranking.save_ranker(model, path)
+    return _rounded(ranking.feature_importance(spark, ranking.load_ranker(path)), "importance")
+
+
+@_query
+def auc(spark, folder):
+    """Area under the curve of the linear score, over all candidates and by head and tail items."""
+    scored = materialize(_linear(_matrix(spark, folder)), "scored")
+    parts = boosting.area_under_curve(scored, ["item_is_head"])
+    whole = boosting.area_under_curve(scored).withColumn("item_is_head", F.lit(None).cast("int"))
+    return _rounded(parts.unionByName(whole), "auc")
+
+
+# Two trees in the public text format, as another program would have written them.
+SAVED_TREES = """tree
+version=v4
+num_class=1
+num_tree_per_iteration=1
+label_index=0
+max_feature_idx=3
+objective=binary sigmoid:1
+feature_names=cooc_score_last_item item_global_rank session_length item_is_head
+feature_infos=[0:100] [1:500] [1:50] [0:1]
+
+Tree=0
+num_leaves=4
+num_cat=0
+split_feature=0 1 2
+split_gain=30.5 12.25 4
+threshold=1.5 40.5 3.5
+decision_type=2 2 10
+left_child=1 -1 -2
+right_child=2 -3 -4
+leaf_value=-2.5 -1.25 -3 -0.5
+is_linear=0
+shrinkage=1
+
+Tree=1
+num_leaves=3
+num_cat=0
+split_feature=3 0
+split_gain=7.5 2
+threshold=0.5 0.5
+decision_type=2 4
+left_child=-1 -2
+right_child=1 -3
+leaf_value=-0.125 0.25 0.75
+is_linear=0
+shrinkage=0.05
+
+end of trees
+"""
+
+
+@_query
+def saved_tree_scores(spark, folder):
+    path = stage_path(spark, "trees")
+    spark.createDataFrame([(SAVED_TREES,)], "value string").coalesce(1).write.text(path)
+    scored = ranking.predict(ranking.load_ranker(path), _matrix(spark, folder))
+    return _rounded(scored.select("session_id", "candidate_item_id", "score"), "score")
+
+
 @_query
 def ranker_features(spark, folder):
     names = ranking.feature_columns(_matrix(spark, folder))

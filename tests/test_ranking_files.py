@@ -31,7 +31,7 @@ def matrix(table):
 @pytest.fixture(scope="module")
 def model(matrix):
     return K.fit_ranker(
-        matrix.filter("session_id < 40"), matrix.filter("session_id >= 40"), max_iter=5, maxDepth=3
+        matrix.filter("session_id < 40"), matrix.filter("session_id >= 40"), rounds=5, leaves=4
     )
 
 
@@ -44,12 +44,13 @@ def test_feature_columns(matrix):
 def test_ranker_separates(spark, matrix, model):
     scored = K.predict(model, matrix)
     means = dict(rows(scored.groupBy("label").agg(F.avg("score"))))
-    assert means[1] > means[0] + 0.1
+    assert means[1] > means[0] + 0.04  # the first round separates them, so no more are kept
     recs = K.rerank(scored, 3)
     assert recs.groupBy("session_id").count().filter("count <> 3").count() == 0
     importance = K.feature_importance(spark, model)
     assert importance.first()["feature"] == "cooc_score_last_item"
-    assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+    gains = model.nodes(spark).agg(F.sum("gain")).first()[0]
+    assert importance.count() == 4 and importance.agg(F.sum("importance")).first()[0] == pytest.approx(gains)
     assert R.top_features(importance, 2).count() == 2
 
 
@@ -69,20 +70,21 @@ def test_unfitted_ranker_is_an_error(spark, matrix, tmp_path):
             use()
 
 
-def test_rounds_are_chosen_on_held_out_rows(matrix):
-    assert K._best_rounds([5, 4, 3, 3.5, 2.9, 3], 30) == 5
-    assert K._best_rounds([5, 4, 3, 3.5, 3.4, 2.9], 2) == 3
+def test_rounds_are_chosen_on_held_out_rows(spark, matrix):
     train, val = matrix.filter("session_id < 30"), matrix.filter("session_id >= 30")
-    # Labels of the held-out rows are turned around, so the first round is the best.
+    # Labels of the held-out rows are turned around, so the first round is the best and patience ends the fit.
     turned = val.withColumn("label", 1 - F.col("label"))
-    trees = K.fit_ranker(train, turned, max_iter=6, maxDepth=3).stages[1]
-    assert trees.getNumTrees == 1
-    whole = K.fit_ranker(train, max_iter=6, maxDepth=3)
-    cut = K.fit_ranker(train, val, max_iter=6, maxDepth=3)
-    n = cut.stages[1].getNumTrees
-    nodes = lambda trees: [t.toDebugString.split("\n", 1)[1] for t in trees]
-    assert n <= 6 and nodes(cut.stages[1].trees) == nodes(whole.stages[1].trees[:n])
-    assert rows(K.predict(cut, val).select("score"))[0][0] > 0
+    short = K.fit_ranker(train, turned, rounds=40, patience=3, leaves=4)
+    history = rows(K.fit_history(spark, short))
+    best = max(history, key=lambda h: (h[1], -h[0]))[0]
+    assert len(short.trees) == best and len(history) == best + 3
+    assert [h[4] for h in history] == [h[0] <= best for h in history]
+    whole = K.fit_ranker(train, rounds=6, leaves=4)
+    cut = K.fit_ranker(train, val, rounds=6, leaves=4)
+    n = len(cut.trees)
+    assert len(whole.trees) == 6 and rows(cut.nodes(spark)) == [r for r in rows(whole.nodes(spark)) if r[0] < n]
+    losses = [h[3] for h in whole.history]
+    assert losses == sorted(losses, reverse=True)
 
 
 def test_rerank_breaks_ties_by_item(table):
@@ -143,7 +145,7 @@ def test_whole_run(spark, table, tmp_path):
         "item_id bigint, title string, genres string, genre_list array<string>",
     )
     out = str(tmp_path)
-    results = run(events, movies, tie_cols=("tie",), out=out, max_iter=3, maxDepth=3)
+    results = run(events, movies, tie_cols=("tie",), out=out, rounds=3, leaves=6)
     values = {(r["system"], r["metric"]): r["value"] for r in results["final_eval"].collect()}
     assert len(values) == 39
     assert values["cooccurrence", "recall@10"] >= values["popularity", "recall@10"]
@@ -153,7 +155,7 @@ def test_whole_run(spark, table, tmp_path):
         assert values[system, "recall@5"] <= values[system, "recall@10"] == values[system, "recall@20"]
     read = files.read_results(spark, f"{out}/results/final_eval", schemas.EVALUATION)
     assert rows(read) == rows(results["final_eval"])
-    assert K.load_ranker(f"{out}/results/models/ranker").stages[0].getInputCols()[-1] == "genre_drama"
+    assert K.load_ranker(f"{out}/results/models/ranker").features[-1] == "genre_drama"
     by_system = spark.read.csv(f"{out}/results/missed_targets_by_system", header=True)
     assert by_system.count() == results["missed_targets"].count()
     assert {r["system"] for r in by_system.select("system").distinct().collect()} <= {"popularity", "cooccurrence", "cooc_ranker"}
