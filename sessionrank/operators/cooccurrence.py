@@ -4,15 +4,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sessionrank import schemas
-from sessionrank.functions.skew import HOT_ROWS, hot_keys, salted_join
+from sessionrank.functions.skew import BROADCAST_ROWS, HOT_ROWS, hot_keys, salted_join
 from sessionrank.functions.staging import materialize
 
 # Sessions are processed in blocks of this many positions, so that a session without
 # length limit does not end up in one task.
 _BLOCK = 4096
-# Strongest edges of an item that retrieval reads first: below 1000, the limit up to which Spark cuts ranked
-# groups before shuffling them.
-_HEAD, _LONGEST_HEAD = 499, 998
+# Strongest edges of an item that retrieval reads first.
+HEAD = 512
 # Recent items of a session are marked by the bits of longs, this many in each.
 _SLOTS = 62
 
@@ -135,12 +134,12 @@ def cooccurrence_scores(edges, context, window=schemas.WINDOW, hot_rows=HOT_ROWS
 
 
 def _marks(window):
-    """Columns mark_0, mark_1, ...: in which of the session's slots a candidate was reached."""
+    """Columns mark_0, mark_1, ...: the bit of the slot that a candidate was reached in."""
     slot = F.col("slot")
     return {
-        f"mark_{n}": F.coalesce(F.bit_or(F.when(
+        f"mark_{n}": F.when(
             F.floor(slot / _SLOTS) == n, F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % _SLOTS).cast("int"))
-        )), F.lit(0))
+        ).otherwise(F.lit(0).cast("bigint"))
         for n in range(-(-max(window, 1) // _SLOTS))
     }
 
@@ -153,88 +152,70 @@ def _reached_in(slot, window):
     ), F.lit(False))
 
 
-def head_lists(edges, head):
-    """Rows (item_a, item_b, cnt, ceiling): each item's `head` strongest edges.
+def impact_blocks(edges, head=HEAD, hot_rows=HOT_ROWS, n_items=None):
+    """Rows (item_a, item_b, cnt, following, block): each item's edges, strongest first, in blocks of doubling length.
 
-    One row of each item (its strongest edge) has `ceiling`, the count of the strongest edge left out, 0 if none is.
+    Block 0 holds the `head` strongest edges of an item, block 1 the next `head`, then 2 x `head` and so on. The last
+    edge of a block that is not the item's last has `following`, the count of the strongest edge beyond it. Items with more than
+    `hot_rows` edges are cut into slices of falling counts, numbered apart; they are looked for unless there are fewer than that
+    many items, `n_items`. In that case `edges` is read once.
     """
-    strongest = Window.partitionBy("item_a").orderBy(F.desc("cnt"), "item_b")
-    lists = edges.withColumn("place", F.row_number().over(strongest)).filter(F.col("place") <= head + 1)
-    whole = Window.partitionBy("item_a")
-    ceiling = F.coalesce(F.max(F.when(F.col("place") == head + 1, F.col("cnt"))).over(whole), F.lit(0))
-    return lists.withColumn("ceiling", ceiling).filter(F.col("place") <= head).select(
-        "item_a", "item_b", "cnt", F.when(F.col("place") == 1, F.col("ceiling")).alias("ceiling")
+    strongest = Window.partitionBy("item_a", "slice").orderBy(F.desc("cnt"), "item_b")
+    hot = None if n_items is not None and n_items <= hot_rows else hot_keys(edges, "item_a", hot_rows)
+    sliced = edges.withColumn("slice", F.lit(0))
+    if hot is not None:
+        sliced = _strength_slices(edges, hot, hot_rows)
+    placed = sliced.select(
+        "item_a", "item_b", "cnt", "slice", F.row_number().over(strongest).alias("place"), F.lead("cnt").over(strongest).alias("next"),
+        *([] if hot is None else ["before", "below"]),
+    )
+    if hot is not None:
+        placed = placed.select(
+            "item_a", "item_b", "cnt", (F.col("place") + F.col("before")).alias("place"), F.coalesce("next", "below").alias("next")
+        )
+    blocks = placed.withColumn("turn", F.floor((F.col("place") - 1) / F.lit(head)))
+    whole = (F.col("place") % head == 0) & (F.col("turn").bitwiseAND(F.col("turn") + 1) == 0)
+    return blocks.select(
+        "item_a", "item_b", "cnt", F.when(whole, F.col("next")).alias("following"),
+        F.when(F.col("turn") == 0, 0).otherwise(F.length(F.bin("turn"))).alias("block"),
     )
 
 
-def head_size(top_k):
-    """Strongest edges to read for lists of `top_k`."""
-    return max(_HEAD, min(_LONGEST_HEAD, 10 * top_k), top_k)
-
-
-def _head_scores(edges, lists, context, recent, top_k, window, hot):
-    """Top candidates from the strongest edges of each item only, where that is safe.
-
-    The strongest edge left out of an item's list bounds what the list can still add. Over a
-    session's lists the bounds add up to the most an unreached candidate can score. If the
-    k-th best score reached so far is larger, no unreached candidate can make the top k,
-    and only the reached ones that can still make it need their missing counts looked up.
+def _strength_slices(edges, hot, hot_rows):
+    """Edges with a slice number, the edges of the item in slices before it, and the count of the first edge after it.
 
-    Returns the exact scores of those sessions, and the sessions left for a full search.
+    The counts of a hot item are added up by (count, hash of the neighbour), so that many equal counts are split as well; a slice ends
+    where the edges so far fill one. An item has at most as many slices as its edges fill, and few (count, part) groups to a slice.
     """
-    heads = lists.select("item_a", "item_b", "cnt")
-    ceilings = lists.filter("ceiling > 0").select("item_a", "ceiling")
-    recent = salted_join(
-        recent, ceilings, ["item_a"], "left", hot, "item_a", ["session_id"]
-    ).na.fill(0, ["ceiling"])
-    open_list = F.when(F.col("ceiling") > 0, F.struct("item_a", "uses", "slot"))
-    sessions = recent.groupBy("session_id").agg(
-        F.sum(F.col("uses") * F.col("ceiling")).alias("bound"),
-        F.collect_list(open_list).alias("open_lists"),  # at most `window` entries
-    )
-    reached = _unseen_scores(
-        _reach(heads, recent, hot), context,
-        reached_bound=F.sum(F.col("uses") * F.col("ceiling")), **_marks(window),
-    )
-    best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
-    everyone = Window.partitionBy("session_id")
-    judged = materialize(
-        reached.join(sessions, "session_id")
-        .withColumn("place", F.row_number().over(best))
-        .withColumn(
-            "kth", F.max(F.when(F.col("place") == top_k, F.col("score"))).over(everyone)
-        )
-        .filter((F.col("bound") == 0) | (F.col("kth") > F.col("bound")))
-        .filter(
-            F.col("kth").isNull()
-            | (F.col("score") + F.col("bound") - F.col("reached_bound") >= F.col("kth"))
-        )
-        .withColumn("missing", F.filter("open_lists", lambda entry: ~_reached_in(entry["slot"], window)))
-        .select("session_id", "item_b", "score", "last_count", "missing"),
-        "judged",
-    )
-    lookups = judged.filter(F.size("missing") > 0).select(
-        "session_id", "item_b", F.inline("missing")
-    )
-    added = salted_join(
-        lookups, edges, ["item_a", "item_b"], "inner", hot, "item_a", ["session_id"]
-    ).groupBy("session_id", "item_b").agg(
-        _score().alias("more"), _last_count().alias("more_last")
-    )
-    exact = judged.join(added, ["session_id", "item_b"], "left").select(
-        "session_id", "item_b",
-        (F.col("score") + F.coalesce("more", F.lit(0))).alias("score"),
-        (F.col("last_count") + F.coalesce("more_last", F.lit(0))).alias("last_count"),
+    parts = F.coalesce("parts", F.lit(1))
+    table = edges.join(hot.named("item_a").hinted(), "item_a", "left")
+    # neighbours in order of their ids, cut at the same ids for every count
+    width = F.when(parts > 1, F.ceil((F.col("high") - F.col("low") + 1) / (parts * 4))).otherwise(F.lit(None))
+    span = edges.join(hot.named("item_a").hinted(), "item_a", "left_semi").groupBy("item_a").agg(F.min("item_b").alias("low"), F.max("item_b").alias("high"))
+    span = materialize(span, "spans")
+    cut = table.join(F.broadcast(span) if hot.n <= BROADCAST_ROWS else span, "item_a", "left").withColumn(
+        "range", F.coalesce(F.floor((F.col("item_b") - F.col("low")) / width), F.lit(0))
     )
-    done = judged.select("session_id").distinct()
-    rest = sessions.filter(F.col("bound") > 0).select("session_id").join(
-        done, "session_id", "left_anti"
+    sizes = cut.filter(parts > 1).groupBy("item_a", "cnt", "range").agg(F.count(F.lit(1)).alias("n"))
+    so_far = Window.partitionBy("item_a").orderBy(F.desc("cnt"), "range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("upto", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
+    sizes = sizes.withColumn("slice", F.floor(F.col("upto") / hot_rows).cast("int"))
+    ends = Window.partitionBy("item_a").orderBy("slice")
+    slices = sizes.groupBy("item_a", "slice").agg(F.min("upto").alias("before"), F.max("cnt").alias("top"))
+    slices = slices.withColumn("below", F.lead("top").over(ends)).drop("top")
+    of_group = materialize(sizes.join(slices, ["item_a", "slice"]).select("item_a", "cnt", "range", "slice", "before", "below"), "slices")
+    return cut.join(of_group, ["item_a", "cnt", "range"], "left").select(
+        "item_a", "item_b", "cnt", F.coalesce("slice", F.lit(0)).alias("slice"), F.coalesce("before", F.lit(0)).alias("before"), "below"
     )
-    return exact, rest
+
+
+def _missing(lists, window):
+    """The open lists of a session in which a candidate was not reached yet."""
+    return F.filter(lists, lambda entry: ~_reached_in(entry["slot"], window))
 
 
 def retrieve_cooccurrence(
-    edges, context, top_k, window=schemas.WINDOW, head=None, hot_rows=HOT_ROWS, lists=None
+    edges, context, top_k, window=schemas.WINDOW, head=None, hot_rows=HOT_ROWS, blocks=None, trace=None
 ):
     """Recommendations (session_id, item_id, score, rank, cooc_score_last_item).
 
@@ -242,26 +223,103 @@ def retrieve_cooccurrence(
     in the context are left out; equal scores are ordered by item_id. Sessions without a
     candidate have no row. `edges` is read more than once: pass a stage table.
 
-    Each item's `head` strongest edges are read first (`lists`, from `head_lists` with the same `head`, can be
-    kept with the edges); sessions that these do not settle are searched in full, so the result does not depend on `head`.
+    Each item's edges are read strongest first, in the blocks of `impact_blocks` (`blocks`, a stage table made with the
+    same `head`, can be kept in place of the edges). After a block, the strongest edge not read yet bounds what each list can still add. A
+    session is settled when its k-th best score so far is above the sum of those bounds: no unreached candidate can make
+    its list, and only the reached ones that can still make it have their missing counts looked up. The others read the next,
+    twice as long block, until they are settled or their lists end; so the result does not depend on `head`. A candidate
+    that cannot make the list is left out at once: its bound only falls, the k-th score only rises.
     `cooc_score_last_item` is the candidate's count next to the session's last item, which
-    is at hand here and saves the ranking matrix a join.
+    is at hand here and saves the ranking matrix a join. `trace`, a list, gets (block, sessions, edges read) of each step, at the price of counting.
     """
-    head = head or head_size(top_k)
-    lists = materialize(head_lists(edges, head), "head-lists") if lists is None else lists
+    if blocks is None:
+        blocks = materialize(impact_blocks(edges, head or HEAD, hot_rows), "blocks", ["block"])
     recent = materialize(_recent_weights(context, window), "recent")
     hot = hot_keys(recent, "item_a", hot_rows)
-    exact, rest = _head_scores(edges, lists, context, recent, top_k, window, hot)
-    full = _unseen_scores(
-        _reach(edges, recent.join(rest, "session_id", "left_semi"), hot),
-        context.join(rest, "session_id", "left_semi"),
-    )
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
+    ends = blocks.filter("following IS NOT NULL").select("item_a", "block", "following")
+    marks = list(_marks(window))
+    carried, block, done = None, 0, []
+    while True:
+        ceilings = ends.filter(F.col("block") == block).select("item_a", F.col("following").alias("ceiling"))
+        lists = salted_join(recent, ceilings, ["item_a"], "left", hot, "item_a", ["session_id"]).na.fill(0, ["ceiling"])
+        found = _reach(blocks.filter(F.col("block") == block).select("item_a", "item_b", "cnt"), recent, hot)
+        if trace is not None:
+            trace.append((block, recent.select("session_id").distinct().count(), found.count()))
+        reached = _accumulated(found, carried, context, window)
+        if not ceilings.limit(1).count():
+            # Every list has been read to its end.
+            done.append(reached.select("session_id", "item_b", "score", "last_count"))
+            break
+        entry = F.when(F.col("ceiling") > 0, F.struct("item_a", "uses", "slot", "ceiling"))
+        sessions = materialize(lists.groupBy("session_id").agg(
+            F.sum(F.col("uses") * F.col("ceiling")).alias("bound"), F.collect_list(entry).alias("open"),  # at most `window` entries
+        ), "open-lists")
+        # The k-th score is known from the k-th row on, which is where it matters.
+        so_far = best.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        kth = F.max(F.when(F.col("place") == top_k, F.col("score"))).over(so_far)
+        rated = reached.join(sessions, "session_id").withColumn("place", F.row_number().over(best)).withColumn("kth", kth)
+        missing = _missing("open", window)
+        most = F.col("score") + F.aggregate(missing, F.lit(0).cast("bigint"), lambda sum, entry: sum + entry["uses"] * entry["ceiling"])
+        judged = materialize(
+            rated.withColumn("most", most).filter(F.col("kth").isNull() | (F.col("most") >= F.col("kth"))).select(
+                "session_id", "item_b", "score", "last_count", *marks, "bound", "place", "kth", "most", missing.alias("missing"),
+            ), "judged",
+        )
+        cuts = materialize(judged.filter(F.col("place") == top_k).select("session_id", F.col("score").alias("cut")), "cuts")
+        settled = sessions.select("session_id", "bound").join(cuts, "session_id", "left").filter(
+            (F.col("bound") == 0) | (F.col("cut") > F.col("bound"))
+        )
+        settled = materialize(settled.select("session_id", "cut"), "settled")
+        mine = judged.join(settled, "session_id").filter(F.col("cut").isNull() | (F.col("most") >= F.col("cut")))
+        whole = (F.col("bound") == 0) | (F.size("missing") == 0)
+        done.append(mine.filter(whole).select("session_id", "item_b", "score", "last_count"))
+        done.append(_completed(mine.filter(~whole), blocks, hot))
+        rest = materialize(sessions.select("session_id").join(settled, "session_id", "left_anti"), "unsettled")
+        if not rest.limit(1).count():
+            break
+        recent = materialize(recent.join(rest, "session_id", "left_semi"), "recent")
+        context = context.join(rest, "session_id", "left_semi")
+        carried = judged.join(rest, "session_id", "left_semi").select("session_id", "item_b", "score", "last_count", *marks)
+        block += 1
+    exact = done[0]
+    for more in done[1:]:
+        exact = exact.unionByName(more)
     return (
-        exact.unionByName(full).withColumn("rank", F.row_number().over(best))
+        exact.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top_k)
         .select(
             "session_id", F.col("item_b").alias("item_id"), "score", "rank",
             F.col("last_count").cast("double").alias("cooc_score_last_item"),
         )
     )
+
+
+def _accumulated(found, carried, context, window):
+    """Scores per (session, item_b) of the edges found and of what was carried over, context items left out, with the slots reached."""
+    marks = _marks(window)
+    rows = found.select(
+        "session_id", "item_b", (F.col("uses") * F.col("cnt")).alias("score"),
+        F.when(F.col("slot") == 0, F.col("cnt")).otherwise(0).alias("last_count"), *[mark.alias(name) for name, mark in marks.items()],
+    )
+    if carried is not None:
+        rows = rows.unionByName(carried)
+    seen = context.select("session_id", F.col("item_id").alias("item_b"), F.lit(True).alias("seen"))
+    return (
+        rows.unionByName(seen, allowMissingColumns=True).groupBy("session_id", "item_b")
+        .agg(F.max("seen").alias("seen"), F.sum("score").alias("score"), F.sum("last_count").alias("last_count"),
+             *[F.bit_or(name).alias(name) for name in marks])
+        .filter(F.col("seen").isNull()).drop("seen")
+    )
+
+
+def _completed(candidates, edges, hot):
+    """Candidates with the counts looked up that their missing lists hold for them."""
+    asked = candidates.select("session_id", "item_b", F.inline("missing"))
+    added = salted_join(asked, edges.select("item_a", "item_b", "cnt"), ["item_a", "item_b"], "inner", hot, "item_a", ["session_id"]).groupBy(
+        "session_id", "item_b"
+    ).agg(_score().alias("more"), _last_count().alias("more_last"))
+    return candidates.join(added, ["session_id", "item_b"], "left").select(
+        "session_id", "item_b", (F.col("score") + F.coalesce("more", F.lit(0))).alias("score"),
+        (F.col("last_count") + F.coalesce("more_last", F.lit(0))).alias("last_count"),
+    )

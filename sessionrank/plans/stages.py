@@ -10,12 +10,10 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from sessionrank import schemas
-from sessionrank.functions.skew import hot_keys
+from sessionrank.functions.skew import HOT_ROWS, hot_keys
 from sessionrank.functions.staging import materialize
 from sessionrank.operators import errors, features, metrics, ranking, sessions, slices
-from sessionrank.operators.cooccurrence import (
-    fit_cooccurrence, head_lists, head_size, retrieve_cooccurrence,
-)
+from sessionrank.operators.cooccurrence import HEAD, fit_cooccurrence, impact_blocks, retrieve_cooccurrence
 from sessionrank.operators.popularity import fit_popularity, popular_items, retrieve_popular
 from sessionrank.sources.files import read_table, write_results, write_table
 
@@ -31,7 +29,7 @@ class Prepared:
     def __init__(self, table, window=schemas.WINDOW):
         self.table = table
         self.window = window
-        self._lists, self._candidates = {}, {}
+        self._blocks, self._candidates = {}, {}
 
     def sessions(self, split):
         """Sessions of one split."""
@@ -48,16 +46,20 @@ class Prepared:
         """Targets of one split."""
         return sessions.targets_of(self._sized(split))
 
-    @cached_property
+    @property
     def edges(self):
-        """Stage table of the training co-occurrences."""
-        return materialize(fit_cooccurrence(self.sessions("train"), self.window), "edges")
-
-    def lists(self, head):
-        """Stage table of each item's strongest training co-occurrences."""
-        if head not in self._lists:
-            self._lists[head] = materialize(head_lists(self.edges, head), "head-lists")
-        return self._lists[head]
+        """The training co-occurrences, from their stage table."""
+        return self.blocks().select("item_a", "item_b", "cnt")
+
+    def blocks(self, head=HEAD):
+        """Stage table of the training co-occurrences, each item's strongest first, in blocks of doubling length from `head` on."""
+        if head not in self._blocks:
+            train = self.sessions("train")
+            n_items = train.select("item_id").distinct().count()
+            edges = self.edges if self._blocks else fit_cooccurrence(train, self.window)
+            edges = edges if n_items <= HOT_ROWS else materialize(edges, "edges")
+            self._blocks[head] = materialize(impact_blocks(edges, head, n_items=n_items), "blocks", ["block"])
+        return self._blocks[head]
 
     @cached_property
     def item_counts(self):
@@ -74,10 +76,7 @@ class Prepared:
 
     def neighbours(self, split, top_k, head=None):
         """Co-occurrence recommendations for one split."""
-        head = head or head_size(top_k)
-        return retrieve_cooccurrence(
-            self.edges, self.context(split), top_k, self.window, head, lists=self.lists(head)
-        )
+        return retrieve_cooccurrence(None, self.context(split), top_k, self.window, blocks=self.blocks(head or HEAD))
 
     def candidates(self, split, top_k=schemas.RETRIEVAL_K):
         """Stage table of the co-occurrence recommendations.

@@ -94,7 +94,7 @@ def test_ties_at_the_cut_go_to_the_smaller_item(table):
     assert [r[:2] for r in rows(C.retrieve_cooccurrence(edges, context, 2))] == [(0, 4), (0, 7)]
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 @pytest.mark.parametrize("head", [1, 3, 10, None])
 def test_recommendations_equal_brute_force(spark, table, seed, head):
     train = _random_lists(seed, 150, 60, 12)
@@ -105,18 +105,50 @@ def test_recommendations_equal_brute_force(spark, table, seed, head):
     assert rows(got) == expected
 
 
-def test_short_lists_settle_some_sessions_and_not_others(spark, table):
+def test_first_blocks_settle_some_sessions_and_not_others(spark, table):
     # Item 1 has one neighbour far ahead; item 2 has many equal ones.
     pairs = [(1, 100, 50), (1, 101, 40)] + [(1, b, 1) for b in range(200, 210)]
     pairs += [(2, b, 3) for b in range(300, 320)]
     edges = table(pairs, "item_a bigint, item_b bigint, cnt bigint")
     context = _sessions(table, {0: [1], 1: [2], 2: [1, 2]})
-    recent = C._recent_weights(context, 5)
-    exact, rest = C._head_scores(edges, C.head_lists(edges, 3), context, recent, 2, 5, None)
-    assert {r[0] for r in rows(exact)} == {0, 2} and rows(rest) == [(1,)]
-    got = [r[:4] for r in rows(C.retrieve_cooccurrence(edges, context, 2, head=3))]
+    trace = []
+    got = [r[:4] for r in rows(C.retrieve_cooccurrence(edges, context, 2, head=3, trace=trace))]
     assert got == [(0, 100, 50, 1), (0, 101, 40, 2), (1, 300, 3, 1), (1, 301, 3, 2),
                    (2, 100, 50, 1), (2, 101, 40, 2)]
+    # Equal counts leave the session of item 2 open to the end of its list; the others need the first block only.
+    assert trace == [(0, 3, 12), (1, 1, 3), (2, 1, 6), (3, 1, 8)]
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 40, 7])
+def test_blocks_double_in_length(table, hot_rows):
+    rng = random.Random(4)
+    pairs = {(a, b): rng.choice((1, 1, 1, 2, 3, rng.randrange(1, 90))) for a, n in ((1, 300), (2, 3), (3, 33), (4, 64)) for b in rng.sample(range(10, 500), n)}
+    edges = table([(*k, n) for k, n in pairs.items()], "item_a bigint, item_b bigint, cnt bigint")
+    got = rows(C.impact_blocks(edges, 4, hot_rows))
+    assert {r[:2]: r[2] for r in got} == pairs
+    for item in (1, 2, 3, 4):
+        counts = sorted((n for (a, _), n in pairs.items() if a == item), reverse=True)
+        start, size, block = 0, 4, 0
+        while start < len(counts):
+            mine = [r for r in got if r[0] == item and r[4] == block]
+            assert sorted((r[2] for r in mine), reverse=True) == counts[start:start + size]
+            start += size
+            size = start
+            block += 1
+            assert [r[3] for r in mine if r[3] is not None] == counts[start:start + 1]
+        assert not [r for r in got if r[0] == item and r[4] >= block]
+
+
+def test_few_edges_are_read(table):
+    """Sessions settle on the strong edges of skewed counts: less than half of all their items' edges are read."""
+    train = _random_lists(11, 3000, 400, 12)
+    edges = C.fit_cooccurrence(_sessions(table, train))
+    lists = _random_lists(12, 100, 400, 9)
+    trace = []
+    got = C.retrieve_cooccurrence(edges, _sessions(table, lists), 5, head=8, trace=trace)
+    near = Counter(a for a, _ in _brute_edges(train, 5))
+    assert sum(t[2] for t in trace) < sum(near[a] for items in lists.values() for a in set(items[-5:])) / 2
+    assert rows(got) == _brute_recs(_brute_edges(train, 5), lists, 5, 5)
 
 
 def test_wide_windows(table):
