@@ -17,9 +17,10 @@ _SLOTS = 62
 
 
 def _pairs(sessions, window, block):
-    """One row (lo, hi) per pair of different items at most `window` positions apart.
+    """One row (lo, hi, lo_first, hi_first) per pair of different items at most `window` positions apart.
 
-    A row looks ahead only. Rows near the start of a block are repeated at the end of the
+    lo_first and hi_first tell where a scan in order of sessions and positions meets the pair from the one and from the other
+    item: (session, own position, partner's position). A row looks ahead only. Rows near the start of a block are repeated at the end of the
     block before, where they serve as partners but do not look ahead themselves.
     """
     number = F.floor(F.col("position") / block)
@@ -33,30 +34,40 @@ def _pairs(sessions, window, block):
     )
     ahead = Window.partitionBy("session_id", "block").orderBy("position")
     partners = [F.lead("item_id", step).over(ahead) for step in range(1, window + 1)]
+    place = lambda own, other: F.struct("session_id", own.alias("i"), other.alias("j"))
+    here, there = F.col("position"), F.col("position") + F.col("step") + 1
+    forth, back = place(here, there), place(there, here)
+    lower = F.col("item_id") < F.col("other")
     return (
         rows.withColumn("partners", F.array(*partners))
         .filter(F.col("own") == F.col("block"))
-        .select("item_id", F.explode("partners").alias("other"))
+        .select("session_id", "position", "item_id", F.posexplode("partners").alias("step", "other"))
         .filter(F.col("other") != F.col("item_id"))
-        .select(F.least("item_id", "other").alias("lo"), F.greatest("item_id", "other").alias("hi"))
+        .select(
+            F.least("item_id", "other").alias("lo"), F.greatest("item_id", "other").alias("hi"),
+            F.when(lower, forth).otherwise(back).alias("lo_first"), F.when(lower, back).otherwise(forth).alias("hi_first"),
+        )
     )
 
 
-def fit_cooccurrence(sessions, window=schemas.WINDOW, block=_BLOCK):
+def fit_cooccurrence(sessions, window=schemas.WINDOW, block=_BLOCK, insertion=False):
     """Edges (item_a, item_b, cnt), both directions.
 
     Counts, over all sessions, how often two different items stand at most `window`
     positions apart. Positions must be 0-based without holes. Each pair is shuffled once,
-    the opposite direction is added after counting.
+    the opposite direction is added after counting. With `insertion`, `first` tells when a scan of the sessions in order, position by
+    position, first meets item_b near item_a: (session_id, i, j), positions of the two.
     """
+    first = [F.min(c).alias(c) for c in ("lo_first", "hi_first")] if insertion else []
     counts = _pairs(sessions, window, block).groupBy("lo", "hi").agg(
-        F.count(F.lit(1)).alias("cnt")
+        F.count(F.lit(1)).alias("cnt"), *first
     )
+    extra = lambda side: [F.col(f"{side}_first").alias("first")] if insertion else []
     both = F.array(
-        F.struct(F.col("lo").alias("item_a"), F.col("hi").alias("item_b")),
-        F.struct(F.col("hi").alias("item_a"), F.col("lo").alias("item_b")),
+        F.struct(F.col("lo").alias("item_a"), F.col("hi").alias("item_b"), *extra("lo")),
+        F.struct(F.col("hi").alias("item_a"), F.col("lo").alias("item_b"), *extra("hi")),
     )
-    return counts.select("cnt", F.inline(both)).select("item_a", "item_b", "cnt")
+    return counts.select("cnt", F.inline(both)).select("item_a", "item_b", "cnt", *(["first"] if insertion else []))
 
 
 def cooccurrence_summary(sessions, edges):
@@ -165,18 +176,19 @@ def impact_blocks(edges, head=HEAD, hot_rows=HOT_ROWS, n_items=None):
     sliced = edges.withColumn("slice", F.lit(0))
     if hot is not None:
         sliced = _strength_slices(edges, hot, hot_rows)
+    extra = [c for c in ("first",) if c in edges.columns]
     placed = sliced.select(
-        "item_a", "item_b", "cnt", "slice", F.row_number().over(strongest).alias("place"), F.lead("cnt").over(strongest).alias("next"),
+        "item_a", "item_b", "cnt", *extra, "slice", F.row_number().over(strongest).alias("place"), F.lead("cnt").over(strongest).alias("next"),
         *([] if hot is None else ["before", "below"]),
     )
     if hot is not None:
         placed = placed.select(
-            "item_a", "item_b", "cnt", (F.col("place") + F.col("before")).alias("place"), F.coalesce("next", "below").alias("next")
+            "item_a", "item_b", "cnt", *extra, (F.col("place") + F.col("before")).alias("place"), F.coalesce("next", "below").alias("next")
         )
     blocks = placed.withColumn("turn", F.floor((F.col("place") - 1) / F.lit(head)))
     whole = (F.col("place") % head == 0) & (F.col("turn").bitwiseAND(F.col("turn") + 1) == 0)
     return blocks.select(
-        "item_a", "item_b", "cnt", F.when(whole, F.col("next")).alias("following"),
+        "item_a", "item_b", "cnt", *extra, F.when(whole, F.col("next")).alias("following"),
         F.when(F.col("turn") == 0, 0).otherwise(F.length(F.bin("turn"))).alias("block"),
     )
 
@@ -205,7 +217,7 @@ def _strength_slices(edges, hot, hot_rows):
     slices = slices.withColumn("below", F.lead("top").over(ends)).drop("top")
     of_group = materialize(sizes.join(slices, ["item_a", "slice"]).select("item_a", "cnt", "range", "slice", "before", "below"), "slices")
     return cut.join(of_group, ["item_a", "cnt", "range"], "left").select(
-        "item_a", "item_b", "cnt", F.coalesce("slice", F.lit(0)).alias("slice"), F.coalesce("before", F.lit(0)).alias("before"), "below"
+        *edges.columns, F.coalesce("slice", F.lit(0)).alias("slice"), F.coalesce("before", F.lit(0)).alias("before"), "below"
     )
 
 
@@ -215,7 +227,7 @@ def _missing(lists, window):
 
 
 def retrieve_cooccurrence(
-    edges, context, top_k, window=schemas.WINDOW, head=None, hot_rows=HOT_ROWS, blocks=None, trace=None
+    edges, context, top_k, window=schemas.WINDOW, head=None, hot_rows=HOT_ROWS, blocks=None, trace=None, insertion=False
 ):
     """Recommendations (session_id, item_id, score, rank, cooc_score_last_item).
 
@@ -230,26 +242,29 @@ def retrieve_cooccurrence(
     twice as long block, until they are settled or their lists end; so the result does not depend on `head`. A candidate
     that cannot make the list is left out at once: its bound only falls, the k-th score only rises.
     `cooc_score_last_item` is the candidate's count next to the session's last item, which
-    is at hand here and saves the ranking matrix a join. `trace`, a list, gets (block, sessions, edges read) of each step, at the price of counting.
+    is at hand here and saves the ranking matrix a join. With `insertion` (and edges fitted with it) equal scores are in the order in which a
+    loop over the recent items, the last one first, and over their neighbours, first met first, comes upon them. `trace`, a list, gets (block, sessions, edges read) of each step, at the price of counting.
     """
     if blocks is None:
         blocks = materialize(impact_blocks(edges, head or HEAD, hot_rows), "blocks", ["block"])
     recent = materialize(_recent_weights(context, window), "recent")
     hot = hot_keys(recent, "item_a", hot_rows)
-    best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_b")
+    best = Window.partitionBy("session_id").orderBy(F.desc("score"), "first" if insertion else "item_b")
+    kept = ["session_id", "item_b", "score", "last_count", *(["first"] if insertion else [])]
+    edge = ["item_a", "item_b", "cnt", *(["first"] if insertion else [])]
     ends = blocks.filter("following IS NOT NULL").select("item_a", "block", "following")
     marks = list(_marks(window))
     carried, block, done = None, 0, []
     while True:
         ceilings = ends.filter(F.col("block") == block).select("item_a", F.col("following").alias("ceiling"))
         lists = salted_join(recent, ceilings, ["item_a"], "left", hot, "item_a", ["session_id"]).na.fill(0, ["ceiling"])
-        found = _reach(blocks.filter(F.col("block") == block).select("item_a", "item_b", "cnt"), recent, hot)
+        found = _reach(blocks.filter(F.col("block") == block).select(edge), recent, hot)
         if trace is not None:
             trace.append((block, recent.select("session_id").distinct().count(), found.count()))
         reached = _accumulated(found, carried, context, window)
         if not ceilings.limit(1).count():
             # Every list has been read to its end.
-            done.append(reached.select("session_id", "item_b", "score", "last_count"))
+            done.append(reached.select(kept))
             break
         entry = F.when(F.col("ceiling") > 0, F.struct("item_a", "uses", "slot", "ceiling"))
         sessions = materialize(lists.groupBy("session_id").agg(
@@ -263,7 +278,7 @@ def retrieve_cooccurrence(
         most = F.col("score") + F.aggregate(missing, F.lit(0).cast("bigint"), lambda sum, entry: sum + entry["uses"] * entry["ceiling"])
         judged = materialize(
             rated.withColumn("most", most).filter(F.col("kth").isNull() | (F.col("most") >= F.col("kth"))).select(
-                "session_id", "item_b", "score", "last_count", *marks, "bound", "place", "kth", "most", missing.alias("missing"),
+                *kept, *marks, "bound", "place", "kth", "most", missing.alias("missing"),
             ), "judged",
         )
         cuts = materialize(judged.filter(F.col("place") == top_k).select("session_id", F.col("score").alias("cut")), "cuts")
@@ -273,14 +288,14 @@ def retrieve_cooccurrence(
         settled = materialize(settled.select("session_id", "cut"), "settled")
         mine = judged.join(settled, "session_id").filter(F.col("cut").isNull() | (F.col("most") >= F.col("cut")))
         whole = (F.col("bound") == 0) | (F.size("missing") == 0)
-        done.append(mine.filter(whole).select("session_id", "item_b", "score", "last_count"))
-        done.append(_completed(mine.filter(~whole), blocks, hot))
+        done.append(mine.filter(whole).select(kept))
+        done.append(_completed(mine.filter(~whole), blocks.select(edge), hot).select(kept))
         rest = materialize(sessions.select("session_id").join(settled, "session_id", "left_anti"), "unsettled")
         if not rest.limit(1).count():
             break
         recent = materialize(recent.join(rest, "session_id", "left_semi"), "recent")
         context = context.join(rest, "session_id", "left_semi")
-        carried = judged.join(rest, "session_id", "left_semi").select("session_id", "item_b", "score", "last_count", *marks)
+        carried = judged.join(rest, "session_id", "left_semi").select(*kept, *marks)
         block += 1
     exact = done[0]
     for more in done[1:]:
@@ -298,9 +313,11 @@ def retrieve_cooccurrence(
 def _accumulated(found, carried, context, window):
     """Scores per (session, item_b) of the edges found and of what was carried over, context items left out, with the slots reached."""
     marks = _marks(window)
+    first = ["first"] if "first" in found.columns else []
     rows = found.select(
         "session_id", "item_b", (F.col("uses") * F.col("cnt")).alias("score"),
         F.when(F.col("slot") == 0, F.col("cnt")).otherwise(0).alias("last_count"), *[mark.alias(name) for name, mark in marks.items()],
+        *[F.struct("slot", F.col(c).alias("met")).alias(c) for c in first],
     )
     if carried is not None:
         rows = rows.unionByName(carried)
@@ -308,18 +325,23 @@ def _accumulated(found, carried, context, window):
     return (
         rows.unionByName(seen, allowMissingColumns=True).groupBy("session_id", "item_b")
         .agg(F.max("seen").alias("seen"), F.sum("score").alias("score"), F.sum("last_count").alias("last_count"),
-             *[F.bit_or(name).alias(name) for name in marks])
+             *[F.bit_or(name).alias(name) for name in marks], *[F.min(c).alias(c) for c in first])
         .filter(F.col("seen").isNull()).drop("seen")
     )
 
 
 def _completed(candidates, edges, hot):
     """Candidates with the counts looked up that their missing lists hold for them."""
+    first = ["first"] if "first" in edges.columns else []
     asked = candidates.select("session_id", "item_b", F.inline("missing"))
-    added = salted_join(asked, edges.select("item_a", "item_b", "cnt"), ["item_a", "item_b"], "inner", hot, "item_a", ["session_id"]).groupBy(
+    added = salted_join(asked, edges, ["item_a", "item_b"], "inner", hot, "item_a", ["session_id"]).groupBy(
         "session_id", "item_b"
-    ).agg(_score().alias("more"), _last_count().alias("more_last"))
+    ).agg(
+        _score().alias("more"), _last_count().alias("more_last"),
+        *[F.min(F.struct("slot", F.col(c).alias("met"))).alias("more_first") for c in first],
+    )
     return candidates.join(added, ["session_id", "item_b"], "left").select(
         "session_id", "item_b", (F.col("score") + F.coalesce("more", F.lit(0))).alias("score"),
         (F.col("last_count") + F.coalesce("more_last", F.lit(0))).alias("last_count"),
+        *[F.array_min(F.array(c, "more_first")).alias(c) for c in first],
     )

@@ -1,18 +1,21 @@
 """Embedding retrieval: implicit-feedback factorization and nearest items by dot product."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sessionrank import schemas
-from sessionrank.functions.numbering import dense_index
+from sessionrank.functions.numbering import dense_index, ordered_prefix
 from sessionrank.functions.skew import HOT_ROWS, hot_keys, salted_join
 from sessionrank.functions.staging import materialize
 
-# Blocks of sessions and of items that one task scores against each other: numbers in a block of vectors.
-_BLOCK_NUMBERS = 1 << 20
+# Blocks that one task scores against each other: numbers in the vectors of a block of sessions and of items. A block of
+# sessions is sent once for every block of items of a band, so those are the larger ones.
+_BLOCK_NUMBERS, _ITEM_NUMBERS = 1 << 20, 1 << 23
+# Items of the first band, those with the longest vectors; each further band is as long as all before it.
+FIRST_BAND = 1 << 15
 # Ratings for each of the blocks that the factorization deals users and items out to.
 _RATINGS_PER_BLOCK = 5_000_000
 _MOST_IDS = (1 << 31) - 1
@@ -75,32 +78,30 @@ def session_vectors(factors, context, hot_rows=HOT_ROWS, dimensions=None):
     return known.groupBy("session_id").agg(F.array(*means).alias("vector"))
 
 
-def _best_of_blocks(key, sessions, items):
-    """The best items of one block for each session of another: a matrix product."""
-    out = {"session_id": [], "item_id": [], "score": []}
+def _numbers(table, column):
+    """The vectors of an Arrow column as a matrix."""
+    values = table.column(column).combine_chunks()
+    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
+
+
+def _best_of_blocks(sessions, items):
+    """The best items of one block for each session of another: a matrix product, a bounded number of scores at a time."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     if len(sessions) and len(items):
-        items = items.sort_values("id")
-        ids, matrix = items["id"].to_numpy(), np.array(items["features"].tolist(), dtype=np.float64)
-        wanted = sessions["wanted"].to_numpy()
-        vectors = np.array(sessions["vector"].tolist(), dtype=np.float64)
-        # A bounded number of scores at a time, whatever the size of the blocks.
+        items = items.sort_by("id")
+        ids, matrix = items.column("id").to_numpy(), _numbers(items, "features")
+        session, wanted = sessions.column("session_id").to_numpy(), sessions.column("wanted").to_numpy()
+        vectors = _numbers(sessions, "vector")
         step = max(1, 4_000_000 // len(ids))
-        for start in range(0, len(sessions), step):
+        for start in range(0, len(session), step):
             products = np.round(vectors[start:start + step] @ matrix.T, _SCORE_DIGITS) + 0.0
-            for offset, row in enumerate(products):
-                k = min(int(wanted[start + offset]), len(ids))
+            for row, who, k in zip(products, session[start:start + step], np.minimum(wanted[start:start + step], len(ids))):
                 # Items are sorted by id, and a stable sort keeps that order among ties.
                 cut = np.partition(row, len(row) - k)[len(row) - k] if k < len(row) else -np.inf
                 near = np.flatnonzero(row >= cut)
                 near = near[np.argsort(-row[near], kind="stable")][:k]
-                out["session_id"].append(np.full(len(near), sessions["session_id"].iloc[start + offset]))
-                out["item_id"].append(ids[near])
-                out["score"].append(row[near])
-    return pd.DataFrame({
-        "session_id": np.concatenate(out["session_id"] or [np.zeros(0, np.int64)]),
-        "item_id": np.concatenate(out["item_id"] or [np.zeros(0, np.int64)]),
-        "score": np.concatenate(out["score"] or [np.zeros(0)]),
-    })
+                out.append((np.full(len(near), who), ids[near], row[near]))
+    return pa.table(dict(zip(("session_id", "item_id", "score"), map(np.concatenate, zip(*out)))))
 
 
 def _dealt(table, key, own, n_own, other, n_other):
@@ -110,32 +111,75 @@ def _dealt(table, key, own, n_own, other, n_other):
     )
 
 
-def retrieve_by_factors(factors, context, top_k, hot_rows=HOT_ROWS, block_numbers=None, dimensions=None):
+def norm_bands(factors, first_band=FIRST_BAND):
+    """Stage table (id, features, norm, band): items in bands of falling length of their vectors.
+
+    Band 0 has the `first_band` longest, each further one as many as all before it; equal lengths are ordered by id.
+    """
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda sum, x: sum + x.cast("double") * x.cast("double")))
+    items = factors.select("id", "features", norm.alias("norm"), (-norm).alias("fall"), F.lit(1).cast("bigint").alias("one"))
+    placed = ordered_prefix(items, ["fall", "id"], place="one")
+    turn = F.floor(F.col("place") / F.lit(first_band)).cast("bigint")
+    band = F.when(turn == 0, 0).otherwise(F.length(F.bin(turn)))
+    return materialize(placed.select("id", "features", "norm", band.alias("band")), "bands", ["band"])
+
+
+def retrieve_by_factors(
+    factors, context, top_k, hot_rows=HOT_ROWS, block_numbers=None, dimensions=None, first_band=FIRST_BAND, trace=None
+):
     """Recommendations (session_id, item_id, score, rank): nearest items not in the context.
 
-    Sessions and items are dealt out to blocks of about `block_numbers` numbers by hashes, every pair of blocks meets in
+    Items are read in bands of falling vector length. A score is at most the product of the lengths of both vectors, so a session is
+    done when its k-th best item so far beats that bound for the next band; the others go on, until no band is left.
+    Within a band, sessions and items are dealt out to blocks of about `block_numbers` numbers by hashes, every pair of blocks meets in
     one task, and yields each session's best k plus as many as the session has
     distinct items, so that k remain once the context is taken out. Scores are rounded to
-    6 digits; equal scores are ordered by item_id. `factors` is read twice: pass a stage table.
+    6 digits; equal scores are ordered by item_id. `factors` is read more than once: pass a stage table. `trace`, a list, gets (band,
+    sessions, items) of each step.
     """
     if factors is None:
         raise RuntimeError("the factors have not been fitted")
-    block_numbers = block_numbers or _BLOCK_NUMBERS
+    own, others = (block_numbers,) * 2 if block_numbers else (_BLOCK_NUMBERS, _ITEM_NUMBERS)
     dimensions = _dimensions(factors) if dimensions is None else dimensions
     seen = context.select("session_id", "item_id").distinct()
     sizes = seen.groupBy("session_id").agg((F.count(F.lit(1)) + top_k).alias("wanted"))
-    vectors = materialize(
-        session_vectors(factors, context, hot_rows, dimensions).join(sizes, "session_id"), "session-vectors"
-    )
-    blocks = [max(1, -(-table.count() * max(dimensions, 1) // block_numbers)) for table in (vectors, factors)]
-    left = _dealt(vectors, "session_id", "sessions", blocks[0], "items", blocks[1])
-    right = _dealt(factors.select("id", "features"), "id", "items", blocks[1], "sessions", blocks[0])
-    near = left.groupBy("sessions", "items").cogroup(right.groupBy("sessions", "items")).applyInPandas(
-        _best_of_blocks, "session_id bigint, item_id bigint, score double"
-    )
+    vectors = session_vectors(factors, context, hot_rows, dimensions).join(sizes, "session_id")
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda sum, x: sum + x * x))
+    active = materialize(vectors.withColumn("length", length), "session-vectors")
+    items = norm_bands(factors, first_band)
+    bands = sorted(map(tuple, items.groupBy("band").agg(F.count(F.lit(1)), F.max("norm")).collect()))  # a row for each doubling
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "item_id")
-    return (
-        near.join(seen, ["session_id", "item_id"], "left_anti")
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= top_k)
-    )
+    schema = "session_id bigint, item_id bigint, score double"
+    found, done = None, []
+    for (band, n_items, _), following in zip(bands, [*bands[1:], None]):
+        n_sessions = active.count()
+        if trace is not None:
+            trace.append((band, n_sessions, n_items))
+        blocks = [max(1, -(-n * max(dimensions, 1) // numbers)) for n, numbers in ((n_sessions, own), (n_items, others))]
+        left = _dealt(active.select("session_id", "vector", "wanted"), "session_id", "sessions", blocks[0], "items", blocks[1])
+        mine = items.filter(F.col("band") == band).select("id", F.col("features").cast("array<double>").alias("features"))
+        right = _dealt(mine, "id", "items", blocks[1], "sessions", blocks[0])
+        near = left.groupBy("sessions", "items").cogroup(right.groupBy("sessions", "items")).applyInArrow(_best_of_blocks, schema)
+        near = near.join(seen, ["session_id", "item_id"], "left_anti")
+        near = near if found is None else near.unionByName(found)
+        near = near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_k)
+        if following is None:
+            done.append(near)
+            break
+        near = materialize(near, "nearest")
+        kth = near.filter(F.col("rank") == top_k).select("session_id", F.col("score").alias("kth"))
+        # Rounding can lift a score by half a unit of its last digit.
+        beaten = F.col("kth") > F.col("length") * F.lit(following[2]) + 10.0 ** -_SCORE_DIGITS
+        judged = materialize(active.join(kth, "session_id", "left").withColumn("done", F.coalesce(beaten, F.lit(False))).drop("kth"), "session-vectors")
+        finished = judged.filter("done").select("session_id")
+        done.append(near.join(finished, "session_id", "left_semi"))
+        active = judged.filter("NOT done").drop("done")
+        if not active.limit(1).count():
+            break
+        found = near.join(finished, "session_id", "left_anti").drop("rank")
+    if not done:
+        return context.sparkSession.createDataFrame([], schema + ", rank int")
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    return whole

@@ -15,8 +15,15 @@ _SPARSE = """
                             l_extendedprice, l_shipdate) AS tie
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
+# Days as timestamps, and the events of a day in the order of their lines: in three files, by a hash in each.
+_BY_DAY = """
+  SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+         CAST(epoch_us(ts) // 86400000000 AS BIGINT) AS "timestamp",
+         row_number() OVER (ORDER BY event_id % 3, md5(CAST(event_id AS VARCHAR))) AS tie
+  FROM events"""
+
 # log: (events, gap in microseconds)
-_LOGS = {"dense": (_DENSE, 86400000000), "sparse": (_SPARSE, 180 * 86400000000)}
+_LOGS = {"by_day": (_BY_DAY, 1), "dense": (_DENSE, 86400000000), "sparse": (_SPARSE, 180 * 86400000000)}
 
 # name: (steps it builds on, SQL)
 # The genres of the items.
@@ -307,8 +314,12 @@ _VECTORS = """
   JOIN (SELECT vec_id, embedding FROM embeddings) v ON v.vec_id = c.item_id + {shift}"""
 
 
-def _embedding(shift):
-    known = _VECTORS.replace("{shift}", str(shift))
+# The vectors at lengths that differ.
+_SCALED = "SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1 / (1 + vec_id % 50))) AS embedding FROM embeddings"
+
+
+def _embedding(shift, vectors="SELECT vec_id, embedding FROM embeddings", top_k=20):
+    known = _VECTORS.replace("{shift}", str(shift)).replace("SELECT vec_id, embedding FROM embeddings", vectors)
     return f"""SELECT * FROM (
   SELECT session_id, item_id, score,
          CAST(row_number() OVER (PARTITION BY session_id ORDER BY score DESC, item_id) AS INTEGER)
@@ -319,10 +330,10 @@ def _embedding(shift):
     FROM (SELECT session_id, list(x ORDER BY dim) AS vector FROM (
             SELECT session_id, dim, avg(CAST(embedding[dim] AS DOUBLE)) AS x
             FROM ({known}), (SELECT unnest(range(1, 65)) AS dim)
-            GROUP BY session_id, dim) GROUP BY session_id) m, embeddings e
+            GROUP BY session_id, dim) GROUP BY session_id) m, ({vectors}) e
     WHERE NOT EXISTS (SELECT 1 FROM ctx_all c WHERE c.session_id = m.session_id
                       AND c.item_id + {shift} = e.vec_id)))
-WHERE rank <= 20"""
+WHERE rank <= {top_k}"""
 
 
 def _leafwise(splits):
@@ -410,6 +421,14 @@ def oracles():
         "q_build_sessions_sliced": _sql(f"SELECT {_SESSION_COLUMNS} FROM sess", ["sess"]),
         "q_build_sessions_sparse_sliced": _sql(
             f"SELECT {_SESSION_COLUMNS} FROM sess", ["sess"], "sparse"),
+        "q_build_sessions_input_order": _sql(
+            f"SELECT {_SESSION_COLUMNS} FROM sess", ["sess"], "by_day"),
+        "q_stream_sessions": _sql(
+            'SELECT user_id, min("timestamp") AS started, max("timestamp") AS ended, count(*) AS n_items '
+            "FROM loc GROUP BY user_id, lsid HAVING count(*) >= 2", ["loc"]),
+        "q_stream_popularity": _sql(
+            'SELECT CAST("timestamp" // 604800000000 * 604800000000 AS BIGINT) AS window_start, item_id, count(*) AS n '
+            "FROM ev GROUP BY ALL", ["ev"]),
         "q_session_summary": _sql(
             "SELECT count(DISTINCT session_id) AS n_sessions, count(DISTINCT user_id) AS n_users "
             "FROM sess", ["sess"]),
@@ -469,6 +488,17 @@ def oracles():
         "q_cooc_recs_heads": _sql("SELECT * FROM cooc_recs", ["cooc_recs"]),
         "q_cooc_recs_sparse_heads": _sql(
             "SELECT * FROM cooc_recs WHERE rank <= 10", ["cooc_recs"], "sparse"),
+        "q_cooc_recs_insertion_ties": _sql("""
+SELECT session_id, item_id, score, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY session_id ORDER BY score DESC, met) AS INTEGER) AS rank FROM (
+    SELECT r.session_id, c.item_b AS item_id, CAST(sum(c.cnt) AS BIGINT) AS score, min({'r': recency, 'f': f}) AS met
+    FROM recent r JOIN (
+      SELECT item_a, item_b, count(*) AS cnt, min({'s': s, 'i': i, 'j': j}) AS f FROM (
+        SELECT a.item_id AS item_a, b.item_id AS item_b, a.session_id AS s, a.position AS i, b.position AS j
+        FROM train a JOIN train b ON a.session_id = b.session_id AND abs(a.position - b.position) <= 5 AND a.item_id <> b.item_id)
+      GROUP BY item_a, item_b) c ON r.item_id = c.item_a
+    WHERE NOT EXISTS (SELECT 1 FROM ctx WHERE ctx.session_id = r.session_id AND ctx.item_id = c.item_b)
+    GROUP BY r.session_id, c.item_b)) WHERE rank <= 10""", ["train", "recent", "ctx"]),
         "q_cooc_scores_salted": _sql("SELECT * FROM scores", ["scores"]),
         "q_cooc_summary": _sql(
             "SELECT (SELECT count(DISTINCT item_id) FROM train) AS n_items, "
@@ -481,6 +511,7 @@ def oracles():
         "q_embedding_recs": _sql(_embedding(0), ["ctx_all"]),
         "q_embedding_recs_unknown": _sql(_embedding(440), ["ctx_all"]),
         "q_embedding_recs_blocks": _sql(_embedding(0), ["ctx_all"]),
+        "q_embedding_work": _sql("SELECT *, true AS fewer FROM (" + _embedding(0, _SCALED, 10) + ")", ["ctx_all"]),
         "q_als_facts": _sql("""
 SELECT session_id, n AS n_items, n AS n_different, n AS last_rank, CAST(0 AS BIGINT) AS n_seen
 FROM (SELECT c.session_id, least(10, max(k.n) - count(DISTINCT CASE WHEN known THEN c.item_id END)) AS n

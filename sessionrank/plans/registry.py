@@ -10,7 +10,8 @@ from sessionrank.operators import (
     slices,
 )
 from sessionrank.plans import stages
-from sessionrank.sources import files, fixtures, trees
+from sessionrank.sources import files, fixtures
+from sessionrank.streaming import sessions as streams
 
 _QUERIES = {}
 
@@ -108,6 +109,64 @@ def build_sessions_sparse_sliced(spark, folder):
     return _sessions(spark, folder, fixtures.sparse_log, hot_rows=HOT_SLICE)
 
 
+@_query
+def build_sessions_input_order(spark, folder):
+    """Sessions by day alone, events of a day in the order of their lines in several files, each read in several splits."""
+    events = fixtures.dense_log(spark, folder).events
+    raw, name = stage_path(spark, "raw"), "spark.sql.files.maxPartitionBytes"
+    lines = events.select(
+        "user_id", "item_id", F.lit(1.0).alias("rating"), F.floor(F.col("timestamp") / fixtures.DAY).alias("timestamp"),
+        (F.col("event_id") % 3).alias("part"), F.md5(F.col("event_id").cast("string")).alias("place"),
+    )
+    for part in range(3):
+        rows = lines.filter(F.col("part") == part).coalesce(1).sortWithinPartitions("place").drop("part", "place")
+        _write_lines(rows, raw, f"ratings.dat/{part}")
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(1 << 14))
+    try:
+        read = files.with_input_order(files.read_ratings(spark, raw, folders=True))
+        return sessions.build_sessions(read, 1, tie_cols=files.INPUT_ORDER)
+    finally:
+        spark.conf.set(name, before)
+
+
+def _landed(spark, folder, parts=4):
+    """(path, schema): the dense log in files that landed one after the other, by time."""
+    events = fixtures.dense_log(spark, folder).events.select("user_id", "item_id", "timestamp")
+    path = stage_path(spark, "landing")
+    low, high = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    part = F.least(F.floor((F.col("timestamp") - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    for k in range(parts):
+        events.filter(part == k).coalesce(2).write.mode("append").parquet(path)
+    return path, events.schema, high
+
+
+def _streamed(spark, folder, make, name):
+    """What a stream over the landed files writes in two runs, the second from the checkpoint of the first."""
+    path, schema, high = _landed(spark, folder)
+    sink, checkpoint = stage_path(spark, name), stage_path(spark, "checkpoint")
+    stream = lambda: make(streams.event_files(spark, path, schema, 3))
+    streams.run_available(stream(), sink, checkpoint)
+    # An event far ahead closes what is open.
+    far = spark.createDataFrame([(-1, -1, high + 1000 * fixtures.DAY)], schema)
+    far.coalesce(1).write.mode("append").parquet(path)
+    streams.run_available(stream(), sink, checkpoint)
+    streams.run_available(stream(), sink, checkpoint)
+    return spark.read.parquet(sink)
+
+
+@_query
+def stream_sessions(spark, folder):
+    _, gap, _ = fixtures.dense_log(spark, folder)
+    found = _streamed(spark, folder, lambda events: streams.stream_sessions(events, gap), "stream-sessions")
+    return found.select("user_id", "started", "ended", "n_items")
+
+
+@_query
+def stream_popularity(spark, folder):
+    return _streamed(spark, folder, lambda events: streams.stream_popularity(events, 7 * fixtures.DAY), "stream-popularity")
+
+
 @_query
 def session_summary(spark, folder):
     return sessions.session_summary(_sessions(spark, folder))
@@ -299,6 +358,15 @@ def cooc_recs_sparse_heads(spark, folder):
     return recs.drop("cooc_score_last_item")
 
 
+@_query
+def cooc_recs_insertion_ties(spark, folder):
+    data = _prepared(spark, folder)
+    edges = materialize(cooccurrence.fit_cooccurrence(data.sessions("train"), insertion=True), "edges")
+    # Few edges to a block, so that ties are met in several.
+    recs = cooccurrence.retrieve_cooccurrence(edges, data.context("test"), schemas.RANKING_K, head=16, insertion=True)
+    return recs.drop("cooc_score_last_item")
+
+
 @_query
 def cooc_scores_salted(spark, folder):
     data = _prepared(spark, folder)
@@ -359,6 +427,16 @@ def als_recs(spark, folder):
     return _als_recs(spark, folder)[1]
 
 
+@_query
+def embedding_work(spark, folder):
+    """Lists over vectors of different lengths, and whether fewer products than all pairs gave them."""
+    vectors, trace = fixtures.item_vectors(spark, folder), []
+    scale = 1 / (1 + F.col("id") % 50)
+    vectors = vectors.select("id", F.transform("features", lambda x: x.cast("double") * scale).alias("features"))
+    recs = factors.retrieve_by_factors(vectors, _whole_context(spark, folder), 10, first_band=32, trace=trace)
+    return recs.withColumn("fewer", F.lit(sum(n * m for _, n, m in trace) < trace[0][1] * vectors.count()))
+
+
 @_query
 def als_facts(spark, folder):
     # What must hold for the lists of any factorization.

@@ -10,9 +10,10 @@ def _read_separated(spark, path, separator, schema, **options):
     return spark.read.csv(path, sep=separator, schema=schema, header=False, quote="", **options)
 
 
-def read_ratings(spark, folder, separator="::"):
-    """ratings.dat: user, item, rating, epoch seconds."""
-    return _read_separated(spark, f"{folder}/ratings.dat", separator, schemas.RATINGS)
+def read_ratings(spark, folder, separator="::", folders=False):
+    """ratings.dat: user, item, rating, epoch seconds. With `folders` it holds folders of files, all of which are read."""
+    options = {"recursiveFileLookup": True} if folders else {}
+    return _read_separated(spark, f"{folder}/ratings.dat", separator, schemas.RATINGS, **options)
 
 
 def read_movies(spark, folder, separator="::"):
@@ -28,6 +29,22 @@ def read_users(spark, folder, separator="::"):
     return _read_separated(spark, f"{folder}/users.dat", separator, schemas.USERS)
 
 
+# Columns that order rows as they stand in their files.
+INPUT_ORDER = ("input_file", "input_block", "input_row")
+
+
+def with_input_order(df):
+    """Rows read from files, as they come from the reader, with INPUT_ORDER: file, split and place in it.
+
+    Sorting by these columns gives the files in the order of their paths and the lines or rows of a file in theirs, whatever the
+    number of tasks: a split is read by one task from front to back, so numbers that grow within a task keep its order.
+    """
+    return df.select(
+        *df.columns, F.col("_metadata.file_path").alias("input_file"), F.col("_metadata.file_block_start").alias("input_block"),
+        F.monotonically_increasing_id().alias("input_row"),
+    )
+
+
 def write_table(df, path, partition_by=()):
     """Writes a stage table, replacing it."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

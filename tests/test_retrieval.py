@@ -167,8 +167,8 @@ def _factors(table, n, rank=8, seed=0):
     return matrix, table(rows_, "id bigint, features array<float>")
 
 
-@pytest.mark.parametrize("block_numbers", [None, 40])
-def test_factor_recs_equal_brute_force(table, block_numbers):
+@pytest.mark.parametrize("block_numbers, first_band", [(None, 100), (40, 100), (None, 2), (40, 5)])
+def test_factor_recs_equal_brute_force(table, block_numbers, first_band):
     matrix, factors = _factors(table, 30)
     lists = {s: items for s, items in _random_lists(3, 25, 40, 6).items()}
     expected = []
@@ -179,10 +179,26 @@ def test_factor_recs_equal_brute_force(table, block_numbers):
         scores = np.round(matrix @ matrix[known].mean(axis=0), 6)
         ranked = sorted((i for i in range(30) if i not in items), key=lambda i: (-scores[i], i))
         expected += [(s, i, float(scores[i]), r) for r, i in enumerate(ranked[:5], 1)]
-    got = rows(A.retrieve_by_factors(factors, _sessions(table, lists), 5, hot_rows=20, block_numbers=block_numbers))
+    got = rows(A.retrieve_by_factors(factors, _sessions(table, lists), 5, hot_rows=20, block_numbers=block_numbers, first_band=first_band))
     assert [(r[0], r[1], r[3]) for r in got] == [(r[0], r[1], r[3]) for r in sorted(expected, key=str)]
 
 
+def test_bands_of_falling_length_end_the_search(table):
+    """Sessions near long vectors stop early; what they get is what all products give."""
+    rng = np.random.default_rng(3)
+    matrix = rng.normal(size=(300, 6)) * (1.0 / (1 + np.arange(300)))[:, None] ** 0.7
+    factors = table([(i, [float(x) for x in v]) for i, v in enumerate(matrix)], "id bigint, features array<double>")
+    bands = [(r["band"], r["id"], r["norm"]) for r in A.norm_bands(factors, 8).collect()]
+    assert Counter(b for b, _, _ in bands) == {0: 8, 1: 8, 2: 16, 3: 32, 4: 64, 5: 128, 6: 44}
+    norms = [[n for b, _, n in bands if b == k] for k in range(7)]
+    assert all(min(a) >= max(b) for a, b in zip(norms, norms[1:]))
+    context = _sessions(table, {s: [s % 20, (7 * s) % 300] for s in range(40)} | {99: [5000]})
+    trace = []
+    got = rows(A.retrieve_by_factors(factors, context, 3, first_band=8, trace=trace))
+    assert got == rows(A.retrieve_by_factors(factors, context, 3)) and len(got) == 120
+    assert sum(n * m for _, n, m in trace) < 40 * 300 / 2
+
+
 def test_factorization_separates_two_groups(table):
     rng = random.Random(1)
     data = []

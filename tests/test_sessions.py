@@ -1,10 +1,14 @@
 import random
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from sessionrank.operators import sessions as S
+from sessionrank.sources import files
 
 EVENTS = "user_id bigint, item_id bigint, timestamp bigint, tie bigint"
 
@@ -34,9 +38,13 @@ def test_gap_is_strict(table):
 
 
 def test_truncation_keeps_the_last_rows(table):
-    events = _events(table, [(1, i, 100 * i) for i in range(10)])
-    built = rows(_build(events, max_length=5))
-    assert [(r[2], r[4]) for r in built] == [(5, 0), (6, 1), (7, 2), (8, 3), (9, 4)]
+    """Two users, unequal gaps, a session shorter than the limit and one that ends before the user does."""
+    times = {5: [0, 7, 400, 1800, 1801, 3000, 3004], 9: [50, 60, 90, 5000, 6200, 6201, 8000]}
+    events = _events(table, [(u, 100 * u + k, t) for u, ts in times.items() for k, t in enumerate(ts)])
+    built = rows(_build(events, gap=1500, max_length=3))
+    assert [(r[0], r[1], r[2], r[4]) for r in built] == [
+        (5, 0, 504, 0), (5, 0, 505, 1), (5, 0, 506, 2), (9, 1, 900, 0), (9, 1, 901, 1), (9, 1, 902, 2), (9, 2, 903, 0), (9, 2, 904, 1), (9, 2, 905, 2),
+    ]
 
 
 def test_sixty_rows_keep_fifty(table):
@@ -189,3 +197,30 @@ def test_one_row_session_has_a_target_and_no_context(table):
     events = _events(table, [(1, 10, 0)])
     context, targets = S.extract_targets(_build(events, min_length=1))
     assert rows(targets) == [(0, 1, 10)] and rows(context) == []
+
+
+def test_input_order_of_files_and_splits(spark, tmp_path):
+    """Rows of several files, read in many splits, in the order in which DuckDB numbers them."""
+    rng = random.Random(6)
+    for name in ("b", "a", "c"):
+        data = [(rng.randrange(3), rng.randrange(10**6), rng.randrange(3)) for _ in range(4000)]
+        frame = pa.table(dict(zip(("user_id", "item_id", "timestamp"), map(list, zip(*data)))))
+        pq.write_table(frame, tmp_path / f"{name}.parquet", row_group_size=500)
+    expected = duckdb.sql(
+        f"SELECT item_id FROM read_parquet('{tmp_path}/*.parquet', filename=true, file_row_number=true) ORDER BY filename, file_row_number"
+    ).fetchall()
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        read = files.with_input_order(spark.read.parquet(str(tmp_path)))
+        assert read.select("input_block").distinct().count() > 3
+        assert [r["item_id"] for r in read.orderBy(*files.INPUT_ORDER).collect()] == [r[0] for r in expected]
+        got = S.build_sessions(read, 10, max_length=None, tie_cols=files.INPUT_ORDER).orderBy("session_id", "position").collect()
+    finally:
+        spark.conf.set(name, before)
+    users = duckdb.sql(
+        f"SELECT user_id, item_id FROM read_parquet('{tmp_path}/*.parquet', filename=true, file_row_number=true) "
+        "ORDER BY user_id, timestamp, filename, file_row_number"
+    ).fetchall()
+    assert [(r["user_id"], r["item_id"]) for r in got] == users
