@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sessionrank.functions.staging import materialize
+from sessionrank.functions.staging import materialize, on_deletion
 
 # Rows of one key that a task may sort; a key with more is hot, whatever the size of the table.
 HOT_ROWS = 1_000_000
@@ -10,6 +10,8 @@ HOT_ROWS = 1_000_000
 BROADCAST_ROWS = 500_000
 
 _known = []
+# What was found lies in stage tables, which the end of a scope deletes.
+on_deletion.append(_known.clear)
 
 
 class HotKeys:
@@ -31,7 +33,7 @@ def hot_keys(df, key, hot_rows=HOT_ROWS):
     """The HotKeys of a column, None if no key has more than `hot_rows` rows.
 
     Keys are counted once per table and column: what was found is kept and found again for an equal plan, so
-    operators that share a stage table share the count. (An outdated table costs time, never a row.)
+    operators that share a stage table share the count, until a scope of stage tables ends. (An outdated table costs time, never a row.)
     """
     column = df.select(F.col(key).alias("key"))
     for seen, limit, found in _known:

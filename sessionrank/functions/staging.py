@@ -9,6 +9,8 @@ import uuid
 from contextlib import contextmanager
 
 _open_scopes = []
+# Functions to call when stage tables are deleted: whoever remembers some must forget them.
+on_deletion = []
 
 
 def stage_root(spark):
@@ -42,6 +44,16 @@ def materialize(df, name, partition_by=()):
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
+def materialize_alone(spark, build, name):
+    """`materialize(build(), name)`, the stage tables that building it makes being deleted afterwards."""
+    path = stage_path(spark, name)
+    with stage_scope(spark):
+        df = build()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path).select(*[f"`{c}`" for c in schema.names])
+
+
 @contextmanager
 def stage_scope(spark):
     """Deletes the stage tables made inside on leaving; results must be written or collected by then."""
@@ -49,6 +61,8 @@ def stage_scope(spark):
     try:
         yield
     finally:
+        for forget in on_deletion:
+            forget()
         jvm = spark.sparkContext._jvm
         for path in _open_scopes.pop():
             target = jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sessionrank import schemas
 from sessionrank.operators import ranking as K
 from sessionrank.operators import reports as R
-from sessionrank.functions.staging import materialize, stage_scope
+from sessionrank.functions.skew import hot_keys, salted_join
+from sessionrank.functions.staging import materialize, materialize_alone, stage_scope
 from sessionrank.plans import stages
 from sessionrank.plans.stages import run
 from sessionrank.sources import files
@@ -174,3 +175,25 @@ def test_stage_tables_are_deleted_after_use(spark, table):
         path = kept.inputFiles()[0].removeprefix("file:")
         assert kept.count() == 1 and os.path.exists(path)
     assert not os.path.exists(path)
+
+
+def test_hot_keys_are_forgotten_with_their_tables(spark, table):
+    df = materialize(table([(1, i) for i in range(9)] + [(2, 0)], "k bigint, v int"), "kept")
+    other = table([(1, "a"), (2, "b")], "k bigint, w string")
+    joined = lambda: rows(salted_join(df, other, ["k"], "inner", hot_keys(df, "k", 4), "k", ["v"]))
+    with stage_scope(spark):
+        first = joined()
+    assert joined() == first and len(first) == 10
+
+
+def test_tables_made_on_the_way_are_deleted(spark, table):
+    made = []
+
+    def build():
+        made.append(materialize(table([(1, 2)], "x bigint, `a b` int"), "on-the-way"))
+        return made[0].withColumn("y", F.col("x") + 1)
+
+    path = lambda df: df.inputFiles()[0].removeprefix("file:")
+    whole = materialize_alone(spark, build, "result")
+    assert rows(whole) == [(1, 2, 2)] and os.path.exists(path(whole))
+    assert not os.path.exists(path(made[0]))

@@ -218,3 +218,34 @@ def test_factorization_separates_two_groups(table):
 def test_unfitted_factors_are_an_error(table):
     with pytest.raises(RuntimeError):
         A.retrieve_by_factors(None, _sessions(table, {0: [1]}), 3)
+
+
+def _scan(lists, window):
+    """Counts in the order in which a scan of the sessions, position by position, first meets each neighbour."""
+    near = defaultdict(dict)
+    for s in sorted(lists):
+        items = lists[s]
+        for i, a in enumerate(items):
+            for b in items[max(0, i - window):i + window + 1]:
+                if a != b:
+                    near[a][b] = near[a].get(b, 0) + 1
+    return near
+
+
+@pytest.mark.parametrize("head, block", [(1, 5), (3, 4096), (None, 4096)])
+def test_equal_scores_in_order_of_insertion(table, head, block):
+    train = _random_lists(21, 60, 25, 14)
+    near = _scan(train, 3)
+    lists = _random_lists(22, 40, 30, 9)
+    expected = []
+    for s, items in lists.items():
+        scores = {}
+        for a in reversed(items[-3:]):
+            for b, n in near[a].items():
+                if b not in items:
+                    scores[b] = scores.get(b, 0) + n
+        ranked = sorted(scores, key=lambda b: -scores[b])[:6]  # a stable sort
+        expected += [(s, b, scores[b], r) for r, b in enumerate(ranked, 1)]
+    edges = C.fit_cooccurrence(_sessions(table, train), 3, block, insertion=True)
+    got = C.retrieve_cooccurrence(edges, _sessions(table, lists), 6, 3, head=head, insertion=True)
+    assert [r[:4] for r in rows(got)] == sorted(expected, key=str)
