@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sessionrank.functions.skew import hot_keys, salted_join
@@ -18,7 +19,7 @@ from sessionrank.llm.common import LOWER, UPPER, flat_map, stage
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 LEAST_LENGTH, LEAST_COUNT, MORE = 7, 2, 10
 # A key with more candidate pairs than this is refined.
-PAIRS_PER_KEY = 256
+PAIRS_PER_KEY = 1024
 # Words of a form whose rows are split among tasks when roots are looked up.
 HOT_FORM = 100_000
 
@@ -124,17 +125,14 @@ def near_pairs(words, pairs_per_key=PAIRS_PER_KEY):
     of their pairs is bounded by the alphabet. Nothing is dropped: every key is either joined or refined.
     """
     rows, found = _halved(_regions(words), first=True), []
+    each = Window.partitionBy("key")
+    chunks = F.sum((F.col("side") != "grams").cast("bigint")).over(each)
+    grams = F.sum((F.col("side") != "chunks").cast("bigint")).over(each)
     while True:
-        rows = stage(_keyed(rows), "spelling-keys")
-        chunks = F.sum((F.col("side") != "grams").cast("bigint"))
-        grams = F.sum((F.col("side") != "chunks").cast("bigint"))
-        one = F.min(F.col("lo") == F.col("hi"))
-        counts = rows.groupBy("key").agg((chunks * grams).alias("pairs"), F.count(F.lit(1)).alias("rows"), one.alias("one"))
         # a key without both sides, or with one word alone, has no pair
-        counts = stage(counts.filter("pairs > 0 AND rows > 1").select(
-            "key", ((F.col("pairs") > pairs_per_key) & ~F.col("one")).alias("wide")
-        ), "spelling-counts")
-        alive = rows.join(counts, "key")
+        counted = _keyed(rows).withColumn("pairs", chunks * grams).withColumn("rows", F.count(F.lit(1)).over(each))
+        wide = (F.col("pairs") > pairs_per_key) & (F.col("lo") < F.col("hi"))
+        alive = stage(counted.filter("pairs > 0 AND rows > 1").withColumn("wide", wide).drop("pairs", "rows"), "spelling-keys")
         narrow = alive.filter("NOT wide")
         left = narrow.filter("side <> 'grams'").select("key", "gap", F.col("word").alias("a"))
         right = narrow.filter("side <> 'chunks'").select("key", F.col("gap").alias("their_gap"), F.col("word").alias("b"))
@@ -143,7 +141,7 @@ def near_pairs(words, pairs_per_key=PAIRS_PER_KEY):
             & (F.levenshtein("a", "b", 1) == 1)
         )
         found.append(stage(pairs.select("a", "b"), "spelling-pairs"))
-        if not counts.filter("wide").limit(1).count():
+        if not alive.filter("wide").limit(1).count():
             break
         rows = _halved(alive.filter("wide"))
     pairs = found[0]
