@@ -9,6 +9,7 @@ largest one scores the document.
 import re
 import zlib
 from collections import Counter
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,12 @@ SAMPLE_ROWS, STRETCHES, STRETCH = 3000, 4, 32
 # A word or beginning is telling if it occurs in so many toxic documents, and its log odds of toxic against clean documents are
 # above the first limit and so many standard errors above 0. So many of the most telling ones are used.
 LEAST_DOCS, LEAST_ODDS, LEAST_ERRORS, TELLING = 3, 2.0, 3.0, 5000
-BEGINNINGS = range(3, 8)
+BEGINNINGS = (3, 4, 5, 6, 7)
 FEATURE_BITS, ROUNDS, RATE, RIDGE = 18, 80, 0.3, 0.02
 # A word is part of an offending span from this probability on.
 OFFENDING = 0.5
 
+_MASK = (1 << FEATURE_BITS) - 1
 _CHUNK = 64
 _KNOWN_WORDS = 200_000
 _HELD_ENTRIES = 500_000
@@ -44,8 +46,16 @@ def clues(word):
 
 
 def features(word):
-    """The numbers of a word's features: clues and ending."""
-    return [zlib.crc32(c.encode()) & ((1 << FEATURE_BITS) - 1) for c in (*clues(word), "-" + word.lower()[-3:])]
+    """The numbers of a word's features: CRC-32 of its beginnings, of all of it, and of its end, in lower case and UTF-8 bytes."""
+    w = word.lower().encode("utf-8", "replace")
+    h = zlib.crc32(w[:BEGINNINGS[0]])
+    found = [h]
+    for k in BEGINNINGS[1:]:
+        if len(w) < k:
+            break
+        h = zlib.crc32(w[k - 1:k], h)
+        found.append(h)
+    return [x & _MASK for x in (*found, zlib.crc32(w, 1), zlib.crc32(w[-3:], 2))]
 
 
 # ---------------------------------------------------------------- the field
@@ -161,36 +171,42 @@ def train(words, lengths, tags, rounds=ROUNDS, rate=RATE, ridge=RIDGE):
     return theta.astype(np.float32), change
 
 
+class _Numbers(dict):
+    """Numbers keys in the order of their first lookup."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
 class Tagger:
     """Scores of words by the weights of their features, remembered for a bounded number of words; probabilities of texts."""
 
     def __init__(self, theta, change):
-        self.theta, self.change, self.known = theta, change, {}
-
-    def score(self, word):
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= _KNOWN_WORDS:
-                self.known.clear()
-            found = self.known[word] = float(self.theta[features(word)].sum())
-        return found
+        self.theta, self.change = theta, change
+        self.known, self.scores = _Numbers(), np.zeros(0)
+
+    def _scored(self, words):
+        if len(self.known) > _KNOWN_WORDS:
+            self.known, self.scores = _Numbers(), np.zeros(0)
+        before = len(self.known)
+        ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        parts = [features(w) for w in islice(self.known, before, None)]
+        if parts:
+            flat = np.fromiter(chain.from_iterable(parts), np.int64)
+            first = np.cumsum([0, *map(len, parts[:-1])])
+            self.scores = np.concatenate([self.scores, np.add.reduceat(self.theta[flat].astype(np.float64), first)])
+        return self.scores[ids]
 
     def probabilities(self, texts):
         """For each text the probabilities of its words."""
-        known, score = self.known.get, self.score
-        found = []
-        for t in texts:
-            words = words_of(t)
-            mine = list(map(known, words))
-            if None in mine:
-                mine = [score(w) if s is None else s for w, s in zip(words, mine)]
-            found.append(mine)
-        lengths = np.array([len(f) for f in found], np.int64)
+        found = [words_of(t) for t in texts]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
         some = lengths > 0
-        cuts = np.cumsum(lengths)[:-1]
         if not some.any():
             return [np.zeros(0) for _ in texts]
-        return np.split(marginals(np.array([s for f in found for s in f]), lengths[some], self.change), cuts)
+        scores = self._scored(list(chain.from_iterable(found)))
+        return np.split(marginals(scores, lengths[some], self.change), np.cumsum(lengths)[:-1])
 
 
 def evidence(p):
