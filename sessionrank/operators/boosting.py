@@ -1,7 +1,7 @@
 """Boosted trees grown leaf by leaf from histograms of first and second derivatives of the log loss.
 
 Features are binned once. A pass over the rows adds up gradients and hessians by (leaf, feature, bin) in its tasks, a
-shuffle adds up the tasks' histograms, and expressions find the best split of each leaf; one row per (leaf, feature) comes back.
+shuffle by (leaf, feature) brings the tasks' histograms together, and the best split of each is found there; one row for each comes back.
 Sums are of integers, so trees do not depend on the order of rows. Trees are best-first up to `leaves`
 leaves: each pass looks at the children of all leaves that would be split by what is known, until nothing unknown can
 change the choice, so a tree takes about as many passes as it is deep, not one for each split.
@@ -228,7 +228,8 @@ def _drawn(key, salt, share):
 # ---------------------------------------------------------------- one tree
 
 def histograms(table, width, used, trees, growing, wanted, bag, share):
-    """Rows (leaf, feature, bin, g, h, n): sums of derivatives, in multiples of 1 / SCALE, and rows of the sample.
+    """Rows (leaf, feature, bin, g, h, n): sums of derivatives, in multiples of 1 / SCALE, and rows of the sample, one row from each
+    task, dealt out by (leaf, feature).
 
     `trees` are the trees whose values the table's margins lack, `growing` the splits {node: (feature, bin, left, right)} so far,
     `wanted` the nodes looked at. Each task adds up its rows' histograms before anything is shuffled.
@@ -279,35 +280,52 @@ def histograms(table, width, used, trees, growing, wanted, bag, share):
         ], names=["leaf", "feature", "bin", "g", "h", "n"])
 
     parts = table.mapInArrow(run, "leaf int, feature int, bin int, g bigint, h bigint, n bigint")
-    return parts.repartition("leaf", "feature").groupBy("leaf", "feature", "bin").agg(*[F.sum(c).alias(c) for c in "ghn"])
+    return parts.repartition("leaf", "feature")
 
 
-def penalised(g, h, l1, l2):
+def _penalised(g, h, settings):
     """What a leaf with these sums of derivatives gains over the value 0 (twice the fall of the loss's second-order form)."""
-    over = F.greatest(F.abs(g) - F.lit(l1), F.lit(0.0))
-    return over * over / (h + F.lit(l2))
+    over = np.maximum(np.abs(g) - settings.l1, 0.0)
+    return over * over / (h + settings.l2)
 
 
 def best_splits(hist, settings):
     """Rows (leaf, feature, g, h, n, gain, bin, gl, hl, nl): the best split of each leaf by each feature; without one, gain is null.
 
-    A split keeps `min_rows` rows and `min_hessian` on both sides and has a gain above 0; the lowest bin wins a tie.
+    A split keeps `min_rows` rows and `min_hessian` on both sides and has a gain above 0; the lowest bin wins a tie. A task adds up the
+    histograms of the (leaf, feature) that it was dealt, 256 bins each.
     """
-    each = Window.partitionBy("leaf", "feature")
-    upto = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    sums = hist.select(
-        "leaf", "feature", "bin", *[F.sum(c).over(upto).alias(f"{c}l") for c in "ghn"], *[F.sum(c).over(each).alias(c) for c in "ghn"]
-    )
-    of = lambda c: F.col(c) / float(SCALE)
-    gl, hl, g, h = of("gl"), of("hl"), of("g"), of("h")
-    l1, l2 = settings.l1, settings.l2
-    gain = penalised(gl, hl, l1, l2) + penalised(g - gl, h - hl, l1, l2) - penalised(g, h, l1, l2)
-    fits = (F.col("nl") >= settings.min_rows) & (F.col("n") - F.col("nl") >= settings.min_rows)
-    fits &= (hl >= settings.min_hessian) & (h - hl >= settings.min_hessian)
-    rated = sums.withColumn("gain", F.when(fits & (gain > 0), gain))
-    best = F.max(F.when(F.col("gain").isNotNull(), F.struct("gain", (-F.col("bin")).alias("early"), "gl", "hl", "nl"))).alias("best")
-    found = rated.groupBy("leaf", "feature").agg(*[F.first(c).alias(c) for c in "ghn"], best)
-    return found.select("leaf", "feature", "g", "h", "n", "best.gain", (-F.col("best.early")).alias("bin"), "best.gl", "best.hl", "best.nl")
+    def run(batches):
+        held = {}
+        for batch in batches:
+            leaf, feature, bin_, *sums = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            pairs, at = np.unique(leaf.astype(np.int64) << 32 | feature, return_inverse=True)
+            part = np.zeros((3, len(pairs), 256), np.int64)
+            for row, values in zip(part, sums):
+                np.add.at(row, (at, bin_), values)
+            for i, pair in enumerate(pairs.tolist()):
+                held[pair] = held[pair] + part[:, i] if pair in held else part[:, i]
+        if held:
+            upto = np.cumsum(np.stack(list(held.values())), 2)
+            whole = upto[:, :, -1:]
+            (gl, hl), (g, h) = (x[:, :2].transpose(1, 0, 2) / SCALE for x in (upto, whole))
+            gain = _penalised(gl, hl, settings) + _penalised(g - gl, h - hl, settings) - _penalised(g, h, settings)
+            nl, n = upto[:, 2], whole[:, 2]
+            fits = (nl >= settings.min_rows) & (n - nl >= settings.min_rows) & (hl >= settings.min_hessian) & (h - hl >= settings.min_hessian)
+            gain = np.where(fits & (gain > 0), gain, -1.0)
+            best = gain.argmax(1)
+            at = np.arange(len(best))
+            gain, pairs = gain[at, best], np.array(list(held))
+            none = gain <= 0
+            yield pa.RecordBatch.from_arrays([
+                pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), *[pa.array(whole[:, c, 0]) for c in range(3)],
+                pa.array(gain, mask=none), pa.array(best.astype(np.int32), mask=none), *[pa.array(upto[at, c, best], mask=none) for c in range(3)],
+            ], names=SPLITS.replace(",", "").split()[::2])
+
+    return hist.mapInArrow(run, SPLITS)
+
+
+SPLITS = "leaf int, feature int, g bigint, h bigint, n bigint, gain double, bin int, gl bigint, hl bigint, nl bigint"
 
 
 def _chosen(best, children, leaves):

@@ -473,11 +473,17 @@ def two_stage(spark, folder):
     return metrics.evaluate(systems[stages.RANKER], data.targets("test"))
 
 
-def _fitted_ranker(spark, folder, **params):
+# Rankers fitted in this session, by folder: the trees are some thousand numbers, the fit takes minutes.
+_rankers = {}
+
+
+def _fitted_ranker(spark, folder):
     data = _prepared(spark, folder)
     feats = stages.fit_features(data, fixtures.items(spark, folder))
-    model = stages.train(data, feats, **params)
-    return model, data, data.matrix("test", *feats, data.candidates("test"))
+    known = spark.sparkContext.applicationId, folder
+    if known not in _rankers:
+        _rankers[known] = stages.train(data, feats)
+    return _rankers[known], data, data.matrix("test", *feats, data.candidates("test"))
 
 
 @_query
