@@ -1,20 +1,21 @@
 """Language ID: script ranges narrow the candidates, Viterbi over per-word scores labels spans of mixed text."""
 
 import bisect
-import re
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import functions as F
 
 from sessionrank.llm.common import flat_map, map_texts, table_sizes, texts_of
 
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 # The fit reads about so many rows of each language, chosen by a hash of the row; it needs no more.
 SAMPLE_ROWS = 4000
+# So many languages are learned, those with the most rows: what bounds the model's memory (a quarter of a megabyte each).
 MAX_LANGUAGES = 500
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -214,14 +215,17 @@ def viterbi(scores, lengths, switch):
     return path.reshape(-1)[cell]
 
 
-def fit(docs, text="text", lang="lang", salt=("doc_id",), sample_rows=SAMPLE_ROWS):
+def fit(docs, text="text", lang="lang", salt=("doc_id", "text"), sample_rows=SAMPLE_ROWS, max_languages=MAX_LANGUAGES):
     """A Model learned from labelled rows: about `sample_rows` of each language, chosen by a hash of the `salt` columns.
 
-    Rows whose language or text is null teach nothing. The counts come from Spark: at most BUCKETS per language.
+    Rows whose language or text is null teach nothing. Of more than `max_languages` labels those with the most rows are learned (ties:
+    those that sort first), so a stray label here and there costs no memory; rows of the others teach nothing. Rows alike in the salt
+    columns are chosen together. The counts come from Spark: at most BUCKETS per language.
     """
     spark = docs.sparkSession
     labelled = docs.filter(F.col(lang).isNotNull())
-    sizes = dict(table_sizes(labelled.groupBy(lang).agg(F.count(F.lit(1))), MAX_LANGUAGES))
+    counted = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(max_languages)
+    sizes = dict(table_sizes(counted, max_languages))
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((len(SCRIPT_NAMES), 0)), np.zeros(0))
@@ -248,7 +252,7 @@ def fit(docs, text="text", lang="lang", salt=("doc_id",), sample_rows=SAMPLE_ROW
 
         return each, last
 
-    sample = labelled.filter(draw < share[F.col(lang)]).select(text, lang)
+    sample = labelled.filter(draw < F.coalesce(share[F.col(lang)], F.lit(0.0))).select(text, lang)
     counts = flat_map(sample, "language int, cell int, n bigint", make).groupBy("language", "cell").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros((BUCKETS + len(SCRIPT_NAMES), len(languages)))
     table[counts["cell"], counts["language"]] = counts["n"]

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sessionrank.llm import langid
 
@@ -65,6 +66,29 @@ def test_sample_is_bounded_and_nothing_learned(spark):
     assert langid.identify(docs.limit(0), small).collect() == []
 
 
+def test_rows_without_ids_and_a_hot_id_are_sampled_by_their_texts(spark):
+    docs = training(spark)
+    for ids in (F.lit(None).cast("bigint"), F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")).otherwise(7)):
+        model = langid.fit(docs.withColumn("doc_id", ids), sample_rows=30)
+        assert model.languages == ["xx", "yy", "zz"]
+        got = langid.identify(documents(spark, [sample(random.Random(9), k, 30) for k in ("xx", "yy", "zz")]), model).collect()
+        assert [r["lang_pred"] for r in got] == ["xx", "yy", "zz"]
+
+
+def test_more_labels_than_are_learned(spark):
+    docs = training(spark).select("doc_id", "text", "lang")
+    stray = spark.createDataFrame([(-i, "stray words", f"stray{i}") for i in range(600)], "doc_id bigint, text string, lang string")
+    assert langid.fit(docs.union(stray), max_languages=3).languages == ["xx", "yy", "zz"]
+    assert len(langid.fit(docs.union(stray)).languages) == langid.MAX_LANGUAGES
+
+
+def test_numerals_are_no_letters_and_marks_belong_to_words(spark):
+    model = langid.fit(training(spark))
+    got = langid.identify(documents(spark, ["² ½", "Ⅷ ①", "2²x"]), model).collect()
+    assert [r["lang_pred"] == "und" for r in got] == [True, True, False]
+    assert langid.words_of("हिन्दी".encode()) == ["हिन्दी".encode()]
+
+
 def test_accept_keeps_rows_with_letters(spark):
     model = langid.fit(training(spark))
     docs = documents(spark, ["kra tok mip", "123", None, "kra tok mip"], ids=[1, 2, 3, 1])
