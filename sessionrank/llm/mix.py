@@ -19,9 +19,10 @@ def words(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def draw(id_col, seed=SEED):
-    """A number between 0 and 1 (exclusive) for each id, the same in every run: 52 bits of an md5."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
+def draw(id_col, text, seed=SEED):
+    """A number between 0 and 1 (exclusive) for each id and text, the same in every run: 52 bits of an md5."""
+    own = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), own).cast("binary"))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -142,13 +143,13 @@ def of_source(rows, table, small, how="inner"):
 def rated(docs, id_col="doc_id", text="text", source="source", propensity=None, weights=WEIGHTS, limit=LIMIT, seed=SEED):
     """The document rows with size, source_size, target (of the source) and copies: how often the mix takes the document.
 
-    Sizes are words; a null text has none. Input columns of these names are replaced. The draw depends on seed and id alone, so
-    reruns agree and rows of one id are drawn together (null ids like one id). `propensity` names a column of factors
+    Sizes are words; a null text has none. Input columns of these names are replaced. The draw depends on seed, id and text, so
+    reruns agree; rows of one id (or without) are drawn apart unless their texts are alike too. `propensity` names a column of factors
     on the inclusion probability of a document within its source; without it all documents of a source are equally
     likely. Documents of a null source form a source. A source without words has target 0.
     """
     light = docs.select(
-        F.col(source).alias("source"), words(F.col(text)).alias("size"), draw(id_col, seed).alias("draw"),
+        F.col(source).alias("source"), words(F.col(text)).alias("size"), draw(id_col, text, seed).alias("draw"),
         *([F.col(propensity)] if propensity else []),
     )
     light = stage(light, "mix-light")
@@ -157,7 +158,7 @@ def rated(docs, id_col="doc_id", text="text", source="source", propensity=None,
 
     names = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "copies")]
     inner = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], F.col(source).alias("source"), words(F.col(text)).alias("size"),
-                        draw(id_col, seed).alias("draw"), *([F.col(propensity)] if propensity else []))
+                        draw(id_col, text, seed).alias("draw"), *([F.col(propensity)] if propensity else []))
     ranked = _ranked(of_source(inner, plan, small), propensity)
     return ranked.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "size", "source_size", "target",

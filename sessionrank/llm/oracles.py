@@ -49,7 +49,7 @@ FROM t GROUP BY conv_id"""
 _OP9 = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         (CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS UBIGINT) AS DOUBLE)
+         (CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))), 1, 13) AS UBIGINT) AS DOUBLE)
           + 0.5) / 4503599627370496 AS draw
   FROM documents),
 s AS (

@@ -27,8 +27,9 @@ def targets_of(sizes):
     return fixed
 
 
-def draw(i):
-    return (int(hashlib.md5(f"mix:{'null' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+def draw(i, text):
+    own = hashlib.md5((text or "").encode()).hexdigest()
+    return (int(hashlib.md5(f"mix:{'null' if i is None else i}:{own}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
 
 
 def brute(rows):
@@ -39,7 +40,7 @@ def brute(rows):
     target = targets_of(sizes)
     copies = {}
     for s in sizes:
-        mine = [(draw(i), i, size_of(t)) for i, t, x in rows if x == s]
+        mine = [(draw(i, t), i, size_of(t)) for i, t, x in rows if x == s]
         whole = int(target[s] // sizes[s]) if sizes[s] else 0
         left, taken = target[s] - whole * sizes[s], set()
         for fill in range(3 if left > 0 else 0):
@@ -84,8 +85,16 @@ def test_takes_come_near_their_targets_and_reruns_agree(spark):
         assert abs(r[1] - sums[r[0]][0]) <= 2
 
 
+@pytest.mark.parametrize("ids", [[None] * 200, [7] * 150 + list(range(50))])
+def test_rows_without_ids_or_of_one_id_are_drawn_apart(spark, ids):
+    """A source's words come within one document of its target."""
+    docs = documents(spark, [f"{i} " + "w " * 9 for i in range(200)], ids=ids, source=["a"] * 60 + ["b"] * 140)
+    for r in mix.rated(docs).selectExpr("source", "target", "copies * 10 t").groupBy("source").agg({"target": "max", "t": "sum"}).collect():
+        assert abs(r["max(target)"] - r["sum(t)"]) <= 10
+
+
 def test_propensities_raise_the_chance(spark):
-    docs = documents(spark, ["w x"] * 400, source=["a"] * 200 + ["b"] * 200).selectExpr("*", "if(doc_id % 2 = 0, 1.8D, 0.2D) as odds")
+    docs = documents(spark, [f"w {i}" for i in range(400)], source=["a"] * 200 + ["b"] * 200).selectExpr("*", "if(doc_id % 2 = 0, 1.8D, 0.2D) as odds")
     picked = mix.rated(docs, propensity="odds").filter("source = 'a'").selectExpr("doc_id % 2 = 0 as even", "copies").groupBy("even").sum("copies").collect()
     got = {r[0]: r[1] for r in picked}
     assert got[True] > 3 * got[False]
