@@ -78,7 +78,7 @@ def matches(text, pattern, kind, valid, gate=None):
     `valid` takes the match to a boolean or (valid, checked) pair; near tells if a context word is within WINDOW.
     """
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,checked:boolean,near:boolean>>")
-    near = rf"(?i)\b(?:{WORDS[kind]})"
+    near = rf"(?i)\b(?:{WORDS[kind]})\b"
 
     def located(found):
         def placed(parts):

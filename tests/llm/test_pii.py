@@ -54,6 +54,9 @@ def test_checksums_and_context(spark):
     found = pii.find_pii(documents(spark, texts)).collect()
     kinds = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in found}
     assert kinds == {0: ["iban"], 1: ["iban"], 2: [], 3: ["id"], 4: [], 5: [], 6: ["card_short"], 7: []}
+    # Context words are whole words.
+    loose = pii.find_pii(documents(spark, ["a good idea 123-45-6789", "ID: 123-45-6789"])).orderBy("doc_id").collect()
+    assert [len(r["spans"]) for r in loose] == [0, 1]
     near = pii.find_pii(documents(spark, ["visa card 4041894974608795", "4041894974608795"])).collect()
     assert near[0]["spans"][0]["score"] > near[1]["spans"][0]["score"]
 
