@@ -22,7 +22,8 @@ LEARNED_ROLE = "assistant"
 
 # A conversation of more tokens comes in several pieces, each of whole turns.
 PIECE_TOKENS = 1 << 20
-# Longer texts are encoded in parts of so many code points.
+# Longer texts are encoded in parts of at most so many code points. They are cut before a single space between other characters, where the
+# pattern splits anyway; only a text without such a place in a whole part is cut elsewhere, and its ids may differ from the whole text's.
 _PART = 1 << 18
 
 
@@ -34,6 +35,20 @@ def unescape(text):
     return re.sub(r"<\\(\\*)\|", r"<\1|", text)
 
 
+def parts_of(text, most):
+    """Consecutive parts of a text of at most `most` code points, cut before single spaces if there are any."""
+    start = 0
+    while len(text) - start > most:
+        end = start + most
+        cut = text.rfind(" ", start + 1, end)
+        while cut > start and (text[cut - 1].isspace() or text[cut + 1].isspace()):
+            cut = text.rfind(" ", start + 1, cut)
+        end = cut if cut > start else end
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
 class Codec:
     """A byte-level BPE vocabulary file (base64 token, rank per line) with reserved ids after its own."""
 
@@ -48,8 +63,8 @@ class Codec:
     def encode(self, text):
         text = escape(text)
         ids = []
-        for a in range(0, len(text), _PART):
-            ids += self.coder.encode_ordinary(text[a:a + _PART])
+        for part in parts_of(text, _PART):
+            ids += self.coder.encode_ordinary(part)
         return ids
 
     def decode(self, ids):

@@ -55,3 +55,14 @@ def test_escape_is_reversible():
 
 def test_empty_table(spark):
     assert chat.read_back(chat.format_chats(table(spark, ROWS).limit(0), VOCABULARY), VOCABULARY).collect() == []
+
+
+def test_long_texts_have_the_ids_of_the_whole_text(monkeypatch):
+    codec = chat.Codec(VOCABULARY)
+    text = "Some words, 12 of  them: don't\n\n split   here 😀. " * 40
+    whole = codec.encode(text)
+    for most in (60, 400):
+        assert "".join(chat.parts_of(text, most)) == text and max(map(len, chat.parts_of(text, most))) <= most
+        monkeypatch.setattr(chat, "_PART", most)
+        assert codec.encode(text) == whole
+    assert list(chat.parts_of("x" * 25, 10)) == ["x" * 10, "x" * 10, "x" * 5]
