@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that its predecesso
 of documents; the last one adds shard and slot. Stages write their rows as Parquet; the next one reads them.
 """
 
+from sessionrank.functions.staging import materialize_alone
 from sessionrank.llm import decontaminate, langid, mix, shard, simhash
-from sessionrank.llm.common import read, stage
+from sessionrank.llm.common import read
 
 
 def language_id(spark, docs, sf_dir):
@@ -46,8 +47,8 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages, from the documents table to sharded rows."""
+    """All stages, from the documents table to sharded rows. Tables that a stage makes on the way are deleted once it is written."""
     docs = read(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name)
+        docs = materialize_alone(spark, lambda apply=apply, docs=docs: apply(spark, docs, sf_dir), f"llm-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
