@@ -1,4 +1,7 @@
+import os
+
 import corpus_pipeline
+from sessionrank.functions.staging import stage_root
 from sessionrank.llm import decontaminate, simhash
 from sessionrank.llm.common import read
 
@@ -40,7 +43,12 @@ def test_stages_keep_and_drop_what_their_operators_say(spark):
 
 
 def test_run_and_empty_input(spark):
+    folder = f"{stage_root(spark).removeprefix('file:')}/stages"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     out = corpus_pipeline.run(spark, FOLDER)
+    left = [name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before]
+    # What the first four stages made on the way is gone, their rows and the last one's tables are there.
+    assert {f"llm-{name}" for name, _ in corpus_pipeline.STAGES[:-1]} <= set(left) and not [n for n in left if "mix-" in n or "star" in n]
     sizes = [r["count"] for r in out.groupBy("shard").count().collect()]
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 1
     docs = read(spark, FOLDER, "documents").limit(0)
