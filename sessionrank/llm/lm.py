@@ -3,8 +3,8 @@
 A text is its tokens, joined by single spaces, and an end mark. The model is an n-gram model of that byte
 sequence with Witten-Bell smoothing in backoff form: contexts are states, seen continuations are arcs,
 and where no arc fits, the failure arc to the next shorter context adds its weight. Every n-gram seen is an
-arc at any size: the n-grams are a partitioned table (Arcs), to which texts are joined. A Model holds the
-automaton of the frequent n-grams in memory.
+arc at any size: the n-grams are a partitioned table (Arcs). Texts are scored in blocks: a block asks the table for
+the arcs and failure arcs that its runs of bytes can take, builds the automaton of these, and reads its texts from left to right.
 """
 
 from collections import Counter
@@ -16,16 +16,15 @@ from pyspark.sql import functions as F
 from sessionrank.llm.common import LOWER_BYTES, PIECE_BYTES, flat_map, map_texts, stage, texts_of
 
 ORDER = 6
-# A run of ORDER bytes is looked up in memory if it has this share of all positions (so at most 1 / share runs), else by a join.
-GRAM_SHARE = 1 / 5_000_000
+# Texts of together so many bytes (or a single longer one) share an automaton.
+BLOCK_BYTES = 1 << 25
 # A word is looked up in memory if it has this share of all tokens (so at most 1 / share words), else by a join.
 HEAD_SHARE = 1 / 1_000_000
 
-_END = 10  # a byte no token holds
 _HELD_ENTRIES = 500_000
-_LANE = 128
-_SEEN_BITS = 21
+_LANE = 256
 _PAIR = 0xFFFF
+_PART_BITS = 33  # monotonically increasing ids hold the partition above these bits
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,82 +65,99 @@ def word_counts(docs, text="text"):
 def ngram_counts(docs, text="text", order=ORDER):
     """Rows (gram, n): how often each run of `order` bytes occurs; gram holds the bytes, the last one lowest."""
     def make():
-        held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-
-        def merge():
-            keys, n = np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held])
-            sort = np.argsort(keys, kind="stable")
-            keys, n = keys[sort], n[sort]
-            first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
-            held[:] = [(keys[first], np.add.reduceat(n, first) if len(first) else n)]
-
-        def out():
-            merge()
-            rows = [pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])]
-            held[:] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-            return rows
-
-        def add(texts):
-            grams, _ = _grams(texts, order)
-            keys, n = np.unique(grams, return_counts=True)
-            held.append((keys, n))
-            if sum(len(k) for k, _ in held) > 4 * _HELD_ENTRIES:
-                merge()
-                return len(held[0][0]) > 2 * _HELD_ENTRIES
-            return False
+        held = Runs(order)
 
         def each(batch):
-            part, size, full = [], 0, False
-            for t in texts_of(batch.column(0)):
-                part.append(t)
-                size += len(t)
-                if size > PIECE_BYTES:
-                    full |= add(part)
-                    part, size = [], 0
-            if part:
-                full |= add(part)
-            return out() if full else None
+            full = False
+            for part in _parts([b" ".join(tokens_of(t)) for t in texts_of(batch.column(0))]):
+                full |= held.add(part)
+            return held.out() if full else None
 
-        return each, out
+        return each, held.out
 
     counts = flat_map(docs.select(text), "gram bigint, n bigint", make)
     return counts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _grams(texts, order):
-    """Runs of `order` bytes that end at each byte of the texts' sequences, and the sequences' lengths."""
-    parts = [sequence(tokens_of(t), order) for t in texts]
-    raw = b"".join(parts)
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
+class Runs:
+    """Distinct runs of `order` bytes and how often they occurred, as sorted arrays."""
+
+    def __init__(self, order):
+        self.order, self.held = order, []
+
+    def add(self, bodies):
+        """Counts the runs of joined texts; true if many distinct ones are held by now."""
+        self.held.append(np.unique(_grams([sequence([t], self.order) for t in bodies], self.order), return_counts=True))
+        if sum(len(k) for k, _ in self.held) > 4 * _HELD_ENTRIES:
+            self._merge()
+            return len(self.held[0][0]) > 2 * _HELD_ENTRIES
+        return False
+
+    def _merge(self):
+        keys, n = (np.concatenate(x) for x in zip(*self.held))
+        sort = np.argsort(keys, kind="stable")
+        keys, n = keys[sort], n[sort]
+        first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
+        self.held = [(keys[first], np.add.reduceat(n, first) if len(first) else n)]
+
+    def out(self):
+        """What is held, as columns (gram, n), and nothing is held any more."""
+        if not self.held:
+            return None
+        self._merge()
+        (keys, n), self.held = self.held[0], []
+        return [pa.array(keys.view(np.int64)), pa.array(n)]
+
+
+def _parts(texts):
+    """Consecutive lists of texts, each of about PIECE_BYTES or a single longer text."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size > PIECE_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _windows(raw):
+    """The 8 bytes up to each byte, as numbers."""
     buf = np.frombuffer(b"\0" * 7 + raw, np.uint8)
-    whole = np.ndarray((len(raw),), ">u8", buf, strides=(1,)).astype(np.uint64)  # the 8 bytes up to each byte
-    grams = whole & np.uint64((1 << 8 * order) - 1)
+    return np.ndarray((len(raw),), ">u8", buf, strides=(1,))
+
+
+def _grams(sequences, order):
+    """The runs of `order` bytes that end at each byte of the sequences after the leading end marks."""
+    raw = b"".join(sequences)
+    size = np.fromiter(map(len, sequences), np.int64, len(sequences))
+    grams = _windows(raw).astype(np.uint64) & _mask(order)
     inner = np.ones(len(raw), bool)
     starts = np.cumsum(size) - size
     for k in range(order - 1):
         inner[starts + k] = False
-    return grams[inner], size
+    return grams[inner]
 
 
-# ---------------------------------------------------------------- model
+def _mask(length):
+    return np.uint64((1 << 8 * length) - 1)
 
-def fit(docs, text="text", order=ORDER, arc_share=None):
-    """Arcs of the byte sequences of all texts of `docs`: every n-gram of at most `order` (2 or more) bytes that occurs.
 
-    Given `arc_share`, a Model instead, in which n-grams with a smaller share of all positions have no arc of
-    their own and are left to the shorter contexts, so the arcs are at most (order - 1) / arc_share + 256.
-    """
-    top = stage(ngram_counts(docs, text, order), "ngrams")
-    return Arcs(top, order) if arc_share is None else _automaton(top, order, arc_share)
+# ---------------------------------------------------------------- model
+
+def fit(docs, text="text", order=ORDER):
+    """Arcs of the byte sequences of all texts of `docs`: every n-gram of at most `order` (2 to 8) bytes that occurs."""
+    return Arcs(stage(ngram_counts(docs, text, order), "ngrams"), order)
 
 
 class Arcs:
-    """Smoothed probabilities of n-grams from a table (gram, n) of the counts of runs of `order` bytes.
+    """The arcs and failure arcs of the automaton, from a table (gram, n) of the counts of runs of `order` bytes.
 
     With all n-grams kept, the backoff form is p(b | h) = (n(hb) + t(h) p(b | h')) / (c(h) + t(h)), where h' is h without
-    its first byte, c counts h, t the different bytes after it; if h never occurs it is p(b | h'). So p depends on the
-    run of `order` bytes that ends in b. Runs that share the two bytes before the last one need nothing from others but
-    the probabilities of pairs, 65,536 numbers: they make up a group, groups are dealt out to tasks.
+    its first byte, c counts h, t the different bytes after it; the failure arc from h to h' weighs t(h) / (c(h) + t(h)).
+    Single bytes are smoothed by adding one, so all of them have arcs. Runs that share the two bytes before the last one need
+    nothing from others but the counts of pairs, 65,536 numbers: they make up a group, groups are dealt out to tasks.
     """
 
     def __init__(self, counts, order):
@@ -150,169 +166,137 @@ class Arcs:
         n = np.zeros(_PAIR + 1)
         for p, k in counts.groupBy(pair).agg(F.sum("n")).collect():  # 65,536 rows at most
             n[p] = k
-        n = n.reshape(256, 256)
+        self.pairs = n.reshape(256, 256)
         self.total = int(n.sum())
-        low = (n.sum(0) + 1) / (self.total + 256)
-        c, t = n.sum(1)[:, None], (n > 0).sum(1)[:, None]
-        self.pairs = np.where(c > 0, (n + t * low) / np.maximum(c + t, 1), low).ravel()
-
-    def probabilities(self, asked=None):
-        """Rows (gram, n, logp) with log10 probabilities: of each run that occurs or, given a table `asked` (gram), of each one in it."""
-        order, pairs = self.order, self.counts.sparkSession.sparkContext.broadcast(self.pairs)
-        rows = self.counts.select("gram", "n", F.lit(asked is None).alias("out"))
-        if asked is not None:
-            rows = rows.unionAll(asked.select("gram", F.lit(0).cast("bigint"), F.lit(True)))
+        self.low = (self.pairs.sum(0) + 1) / (self.total + 256)
+
+    def paths(self, asked):
+        """Rows (block, gram, length, logp, weights) for the rows (block, gram) of `asked`: how a run is read.
+
+        `length` is that of its longest suffix that occurs, the arc that reads its last byte, and logp the arc's log10
+        probability; `weights` are the log10 weights of the failure arcs that lead there, from the contexts
+        of `length` bytes on as far as longer ones occur. A task holds the counted runs of a group; asked runs stream by.
+        """
+        order, pairs = self.order, self.counts.sparkSession.sparkContext.broadcast((self.pairs, self.low))
+        rows = self.counts.select("gram", "n", F.lit(-1).cast("bigint").alias("block"))
+        rows = rows.unionAll(asked.select("gram", F.lit(0).cast("bigint"), "block"))
         near = F.shiftright("gram", 8).bitwiseAND(F.lit(_PAIR)).cast("int").alias("near")
 
         def make():
             held = []
 
             def some(last):
-                """The probabilities of what is held, but for the last group unless it is complete."""
-                gram, n, out, near = (np.concatenate(x) for x in zip(*held))
-                end = len(near) if last else int(np.searchsorted(near, near[-1]))
-                held[:] = [(gram[end:], n[end:], out[end:], near[end:])]
-                keys, n, logp = _smoothed(gram[:end], n[:end], out[:end], order, pairs.value)
-                return [pa.array(keys.view(np.int64)), pa.array(n), pa.array(logp)]
+                """The paths that can be told from what is held; an unfinished group is kept, or only its counts if they are complete."""
+                gram, n, block, near = (np.concatenate(x) for x in zip(*held))
+                start = int(np.searchsorted(near, near[-1]))
+                counted = block < 0
+                end = len(near) if last or not counted[-1] else start
+                left = np.arange(len(near)) >= start
+                left[:end] &= counted[:end]
+                told = slice(0, end)
+                keep = np.flatnonzero(left) if not last else np.zeros(0, np.int64)
+                ask = np.flatnonzero(~counted[told])
+                of = np.flatnonzero(counted[told])
+                made = [gram[ask], block[ask], *_paths(gram[of], n[of], gram[ask], order, *pairs.value)]
+                held[:] = [(gram[keep], n[keep], block[keep], near[keep])] if len(keep) else []
+                gram, block, length, logp, weight = made
+                known = ~np.isnan(weight)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(known.sum(1))]), pa.int32()), pa.array(weight[known])
+                )
+                return [pa.array(block), pa.array(gram.view(np.int64)), pa.array(length.astype(np.int32)), pa.array(logp), lists]
 
             def each(batch):
-                gram, n, out, near = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-                held.append((gram.view(np.uint64), n, out, near))
+                gram, n, block, near = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                if not len(gram):
+                    return None
+                held.append((gram.view(np.uint64), n, block, near))
                 full = sum(len(h[0]) for h in held) > max(_HELD_ENTRIES, 2 * len(held[0][0]))
                 return some(False) if full else None
 
             return each, lambda: some(True) if held else None
 
-        grouped = rows.select("gram", "n", "out", near).repartition("near").sortWithinPartitions("near")
-        return flat_map(grouped, "gram bigint, n bigint, logp double", make)
-
-
-def _smoothed(gram, n, out, order, pairs):
-    """Of whole groups: the distinct runs with a row marked `out`, their counts and log10 probabilities."""
-    keys, at = np.unique(gram, return_inverse=True)
-    count, wanted = np.bincount(at, n, len(keys)), np.bincount(at, out, len(keys)) > 0
-    p = pairs[(keys & np.uint64(_PAIR)).astype(np.int64)]
-    for k in range(3, order + 1):
-        runs, at = np.unique(keys & np.uint64((1 << 8 * k) - 1), return_inverse=True)
-        seen = np.bincount(at, count, len(runs))
-        contexts, of = np.unique(runs >> np.uint64(8), return_inverse=True)
-        c, t = np.bincount(of, seen, len(contexts))[of][at], np.bincount(of, seen > 0, len(contexts))[of][at]
-        p = np.where(c > 0, (seen[at] + t * p) / np.maximum(c + t, 1), p)
-    return keys[wanted], count[wanted].astype(np.int64), np.log10(p[wanted])
+        grouped = rows.select("gram", "n", "block", near).repartition("near").sortWithinPartitions("near", F.col("block") >= 0)
+        return flat_map(grouped, "block bigint, gram bigint, length int, logp double, weights array<double>", make)
 
 
-class Lookup:
-    """Numbers by key (uint64) in an open-addressed table."""
-
-    def __init__(self, keys, values):
-        self.bits = max(10, int(2 * len(keys)).bit_length())
-        size = 1 << self.bits
-        self.used, self.key, self.value = np.zeros(size, bool), np.zeros(size, np.uint64), np.zeros(size)
-        at, todo = self._home(keys), np.arange(len(keys))
-        while len(todo):
-            free = ~self.used[at]
-            place, who = np.unique(at[free], return_index=True)
-            who = todo[free][who]
-            self.used[place], self.key[place], self.value[place] = True, keys[who], values[who]
-            left = self.key[at] != keys[todo]
-            left |= ~self.used[at]
-            todo, at = todo[left], (at[left] + 1) & (size - 1)
+def _paths(gram, n, asked, order, pairs, low):
+    """For runs `asked`, given all counted runs of their groups: length, log10 probability, log10 weights.
 
-    def _home(self, keys):
-        return ((keys * _MIX) >> np.uint64(64 - self.bits)).view(np.int64)
+    Column j of the weights is the failure arc of the context of j bytes, where it is followed; elsewhere there is no number.
+    """
+    keys, at = np.unique(np.concatenate([gram, asked]), return_inverse=True)
+    count = np.bincount(at[:len(gram)], n, len(keys))
+    pair = (keys & np.uint64(_PAIR)).astype(np.int64)
+    length, arc = np.ones(len(keys), np.int64), low[pair & 255]
+    p, weight = arc, np.full((len(keys), order), np.nan)
+    for k in range(2, order + 1):
+        if k == 2:
+            seen, c, t = pairs.ravel()[pair], pairs.sum(1)[pair >> 8], (pairs > 0).sum(1)[pair >> 8]
+        else:
+            runs, run = np.unique(keys & _mask(k), return_inverse=True)
+            counts = np.bincount(run, count, len(runs))
+            contexts, of = np.unique(runs >> np.uint64(8), return_inverse=True)
+            c, t = (np.bincount(of, x, len(contexts))[of][run] for x in (counts, counts > 0))
+            seen = counts[run]
+        here = seen > 0
+        p = np.where(c > 0, (seen + t * p) / np.maximum(c + t, 1), p)
+        length, arc = np.where(here, k, length), np.where(here, p, arc)
+        fails = (c > 0) & ~here
+        weight[fails, k - 1] = np.log10(t[fails] / (c[fails] + t[fails]))
+    at = at[len(gram):]
+    return length[at], np.log10(arc[at]), weight[at]
+
+
+class Automaton:
+    """The states, arcs and failure arcs that the runs of some texts can take.
+
+    A state is a context, numbered by length and bytes; 0 is the empty one, which has an arc for every byte. Arcs lie by (state, byte)
+    in an open-addressed table; each state has a failure arc to the next shorter context. An arc leads to the longest
+    context that its bytes end in.
+    """
 
-    def find(self, keys):
-        """The values (0 where there is none) and whether there is one."""
-        at = self._home(keys)
-        hit = self.used.take(at) & (self.key.take(at) == keys)
-        values = np.where(hit, self.value.take(at), 0.0)
-        todo = np.flatnonzero(~hit & self.used.take(at))
-        at = at[todo]
-        while len(todo):
-            at = (at + 1) & ((1 << self.bits) - 1)
-            same = self.used[at] & (self.key[at] == keys[todo])
-            values[todo[same]], hit[todo[same]] = self.value[at[same]], True
-            on = self.used[at] & ~same
-            todo, at = todo[on], at[on]
-        return values, hit
-
-
-def _automaton(top, order, arc_share):
-    total = top.agg(F.sum("n")).first()[0] or 0
-    limit = max(1, -(-int(total * arc_share * 1e9) // 10**9))
-    shorter = F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram"))
-        for k in range(1, order + 1)
-    ])
-    grams = stage(
-        top.select(F.explode(shorter).alias("g"), "n").groupBy("g.k", "g.gram").agg(F.sum("n").alias("n")), "orders"
-    )
-    contexts = grams.groupBy("k", F.shiftright("gram", 8).alias("h")).agg(
-        F.sum("n").alias("c"), F.count(F.lit(1)).alias("t"), F.max("n").alias("most")
-    ).filter(F.col("most") >= limit)
-    arcs = grams.filter((F.col("n") >= limit) & (F.col("k") > 1)).withColumn("h", F.shiftright("gram", 8)).join(
-        contexts, ["k", "h"]
-    ).select(F.col("k").cast("int").alias("k"), "gram", "n", "c", "t")
-    single = grams.filter("k = 1").select("gram", "n").collect()  # 256 rows at most
-    return Model.of(order, total, {r["gram"]: r["n"] for r in single}, arcs.toPandas())
-
-
-class Model:
-    """The automaton: arcs by (state, byte) in an open-addressed table, failure arcs and their weights by state."""
-
-    @classmethod
-    def of(cls, order, total, single, arcs):
-        """From n-gram counts: n of the gram, c of its context, t different bytes after the context."""
-        low = np.array([(single.get(b, 0) + 1) / (total + 256) for b in range(256)])
-        keys, probs = [np.arange(256, dtype=np.uint64)], [low]
-        contexts, weights = [np.zeros(1, np.uint64)], [np.zeros(1)]
-        for k in range(2, order + 1):
-            rows = arcs[arcs["k"] == k].sort_values("gram")
-            gram = rows["gram"].to_numpy(np.int64).astype(np.uint64)
-            n, c, t = (rows[x].to_numpy(np.float64) for x in ("n", "c", "t"))
-            suffix = gram & np.uint64((1 << 8 * (k - 1)) - 1)
-            shorter = probs[-1][np.searchsorted(keys[-1], suffix)] if len(gram) else np.zeros(0)
-            p = (n + t * shorter) / (c + t)
-            context, first = np.unique(gram >> np.uint64(8), return_index=True)
-            left = 1 - np.add.reduceat(p, first) if len(first) else np.zeros(0)
-            rest = 1 - np.add.reduceat(shorter, first) if len(first) else np.zeros(0)
-            keys.append(gram)
-            probs.append(p)
-            contexts.append(context)
-            weights.append(np.log10(np.maximum(left, 1e-12) / np.maximum(rest, 1e-12)))
-        return cls.assemble(order, keys, probs, contexts, weights)
-
-    @classmethod
-    def assemble(cls, order, keys, probs, contexts, weights):
-        """The automaton of smoothed n-grams: by order, sorted grams and their probabilities, contexts and backoff weights."""
-        model = cls()
-        model.order = order
-        lead = np.cumsum([0, *map(len, contexts)])
-
-        def state(grams, length):
-            """The state of the longest suffix of each gram's last `length` bytes that is a context."""
-            out = np.zeros(len(grams), np.int64)
-            for m in range(1, length + 1):
-                if len(contexts[m]):
-                    cut = grams & np.uint64((1 << 8 * m) - 1)
-                    at = np.minimum(np.searchsorted(contexts[m], cut), len(contexts[m]) - 1)
-                    out = np.where(contexts[m][at] == cut, lead[m] + at, out)
-            return out
-
-        model.weight = np.concatenate(weights)
-        model.fail = np.concatenate([np.zeros(1, np.int64), *[state(contexts[m], m - 1) for m in range(1, order)]])
+    def __init__(self, order, low, gram, length, logp, size, weights):
+        """From single bytes' probabilities and the paths of runs: `size` weights of each, one after another."""
+        self.order, self.failures = order, 0
+        ends = np.cumsum(size)
+        keys, logps, self.contexts, weight = [np.arange(256, dtype=np.uint64)], [np.log10(low)], [np.zeros(1, np.uint64)], [np.zeros(1)]
+        for m in range(1, order):
+            past = (length <= m + 1) & (m < length + size)  # the state, or passed by a failure arc
+            context = (gram >> np.uint64(8)) & _mask(m)
+            self.contexts.append(np.unique(context[past]))
+            fails = np.flatnonzero(past & (length <= m))
+            own = np.zeros(len(self.contexts[m]))
+            own[np.searchsorted(self.contexts[m], context[fails])] = weights[(ends - size)[fails] + m - length[fails]]
+            weight.append(own)
+            arcs = np.flatnonzero(length == m + 1)
+            arc, first = np.unique(gram[arcs] & _mask(m + 1), return_index=True)
+            keys.append(arc)
+            logps.append(logp[arcs][first])
+        self.lead = np.cumsum([0, *map(len, self.contexts)])
+        self.weight = np.concatenate(weight)
+        self.fail = np.concatenate([np.zeros(1, np.int64), *[self.state(self.contexts[m], m - 1) for m in range(1, order)]])
         source = np.concatenate([
-            np.zeros(256, np.int64), *[lead[k - 1] + np.searchsorted(contexts[k - 1], keys[k - 1] >> np.uint64(8)) for k in range(2, order + 1)]
+            np.zeros(256, np.int64), *[self.lead[m] + np.searchsorted(self.contexts[m], keys[m] >> np.uint64(8)) for m in range(1, order)]
         ])
-        target = np.concatenate([state(keys[k - 1], min(k, order - 1)) for k in range(1, order + 1)])
+        target = np.concatenate([self.state(keys[k - 1], min(k, order - 1)) for k in range(1, order + 1)])
         byte = np.concatenate([k & np.uint64(255) for k in keys]).astype(np.int64)
-        model._table(source * 256 + byte, target, np.log10(np.concatenate(probs)))
-        return model
+        self._table(source << 8 | byte, target, np.concatenate(logps))
+
+    def state(self, grams, length):
+        """The state of the longest suffix of each gram's last `length` bytes that is a context."""
+        out = np.zeros(len(grams), np.int64)
+        for m in range(1, length + 1):
+            if len(self.contexts[m]):
+                cut = grams & _mask(m)
+                at = np.minimum(np.searchsorted(self.contexts[m], cut), len(self.contexts[m]) - 1)
+                out = np.where(self.contexts[m][at] == cut, self.lead[m] + at, out)
+        return out
 
     def _table(self, arcs, target, logp):
-        self.bits = max(10, int(2 * len(arcs)).bit_length())
+        self.bits = max(10, int(4 * len(arcs)).bit_length())
         size = 1 << self.bits
-        self.slot, self.target, self.logp = np.full(size, -1, np.int64), np.zeros(size, np.int32), np.zeros(size)
+        self.slot, self.target, self.logp = np.full(size, -1, np.int64), np.zeros(size, np.int64), np.zeros(size)
         at, todo = self._home(arcs), np.arange(len(arcs))
         while len(todo):
             free = self.slot[at] < 0
@@ -323,98 +307,64 @@ class Model:
             todo, at = todo[left], (at[left] + 1) & (size - 1)
 
     def _home(self, arcs):
-        return ((arcs.astype(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _follow(self, state, byte):
-        """The states after a byte and the log10 probabilities: failure arcs until an arc fits."""
-        after, logp = np.empty(len(state), np.int32), np.zeros(len(state))
-        todo, at = np.arange(len(state)), state.astype(np.int64)
+        return ((arcs.view(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def step(self, state, byte):
+        """The states after a byte and the log10 probabilities: failure arcs, whose weights add up, until an arc fits."""
+        arc = state << 8 | byte
+        place = self._home(arc)
+        after, logp = self.target.take(place), self.logp.take(place)
+        todo = np.flatnonzero(self.slot.take(place) != arc)
+        at, arc, place, gain = state[todo], arc[todo], place[todo], np.zeros(len(todo))
         while len(todo):
-            arc = at * 256 + byte[todo]
-            place = self._home(arc)
             found = self.slot[place]
-            miss = (found != arc) & (found >= 0)
-            while miss.any():
-                place = np.where(miss, (place + 1) & ((1 << self.bits) - 1), place)
-                found = self.slot[place]
-                miss = (found != arc) & (found >= 0)
-            fits = found == arc
+            fits, fails = found == arc, found < 0
             done = todo[fits]
-            after[done] = self.target[place[fits]]
-            logp[done] += self.logp[place[fits]]
-            todo, at = todo[~fits], at[~fits]
-            logp[todo] += self.weight[at]
-            at = self.fail[at]
+            after[done], logp[done] = self.target[place[fits]], gain[fits] + self.logp[place[fits]]
+            self.failures += int(fails.sum())
+            gain[fails] += self.weight[at[fails]]
+            at[fails] = self.fail[at[fails]]
+            arc[fails] = at[fails] << 8 | byte[todo[fails]]
+            place = np.where(fails, self._home(arc), (place + 1) & ((1 << self.bits) - 1))
+            todo, at, arc, place, gain = (x[~fits] for x in (todo, at, arc, place, gain))
         return after, logp
 
-    def step(self, state, byte, score):
-        """Each lane reads a byte; returns the states after it and adds to `score`.
+    def scores(self, bodies):
+        """The log10 probability of each text, given as joined tokens.
 
-        A table of fixed size remembers where recent (state, byte) pairs led.
+        Texts are read from left to right, many side by side. A long one is cut into lanes: a lane starts in the state
+        that the `order - 1` bytes before it lead to, whatever was read before them.
         """
-        if not hasattr(self, "seen"):
-            self.seen = np.full(1 << _SEEN_BITS, -1, np.int64)
-            self.seen_target, self.seen_logp = np.zeros(1 << _SEEN_BITS, np.int32), np.zeros(1 << _SEEN_BITS)
-        arc = state.astype(np.int64)
-        arc <<= 8
-        arc |= byte
-        place = ((arc.view(np.uint64) * _MIX) >> np.uint64(64 - _SEEN_BITS)).view(np.int64)
-        new = np.flatnonzero(self.seen.take(place) != arc)
-        if len(new):
-            target, logp = self._follow(state[new], byte[new].astype(np.int64))
-            where = place[new]
-            self.seen[where], self.seen_target[where], self.seen_logp[where] = arc[new], target, logp
-            after = self.seen_target.take(place)
-            gain = self.seen_logp.take(place)
-            after[new], gain[new] = target, logp
-            lost = np.flatnonzero(self.seen.take(place) != arc)  # overwritten just now
-            if len(lost):
-                after[lost], gain[lost] = self._follow(state[lost], byte[lost].astype(np.int64))
-            score += gain
-            return after
-        score += self.seen_logp.take(place)
-        return self.seen_target.take(place)
-
-    def scores(self, texts):
-        """The log10 probability of each text, given as token lists.
-
-        The sequences are read left to right, in lanes of bounded length side by side; a lane first reads
-        the `order - 1` bytes before its own, which bring it to the state it would have come to.
-        """
-        warm = self.order - 1
-        parts = [sequence(t, self.order) for t in texts]
+        lead = self.order - 1
+        parts = [sequence([t], self.order) for t in bodies]
         size = np.fromiter(map(len, parts), np.int64, len(parts))
-        buf = np.frombuffer(b"".join(parts), np.uint8)
+        raw = b"".join(parts)
+        buf, before = np.frombuffer(raw, np.uint8), _windows(raw)
         starts = np.cumsum(size) - size
-        lanes = -(-(size - warm) // _LANE)
+        lanes = -(-(size - lead) // _LANE)
         doc = np.repeat(np.arange(len(parts)), lanes)
         rank = np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        first = starts[doc] + rank * _LANE
-        past = np.minimum(first + warm + _LANE, (starts + size)[doc])
-        order = np.argsort(first - past, kind="stable")  # longest first: finished lanes lie at the end
-        doc, first, length = doc[order], first[order], (past - first)[order]
-        state, score = np.zeros(len(doc), np.int32), np.zeros(len(doc))
-        for i in range(int(length.max()) if len(length) else 0):
+        first = starts[doc] + lead + rank * _LANE
+        length = np.minimum(first + _LANE, (starts + size)[doc]) - first
+        sort = np.argsort(-length, kind="stable")  # longest first: finished lanes lie at the end
+        doc, first, length = doc[sort], first[sort], length[sort]
+        state, score = self.state(before[first - 1].astype(np.uint64) & _mask(lead), lead), np.zeros(len(doc))
+        for i in range(int(length[0])):
             on = int(np.searchsorted(-length, -i, "left"))
-            mine = score[:on]
-            state[:on] = self.step(state[:on], buf.take(first[:on] + i), mine)
-            if i < warm:
-                mine[:] = 0
-        out = np.zeros(len(parts))
-        np.add.at(out, doc, score)
-        return out
+            state[:on], gain = self.step(state[:on], buf.take(first[:on] + i).astype(np.int64))
+            score[:on] += gain
+        return np.bincount(doc, score, len(parts))
 
 
 # ---------------------------------------------------------------- scoring
 
-def score(docs, arcs, words, keep=("doc_id",), text="text", head_share=HEAD_SHARE, gram_share=GRAM_SHARE):
+def score(docs, arcs, words, keep=("doc_id",), text="text", head_share=HEAD_SHARE):
     """Rows (keep..., n_tokens, n_known, train_tokens, base_score, score), one for each document row.
 
     `arcs` are Arcs, `words` the training word counts (word, n). base_score adds
     log10((c + 1) / (N + V + 1)) over the tokens and the end (c: the token's count, N: all, V: distinct);
-    score adds the log10 probabilities of the text's bytes. Frequent words and runs of bytes are looked up in
-    broadcast tables of at most 1 / head_share words and 1 / gram_share runs; all others, seen in training or
-    not, are joined with the counts and the arcs.
+    score adds the log10 probabilities of the text's bytes, as the automaton of its block reads them. Frequent words are looked
+    up in a broadcast table of at most 1 / head_share words; all others, seen in training or not, are joined with the counts.
 
     A null text is empty: its only token is the end. Repeated rows are scored one by one. Other columns
     of the tables play no part. Without any training text N and V are 0 and all bytes equally likely.
@@ -422,31 +372,23 @@ def score(docs, arcs, words, keep=("doc_id",), text="text", head_share=HEAD_SHAR
     spark = docs.sparkSession
     total, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     head = words.filter(F.col("n") >= F.lit(total * head_share))
-    frequent = arcs.probabilities().filter(F.col("n") >= F.lit(arcs.total * gram_share)).select("gram", "logp").toArrow()
-    frequent = [frequent.column(i).to_numpy() for i in range(2)]
-    sent = spark.sparkContext.broadcast((*frequent, {bytes(w): n for w, n in head.collect()}))
-    order = arcs.order
+    sent = spark.sparkContext.broadcast({bytes(w): n for w, n in head.collect()})
+    order, low = arcs.order, arcs.low
 
     def make():
-        grams, logp, known = sent.value
-        runs = Lookup(grams.view(np.uint64), logp)
-
-        def each(texts, _):
-            gram, size = _grams(texts, order)
-            doc = np.repeat(np.arange(len(texts)), size - (order - 1))
-            values, hit = runs.find(gram)
-            sums = np.bincount(doc, values, len(texts))
-            doc, gram = doc[~hit], gram[~hit]
-            sort = np.lexsort((gram, doc))
-            doc, gram = doc[sort], gram[sort]
-            first = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(gram, prepend=gram[:1]) != 0))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.searchsorted(doc[first], np.arange(len(texts) + 1)), pa.int32()),
-                pa.StructArray.from_arrays([
-                    pa.array(gram[first].view(np.int64)), pa.array(np.diff(first, append=len(doc)), pa.int32())
-                ], ["gram", "k"]),
-            )
+        known, block = sent.value, [None, 0]  # its number and bytes
+
+        def each(texts, batch):
+            rows = batch.column(0).to_numpy()
             texts = [tokens_of(t) for t in texts]
+            bodies, blocks = [b" ".join(t) for t in texts], []
+            for row, body in zip(rows, bodies):
+                if block[0] is None:
+                    block[0] = int(row) >> _PART_BITS << _PART_BITS
+                elif block[1] + len(body) > BLOCK_BYTES:
+                    block[:] = [block[0] + 1, 0]
+                block[1] += len(body) + 1
+                blocks.append(block[0])
             n, seen, logs = [len(t) + 1 for t in texts], [], []
             offsets, rare, times = [0], [], []
             for t in texts:
@@ -461,30 +403,76 @@ def score(docs, arcs, words, keep=("doc_id",), text="text", head_share=HEAD_SHAR
                         times.append(k)
                 offsets.append(len(rare))
             items = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int32())], ["word", "k"])
-            return [n, seen, logs, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items), pa.array(sums), lists]
+            return [n, seen, logs, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items), blocks, bodies]
 
         return each
 
     names = [f"c{i}" for i in range(len(keep))]
     source = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{k}`").alias(n) for k, n in zip(keep, names)], F.col(f"`{text}`").alias("words"))
-    fields = "n_tokens bigint, seen bigint, logs double, rare array<struct<word:binary,k:int>>, sums double, runs array<struct<gram:bigint,k:int>>"
-    found = stage(map_texts(source, "words", ["row", *names], fields, make), "scored")
+    fields = "n_tokens bigint, seen bigint, logs double, rare array<struct<word:binary,k:int>>, block bigint, body binary"
+    found = stage(map_texts(source, "words", ["row", *names], fields, make), "blocks")
     tail = (
         found.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k").join(words, "word")
         .groupBy("row").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + 1.0)).alias("more_logs"))
     )
-    left = found.select("row", F.explode("runs").alias("r")).select("row", "r.gram", "r.k")
-    asked = stage(arcs.probabilities(left.select("gram").distinct()).select("gram", "logp"), "asked")
-    left = left.join(asked, "gram").groupBy("row").agg(F.sum(F.col("k") * F.col("logp")).alias("more_sums"))
+    read = found.select("block", "row", *names, "n_tokens", "seen", "logs", "body")
+    schema = read.drop("block", "body").schema.add("score", "double")
+
+    def read_block(texts, paths):
+        model = Automaton(order, low, *_columns(paths))
+        scores = [model.scores(part) for part in _parts(texts.column("body").to_pylist())]
+        rows = texts.drop_columns(["block", "body"])
+        return rows.append_column("score", pa.array(np.concatenate(scores)))
+
+    paths = arcs.paths(_asked(found, order))
+    scored = read.groupBy("block").cogroup(paths.groupBy("block")).applyInArrow(read_block, schema)
     zero = F.lit(0)
-    return found.join(tail, "row", "left").join(left, "row", "left").select(
+    return scored.join(tail, "row", "left").select(
         *[F.col(n).alias(k) for n, k in zip(names, keep)],
         "n_tokens",
         (F.col("seen") + F.coalesce("more", zero)).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", zero.cast("double"))
          - F.col("n_tokens") * F.log10(F.lit(float(total + types + 1)))).alias("base_score"),
-        (F.col("sums") + F.coalesce("more_sums", zero.cast("double"))).alias("score"),
+        "score",
+    )
+
+
+def _asked(found, order):
+    """Rows (block, gram): the runs of `order` bytes in the texts of each block, distinct but where a block's rows are read by two tasks."""
+    def make():
+        held, block = Runs(order), [None]
+
+        def out():
+            made = held.out()
+            return made and [pa.array(np.full(len(made[0]), block[0], np.int64)), made[0]]
+
+        def each(batch):
+            rows = []
+            blocks, bodies = batch.column(0).to_numpy(), texts_of(batch.column(1))
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    if blocks[a] != block[0]:
+                        rows.append(out())
+                        block[0] = int(blocks[a])
+                    for part in _parts(bodies[a:b]):
+                        if held.add(part):
+                            rows.append(out())
+            rows = [r for r in rows if r]
+            return [pa.concat_arrays(c) for c in zip(*rows)] if rows else None
+
+        return each, out
+
+    return flat_map(found.select("block", "body"), "block bigint, gram bigint", make)
+
+
+def _columns(paths):
+    """Of a table of paths: grams, lengths, log10 probabilities, numbers of weights, and the weights one after another."""
+    lists = pa.concat_arrays(paths.column("weights").chunks)
+    return (
+        paths.column("gram").to_numpy().view(np.uint64), paths.column("length").to_numpy().astype(np.int64), paths.column("logp").to_numpy(),
+        lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy(),
     )
 
 

@@ -54,24 +54,41 @@ def brute(texts, limit):
     return score
 
 
-@pytest.mark.parametrize("arc_share", [1e-9, 0.004])
-def test_scores_equal_the_plain_backoff(spark, arc_share):
+def automaton(spark, docs, texts, order=ORDER):
+    """The automaton of the runs of some texts."""
+    arcs = lm.fit(docs, order=order)
+    rows = documents(spark, texts).selectExpr("0L block", "cast(text as binary) body").fillna("")
+    found = arcs.paths(lm._asked(rows, order)).toArrow()
+    return lm.Automaton(order, arcs.low, *lm._columns(found))
+
+
+@pytest.mark.parametrize("lane", [256, 3])
+def test_scores_equal_the_plain_backoff(spark, monkeypatch, lane):
+    monkeypatch.setattr(lm, "_LANE", lane)
     train = [t for t in awkward(3, 25)[:30]] + [None, ""]
-    docs = documents(spark, train)
-    model = lm.fit(docs, order=ORDER, arc_share=arc_share)
-    total = counted(train)[1][b""]
-    plain = brute(train, max(1, math.ceil(total * arc_share - 1e-9)))
-    tests = ["ab Abc d", "unseen: ÿ words", "", None, train[0], "x9 " * 200]
-    got = model.scores([lm.tokens_of((t or "").encode()) for t in tests])
-    assert np.allclose(got, [plain(t) for t in tests], rtol=1e-9)
+    plain = brute(train, 1)
+    tests = [b" ".join(lm.tokens_of(t.encode())) for t in ["ab Abc d", "unseen: \u00ff words", "", train[0] or "", "x9 " * 200]]
+    model = automaton(spark, documents(spark, train), [t.decode() for t in tests])
+    assert np.allclose(model.scores(tests), [plain(t.decode()) for t in tests], rtol=1e-9)
+    assert model.failures > 0
+
+
+def test_texts_read_in_training_follow_no_failure_arc(spark):
+    train = ["ab abc d", "d ab"]
+    model = automaton(spark, documents(spark, train), train)
+    assert np.isfinite(model.scores([t.encode() for t in train])).all() and model.failures == 0
 
 
 def test_probabilities_sum_to_one(spark):
-    model = lm.fit(documents(spark, awkward(3, 40)), order=5, arc_share=0.001)
-    for state in range(0, len(model.weight), max(1, len(model.weight) // 20)):
-        score = np.zeros(256)
-        model.step(np.full(256, state, np.int32), np.arange(256, dtype=np.uint8), score)
-        assert abs((10 ** score).sum() - 1) < 1e-9
+    """Of all bytes after contexts that occur whole, in part, or not at all."""
+    docs = documents(spark, awkward(3, 40))
+    arcs = lm.fit(docs, order=5)
+    some = [r["gram"] >> 8 for r in arcs.counts.orderBy("gram").limit(30).collect()] + [0x01020304, 0x01026120]
+    asked = spark.createDataFrame([(i, h << 8 | b) for i, h in enumerate(some) for b in range(256)], "block bigint, gram bigint")
+    sums = {}
+    for r in arcs.paths(asked).collect():
+        sums[r["block"]] = sums.get(r["block"], 0) + 10 ** (r["logp"] + sum(r["weights"]))
+    assert len(sums) == len(some) and all(abs(x - 1) < 1e-9 for x in sums.values())
 
 
 @pytest.mark.parametrize("head_share", [1e-6, 0.05, 2.0])
@@ -105,11 +122,14 @@ def test_rows_with_equal_ids_are_scored_one_by_one(spark):
     assert sorted(r["n_tokens"] for r in got) == [2, 3, 3] and all(r["n_known"] == r["n_tokens"] for r in got)
 
 
-@pytest.mark.parametrize("gram_share", [lm.GRAM_SHARE, 2.0])
-def test_runs_seen_once_count_in_long_training_texts(spark, gram_share):
+@pytest.mark.parametrize("block_bytes, held", [(lm.BLOCK_BYTES, 500_000), (100, 500_000), (1, 40)])
+def test_runs_seen_once_count_in_long_training_texts(spark, monkeypatch, block_bytes, held):
+    """Whatever the blocks, and however little a task that smooths runs holds of them."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(lm, "_HELD_ENTRIES", held)
     train = ["ab " * 800_000, "qx Zy", *awkward(3, 20)[:20]]
-    tests = ["qx zy", "unseen: ÿ words", "", None, train[4], "x9 " * 200]
+    tests = ["qx zy", "unseen: \u00ff words", "", None, train[4], "x9 " * 200]
     docs = documents(spark, train)
-    got = lm.score(documents(spark, tests), lm.fit(docs, order=ORDER), lm.word_counts(docs), gram_share=gram_share).orderBy("doc_id").collect()
+    got = lm.score(documents(spark, tests), lm.fit(docs, order=ORDER), lm.word_counts(docs)).orderBy("doc_id").collect()
     plain = brute(train, 1)
     assert np.allclose([r["score"] for r in got], [plain(t) for t in tests], rtol=1e-9)
