@@ -171,53 +171,72 @@ class Arcs:
         self.low = (self.pairs.sum(0) + 1) / (self.total + 256)
 
     def paths(self, asked):
-        """Rows (block, gram, length, logp, weights) for the rows (block, gram) of `asked`: how a run is read.
+        """Rows (block, grams, lengths, logps, sizes, weights): how the runs of `asked`, rows (block, near, grams), are read.
 
-        `length` is that of its longest suffix that occurs, the arc that reads its last byte, and logp the arc's log10
-        probability; `weights` are the log10 weights of the failure arcs that lead there, from the contexts
-        of `length` bytes on as far as longer ones occur. A task holds the counted runs of a group; asked runs stream by.
+        Many runs share a row, their numbers packed. For each run, `lengths` has that of its longest suffix that occurs, and
+        `logps` the log10 probability of the arc that reads its last byte; `weights` has the log10 weights of the failure arcs that lead
+        there (`sizes` tells how many), from the contexts of `length` bytes on as far as longer ones occur. `near` is the group of all
+        runs of a row of `asked`. A task holds the counted runs of a group; asked runs stream by.
         """
         order, pairs = self.order, self.counts.sparkSession.sparkContext.broadcast((self.pairs, self.low))
-        rows = self.counts.select("gram", "n", F.lit(-1).cast("bigint").alias("block"))
-        rows = rows.unionAll(asked.select("gram", F.lit(0).cast("bigint"), "block"))
-        near = F.shiftright("gram", 8).bitwiseAND(F.lit(_PAIR)).cast("int").alias("near")
+        near = F.shiftright("gram", 8).bitwiseAND(F.lit(_PAIR)).cast("int")
+        rows = self.counts.select(near.alias("near"), F.lit(-1).cast("bigint").alias("block"), "gram", "n", F.lit(None).cast("binary").alias("grams"))
+        none = F.lit(0).cast("bigint")
+        rows = rows.unionAll(asked.select("near", "block", none, none, "grams"))
 
         def make():
-            held = []
-
-            def some(last):
-                """The paths that can be told from what is held; an unfinished group is kept, or only its counts if they are complete."""
-                gram, n, block, near = (np.concatenate(x) for x in zip(*held))
-                start = int(np.searchsorted(near, near[-1]))
-                counted = block < 0
-                end = len(near) if last or not counted[-1] else start
-                left = np.arange(len(near)) >= start
-                left[:end] &= counted[:end]
-                told = slice(0, end)
-                keep = np.flatnonzero(left) if not last else np.zeros(0, np.int64)
-                ask = np.flatnonzero(~counted[told])
-                of = np.flatnonzero(counted[told])
-                made = [gram[ask], block[ask], *_paths(gram[of], n[of], gram[ask], order, *pairs.value)]
-                held[:] = [(gram[keep], n[keep], block[keep], near[keep])] if len(keep) else []
-                gram, block, length, logp, weight = made
+            seen, ask = [], []  # (near, gram, n) and (block, gram)
+            fresh = [0]
+
+            def some(tail):
+                """The paths of what is asked; the counted runs of the group `tail` are kept."""
+                near, gram, n = (np.concatenate([s[i] for s in seen] or [np.zeros(0)]) for i in range(3))
+                last = near == tail
+                seen[:] = [(near[last], gram[last], n[last])] if last.any() else []
+                fresh[0] = 0
+                if not ask:
+                    return None
+                block, asked = (np.concatenate(x) for x in zip(*ask))
+                ask.clear()
+                sort = np.argsort(block, kind="stable")
+                block, asked = block[sort], asked[sort]
+                length, logp, weight = _paths(gram.astype(np.uint64), n, asked, order, *pairs.value)
                 known = ~np.isnan(weight)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(known.sum(1))]), pa.int32()), pa.array(weight[known])
-                )
-                return [pa.array(block), pa.array(gram.view(np.int64)), pa.array(length.astype(np.int32)), pa.array(logp), lists]
+                size = known.sum(1)
+                cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+                spans = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
+                return [
+                    block[cuts[:-1]].tolist(), [_pack(asked[x]) for x in spans], [length[x].astype(np.uint8).tobytes() for x in spans],
+                    [_pack(logp[x]) for x in spans], [size[x].astype(np.uint8).tobytes() for x in spans], [_pack(weight[x][known[x]]) for x in spans],
+                ]
 
             def each(batch):
-                gram, n, block, near = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-                if not len(gram):
+                near, block, gram, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+                if not len(near):
                     return None
-                held.append((gram.view(np.uint64), n, block, near))
-                full = sum(len(h[0]) for h in held) > max(_HELD_ENTRIES, 2 * len(held[0][0]))
-                return some(False) if full else None
+                counted = block < 0
+                if counted.any():
+                    seen.append((near[counted], gram[counted].view(np.uint64), n[counted]))
+                for i in np.flatnonzero(~counted).tolist():
+                    grams = _unpack(batch.column(4)[i].as_buffer(), np.uint64)
+                    ask.append((np.full(len(grams), block[i]), grams))
+                    fresh[0] += len(grams)
+                fresh[0] += int(counted.sum())
+                return some(near[-1]) if fresh[0] > max(_HELD_ENTRIES, 2 * len(seen[0][0]) if seen else 0) else None
+
+            return each, lambda: some(-1)
+
+        grouped = rows.repartition("near").sortWithinPartitions("near", F.col("block") >= 0)
+        return flat_map(grouped, "block bigint, grams binary, lengths binary, logps binary, sizes binary, weights binary", make)
+
 
-            return each, lambda: some(True) if held else None
+def _pack(numbers):
+    """Numbers of 8 bytes as bytes: all first ones, all second ones and so on, which compresses well."""
+    return numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
 
-        grouped = rows.select("gram", "n", "block", near).repartition("near").sortWithinPartitions("near", F.col("block") >= 0)
-        return flat_map(grouped, "block bigint, gram bigint, length int, logp double, weights array<double>", make)
+
+def _unpack(packed, kind):
+    return np.frombuffer(packed, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
 
 
 def _paths(gram, n, asked, order, pairs, low):
@@ -439,13 +458,16 @@ def score(docs, arcs, words, keep=("doc_id",), text="text", head_share=HEAD_SHAR
 
 
 def _asked(found, order):
-    """Rows (block, gram): the runs of `order` bytes in the texts of each block, distinct but where a block's rows are read by two tasks."""
+    """Rows (block, near, grams): the runs of `order` bytes in the texts of each block, packed by their two bytes before the last.
+
+    They are distinct but where a block's rows are read by two tasks or it has very many of them.
+    """
     def make():
         held, block = Runs(order), [None]
 
         def out():
             made = held.out()
-            return made and [pa.array(np.full(len(made[0]), block[0], np.int64)), made[0]]
+            return made and _grouped(block[0], made[0].to_numpy().view(np.uint64))
 
         def each(batch):
             rows = []
@@ -460,20 +482,33 @@ def _asked(found, order):
                         if held.add(part):
                             rows.append(out())
             rows = [r for r in rows if r]
-            return [pa.concat_arrays(c) for c in zip(*rows)] if rows else None
+            return [sum(c, []) for c in zip(*rows)] if rows else None
 
         return each, out
 
-    return flat_map(found.select("block", "body"), "block bigint, gram bigint", make)
+    return flat_map(found.select("block", "body"), "block bigint, near int, grams binary", make)
+
+
+def _grouped(block, grams):
+    """The columns of `_asked` for runs of a block."""
+    near = ((grams >> np.uint64(8)) & np.uint64(_PAIR)).astype(np.int64)
+    sort = np.argsort(near, kind="stable")
+    near, grams = near[sort], grams[sort]
+    cuts = [0, *(np.flatnonzero(np.diff(near)) + 1).tolist(), len(near)]
+    return [[block] * (len(cuts) - 1), near[cuts[:-1]].tolist(), [_pack(grams[a:b]) for a, b in zip(cuts, cuts[1:])]]
 
 
 def _columns(paths):
     """Of a table of paths: grams, lengths, log10 probabilities, numbers of weights, and the weights one after another."""
-    lists = pa.concat_arrays(paths.column("weights").chunks)
-    return (
-        paths.column("gram").to_numpy().view(np.uint64), paths.column("length").to_numpy().astype(np.int64), paths.column("logp").to_numpy(),
-        lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy(),
-    )
+    kinds = {"grams": np.uint64, "lengths": np.uint8, "logps": np.float64, "sizes": np.uint8, "weights": np.float64}
+    out = []
+    for name, kind in kinds.items():
+        packed = paths.column(name).to_pylist()
+        if kind is np.uint8:
+            out.append(np.frombuffer(b"".join(packed), np.uint8).astype(np.int64))
+        else:
+            out.append(np.concatenate([_unpack(x, kind) for x in packed]))
+    return out
 
 
 def _log_sum(hits):
