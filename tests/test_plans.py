@@ -3,6 +3,7 @@
 from sessionrank.operators import cooccurrence as C
 from sessionrank.operators import metrics as M
 from sessionrank.operators import sessions as S
+from sessionrank.plans import registry
 
 
 def _plan(df):
@@ -44,3 +45,19 @@ def test_metrics_have_no_python_and_no_cross_join(table):
     plan = _plan(M.compare_systems({"a": recs, "b": recs}, targets))
     for step in ("CartesianProduct", "NestedLoop", "Python"):
         assert step not in plan
+
+
+def test_splits_of_the_input_order_grow_with_the_log(spark, tmp_path, monkeypatch):
+    events = spark.range(120_000).selectExpr(
+        "id AS event_id", "timestamp_seconds(1700000000 + id * 20) AS ts", "id % 900 AS user_id", "concat('{\"k\": ', id % 100, '}') AS props"
+    )
+    events.selectExpr("event_id", "CAST(ts AS timestamp_ntz) AS ts", "user_id", "props").write.parquet(str(tmp_path / "events.parquet"))
+    reads, read_in_order = [], registry.files.with_input_order
+    monkeypatch.setattr(registry.files, "with_input_order", lambda df: reads.append((df.rdd.getNumPartitions(), len(df.inputFiles()))) or read_in_order(df))
+    query = registry.registered()["q_build_sessions_input_order"]
+    whole = query(spark, str(tmp_path))
+    monkeypatch.setattr(registry, "FILE_ROWS", 10_000)
+    cut = query(spark, str(tmp_path))
+    (splits, files), (_, more_files) = reads
+    assert files == 3 and 3 * files < splits < 100 and more_files == 12
+    assert whole.count() == cut.count() and whole.exceptAll(cut).isEmpty()
