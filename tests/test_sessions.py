@@ -127,6 +127,17 @@ def test_one_moment_of_one_user_is_split(table, monkeypatch):
     assert rows(built) == _brute(triples, 50, 2, None) and max(largest) < 120
 
 
+def test_small_slices_share_tasks(spark, table):
+    events = _events(table, [(u, i % 7, 13 * i) for u in (4, 5, 6) for i in range(300)])
+    parts = S._parts(events, ("tie",), 3)
+    slices = parts.slices.groupBy("user_id", "slice").agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
+    found = sorted(map(tuple, slices.collect()))
+    assert len(parts.slices.inputFiles()) <= spark.sparkContext.defaultParallelism
+    assert max(n for _, _, n, _, _ in found) <= 3 and len(found) <= parts.n_slices
+    for (user, _, _, _, high), (following, _, _, low, _) in zip(found, found[1:]):
+        assert user != following or high <= low
+
+
 def test_the_log_is_evaluated_once(spark, table):
     read = spark.sparkContext.accumulator(0)
 
