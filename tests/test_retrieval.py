@@ -183,6 +183,17 @@ def test_factor_recs_equal_brute_force(table, block_numbers, first_band):
     assert [(r[0], r[1], r[3]) for r in got] == [(r[0], r[1], r[3]) for r in sorted(expected, key=str)]
 
 
+def test_small_blocks_are_pieces_of_a_task(table, monkeypatch):
+    """Blocks of few numbers repeat the rows of the other side twice at most."""
+    _, factors = _factors(table, 60)
+    context = _sessions(table, {s: [s % 60, (7 * s) % 60] for s in range(50)})
+    times, dealt = [], A._dealt
+    monkeypatch.setattr(A, "_dealt", lambda df, key, own, n_own, other, n_other: times.append(n_other) or dealt(df, key, own, n_own, other, n_other))
+    cut = rows(A.retrieve_by_factors(factors, context, 4, block_numbers=16))
+    assert times == [2, 2] and len(cut) == 200
+    assert cut == rows(A.retrieve_by_factors(factors, context, 4))
+
+
 def test_bands_of_falling_length_end_the_search(table):
     """Sessions near long vectors stop early; what they get is what all products give."""
     rng = np.random.default_rng(3)
