@@ -75,6 +75,19 @@ def test_trees_equal_plain_sums(spark, data, leaves):
     assert rows(again.nodes(spark)) == rows(model.nodes(spark))
 
 
+def test_trees_of_small_nodes_take_few_passes(spark, data, monkeypatch):
+    """Subtrees found in one task are those that passes find, and spare the passes."""
+    df, passes, histograms = data[2], [], B.histograms
+    monkeypatch.setattr(B, "histograms", lambda *args: passes.append(1) or histograms(*args))
+    s = B.Settings(rounds=2, leaves=20)
+    few = rows(B.fit(df, None, NAMES, ["id"], s).nodes(spark))
+    assert len(passes) == 2  # the roots
+    for limit in (0, 300):
+        monkeypatch.setattr(B, "TASK_ROWS", limit)
+        assert rows(B.fit(df, None, NAMES, ["id"], s).nodes(spark)) == few
+    assert len(passes) > 12
+
+
 def test_samples_of_rows_and_features(spark, data):
     x, y, df = data
     model = B.fit(df, None, NAMES, ["id"], B.Settings(rounds=7, leaves=4))
