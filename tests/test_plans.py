@@ -1,5 +1,7 @@
 """Shapes of the physical plans that matter at scale."""
 
+import re
+
 from sessionrank.operators import cooccurrence as C
 from sessionrank.operators import metrics as M
 from sessionrank.operators import sessions as S
@@ -61,3 +63,14 @@ def test_splits_of_the_input_order_grow_with_the_log(spark, tmp_path, monkeypatc
     (splits, files), (_, more_files) = reads
     assert files == 3 and 3 * files < splits < 100 and more_files == 12
     assert whole.count() == cut.count() and whole.exceptAll(cut).isEmpty()
+
+
+def test_candidates_travel_in_lists_and_are_cut_where_they_are_grouped(table):
+    edges = table([(i, j, i + j) for i in range(4) for j in range(9) if i != j], "item_a bigint, item_b bigint, cnt bigint")
+    found = C.retrieve_cooccurrence(edges, _sessions(table), 3)
+    plan = _plan(found)
+    # The lists of the items are dealt out by session and part, not the candidates one by one.
+    assert not re.search(r"hashpartitioning\(session_id#\d+L, item_b", plan)
+    assert len(re.findall(r"hashpartitioning\(session_id#\d+L, part#\d+, \d+\), REPARTITION_BY_NUM", plan)) == 1
+    assert "row_number(), 3, Partial" in plan
+    assert sorted((r["session_id"], r["item_id"], r["score"]) for r in found.collect()) == [(s, i, 6 + 4 * i) for s in range(3) for i in (6, 7, 8)]
