@@ -5,7 +5,7 @@ import re
 from sessionrank.operators import cooccurrence as C
 from sessionrank.operators import metrics as M
 from sessionrank.operators import sessions as S
-from sessionrank.plans import registry
+from sessionrank.plans import registry, stages
 
 
 def _plan(df):
@@ -74,3 +74,14 @@ def test_candidates_travel_in_lists_and_are_cut_where_they_are_grouped(table):
     assert len(re.findall(r"hashpartitioning\(session_id#\d+L, part#\d+, \d+\), REPARTITION_BY_NUM", plan)) == 1
     assert "row_number(), 3, Partial" in plan
     assert sorted((r["session_id"], r["item_id"], r["score"]) for r in found.collect()) == [(s, i, 6 + 4 * i) for s in range(3) for i in (6, 7, 8)]
+
+
+def test_edges_alone_are_not_sorted_into_blocks(table, monkeypatch):
+    whole = _sessions(table).selectExpr("*", "4L AS n_items", "'train' AS split")
+    made, impact_blocks = [], stages.impact_blocks
+    monkeypatch.setattr(stages, "impact_blocks", lambda *args, **options: made.append(1) or impact_blocks(*args, **options))
+    data = stages.Prepared(whole)
+    alone = sorted(map(tuple, data.edges.collect()))
+    assert len(alone) == 12 and not made
+    assert sorted(map(tuple, data.blocks().select("item_a", "item_b", "cnt").collect())) == alone and made == [1]
+    assert sorted(map(tuple, data.edges.collect())) == alone
