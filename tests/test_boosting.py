@@ -88,6 +88,32 @@ def test_trees_of_small_nodes_take_few_passes(spark, data, monkeypatch):
     assert len(passes) > 12
 
 
+def test_a_tree_of_a_small_table_is_one_pass(spark, data, monkeypatch):
+    """Whatever the number of leaves, a tree collects once: its root is not looked at before."""
+    df, looks, below = data[2], [], []
+    best_splits, subtrees = B.best_splits, B.subtrees
+    monkeypatch.setattr(B, "best_splits", lambda *args: looks.append(1) or best_splits(*args))
+    monkeypatch.setattr(B, "subtrees", lambda *args: below.append(1) or subtrees(*args))
+    s = B.Settings(rounds=3, leaves=20)
+    model = B.fit(df, None, NAMES, ["id"], s)
+    assert (len(looks), len(below)) == (0, 3)
+    monkeypatch.setattr(B, "TASK_ROWS", 800)  # fewer than the table has, more than the sample
+    again = B.fit(df, None, NAMES, ["id"], s)
+    assert (len(looks), len(below)) == (3, 6) and rows(again.nodes(spark)) == rows(model.nodes(spark))
+
+
+def test_rounds_judged_beside_the_next_sample(spark, data):
+    """Patience ends the fit where judging each sample before the next one would; trees grown meanwhile leave no trace."""
+    df = data[2]
+    s = B.Settings(rounds=40, patience=3, leaves=6)
+    model = B.fit(df.filter("id % 3 > 0"), df.filter("id % 3 = 0"), NAMES, ["id"], s)
+    areas, best = [h[1] for h in model.history], 0
+    for i, area in enumerate(areas):
+        best = i if area > areas[best] else best
+    assert len(areas) == best + 1 + s.patience < 40 and len(model.trees) == best + 1
+    assert [h[0] for h in model.history] == list(range(1, len(areas) + 1)) and all(h[2] and h[3] for h in model.history)
+
+
 def test_samples_of_rows_and_features(spark, data):
     x, y, df = data
     model = B.fit(df, None, NAMES, ["id"], B.Settings(rounds=7, leaves=4))
