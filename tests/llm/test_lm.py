@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -79,6 +80,19 @@ def test_texts_read_in_training_follow_no_failure_arc(spark):
     assert np.isfinite(model.scores([t.encode() for t in train])).all() and model.failures == 0
 
 
+def test_an_automaton_is_small_beside_its_runs():
+    """Free slots of its table take four bytes each, and building it takes little more than keeping it."""
+    gram = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 200_000, dtype=np.uint64))
+    n, ones = len(gram), np.ones(len(gram))
+    tracemalloc.start()
+    model = lm.Automaton(6, np.full(256, 1 / 256), gram, (6 * ones).astype(np.uint8), -ones, np.zeros(n, np.uint8), np.zeros(0))
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 90 * n and peak < 250 * n
+    state = model.state(gram[:9] >> np.uint64(8), 5)
+    assert model.step(state, (gram[:9] & np.uint64(255)).astype(np.int64))[1].tolist() == [-1.0] * 9 and model.failures == 0
+
+
 def test_probabilities_sum_to_one(spark):
     """Of all bytes after contexts that occur whole, in part, or not at all."""
     docs = documents(spark, awkward(3, 40))
