@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -183,6 +184,27 @@ def test_factor_recs_equal_brute_force(table, block_numbers, first_band):
     assert [(r[0], r[1], r[3]) for r in got] == [(r[0], r[1], r[3]) for r in sorted(expected, key=str)]
 
 
+def test_few_products_of_a_block_are_rounded_and_sorted(monkeypatch):
+    """Only those that can be among the best, ties by rounding included; the lists are those of all products."""
+    rng = np.random.default_rng(4)
+    items, vectors = rng.normal(size=(3000, 4)), rng.normal(size=(30, 4))
+    items[1000:2000] = items[:1000] + rng.choice((0, 2e-7), (1000, 1))  # equal once rounded, or nearly so
+    ids, wanted = rng.permutation(3000), rng.integers(1, 30, 30)
+    wanted[0], sizes, plain = 4000, [], np.round
+    monkeypatch.setattr(A.np, "round", lambda x, digits: sizes.append(x.size) or plain(x, digits))
+    lists = lambda m: pa.array(m.tolist(), pa.list_(pa.float64()))
+    got = A._best_of_blocks(
+        pa.table({"session_id": np.arange(30), "vector": lists(vectors), "wanted": wanted}), pa.table({"id": ids, "features": lists(items)})
+    ).to_pydict()
+    expected = []
+    for i, (vector, k) in enumerate(zip(vectors, wanted)):
+        scores = plain(items @ vector, 6) + 0.0
+        expected += [(i, ids[j], scores[j]) for j in np.lexsort((ids, -scores))[:k]]
+    assert list(zip(got["session_id"], got["item_id"])) == [r[:2] for r in expected]
+    assert np.allclose(got["score"], [r[2] for r in expected], rtol=0, atol=1.1e-6)
+    assert sum(sizes) < 3000 + 29 * 3000 / 10
+
+
 def test_small_blocks_are_pieces_of_a_task(table, monkeypatch):
     """Blocks of few numbers repeat the rows of the other side twice at most."""
     _, factors = _factors(table, 60)
