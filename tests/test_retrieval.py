@@ -152,6 +152,23 @@ def test_few_edges_are_read(table):
     assert rows(got) == _brute_recs(_brute_edges(train, 5), lists, 5, 5)
 
 
+@pytest.mark.parametrize("insertion", [False, True])
+def test_short_blocks_are_not_followed_one_by_one(table, insertion):
+    """With `least` the second step reads the first blocks together; the lists are the same."""
+    train = _random_lists(11, 400, 90, 12)
+    edges = C.fit_cooccurrence(_sessions(table, train), insertion=insertion)
+    context = _sessions(table, _random_lists(12, 40, 90, 9))
+    longest = max(Counter(a for a, _ in _brute_edges(train, 5)).values())
+    found = {}
+    for least in (0, 16, 40, 512):
+        trace = []
+        found[least] = rows(C.retrieve_cooccurrence(edges, context, 5, head=2, trace=trace, insertion=insertion, least=least))
+        steps = [t[0] for t in trace]
+        assert steps == {0: [*range(len(steps))], 16: [0, *range(3, 2 + len(steps))], 40: [0, *range(5, 4 + len(steps))], 512: [0, 8]}[least]
+        assert 32 < longest <= 512 and (least or len(steps) > 2)
+    assert found[0] == found[16] == found[40] == found[512]
+
+
 def test_wide_windows(table):
     train = _random_lists(8, 40, 30, 150)
     edges = C.fit_cooccurrence(_sessions(table, train), 5)
