@@ -169,6 +169,24 @@ def test_short_blocks_are_not_followed_one_by_one(table, insertion):
     assert found[0] == found[16] == found[40] == found[512]
 
 
+def test_first_meetings_are_found_without_a_sort(table, capsys):
+    """Neither the places of pairs in a scan nor those of candidates are sorted to find the smallest."""
+    sessions = _sessions(table, _random_lists(21, 60, 25, 14))
+    edges = C.fit_cooccurrence(sessions, 3, insertion=True)
+    edges.explain()
+    found = edges.selectExpr("1L session_id", "item_b", "1L uses", "0L slot", "cnt", "first")
+    C._accumulated(found, None, sessions, 3).explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+
+
+def test_places_too_large_for_a_number(table):
+    lists = _random_lists(21, 60, 25, 14)
+    far = {s * (1 << 56): items for s, items in lists.items()}
+    context = _sessions(table, _random_lists(22, 20, 30, 9))
+    got = [rows(C.retrieve_cooccurrence(C.fit_cooccurrence(_sessions(table, x), 3, insertion=True), context, 6, 3, insertion=True)) for x in (lists, far)]
+    assert got[0] == got[1]
+
+
 def test_wide_windows(table):
     train = _random_lists(8, 40, 30, 150)
     edges = C.fit_cooccurrence(_sessions(table, train), 5)
