@@ -267,6 +267,28 @@ def test_bands_of_falling_length_end_the_search(table):
     assert sum(n * m for _, n, m in trace) < 40 * 300 / 2
 
 
+@pytest.mark.parametrize("item_numbers, together", [(1 << 23, 7), (6 * 40, 3), (1, 1)])
+def test_bands_that_fit_a_block_are_one_step(table, monkeypatch, item_numbers, together):
+    """The vectors of sessions are dealt out once for them, and lists and order of ties are those of all products."""
+    monkeypatch.setattr(A, "_ITEM_NUMBERS", item_numbers)
+    rng = np.random.default_rng(3)
+    matrix = rng.integers(-2, 3, (300, 6)) * (1.0 / (1 + rng.permutation(300) // 30))[:, None]
+    factors = table([(i, [float(x) for x in v]) for i, v in enumerate(matrix)], "id bigint, features array<double>")
+    lists = {s: [s % 300, (7 * s) % 300] for s in range(0, 300, 5)}
+    context = _sessions(table, lists | {999: [5000]})
+    dealt, times, trace = A._dealt, [], []
+    monkeypatch.setattr(A, "_dealt", lambda df, key, *more: times.append(key) or dealt(df, key, *more))
+    got = rows(A.retrieve_by_factors(factors, context, 3, first_band=8, trace=trace))
+    assert [t[0] for t in trace] == list(range(len(trace))) and trace[0][1] == 60
+    assert times.count("session_id") == len(trace) + 1 - together and (together < 7 or len(trace) == 7)
+    assert sum(n * m for _, n, m in trace) < 60 * 300
+    expected = []
+    for s, items in lists.items():
+        scores = np.round(matrix @ matrix[items].mean(0), 6)
+        expected += [(s, i, r) for r, i in enumerate(sorted((i for i in range(300) if i not in items), key=lambda i: (-scores[i], i))[:3], 1)]
+    assert [(r[0], r[1], r[3]) for r in got] == sorted(expected, key=str)
+
+
 def test_factorization_separates_two_groups(table):
     rng = random.Random(1)
     data = []
