@@ -289,6 +289,18 @@ def test_bands_that_fit_a_block_are_one_step(table, monkeypatch, item_numbers, t
     assert [(r[0], r[1], r[3]) for r in got] == sorted(expected, key=str)
 
 
+def test_vectors_that_come_twice_fill_no_list(table, monkeypatch):
+    """Rows of one id count once for the end of a session's search: its list is as long with one step as with many."""
+    rng = np.random.default_rng(5)
+    matrix = rng.normal(size=(60, 4)) * (1.0 / (1 + np.arange(60)))[:, None]
+    factors = table([(i % 50, [float(x) for x in matrix[i % 50]]) for i in range(100)], "id bigint, features array<double>")
+    context = _sessions(table, {s: [s % 7, (s + 1) % 7, (3 * s) % 50] for s in range(30)})
+    got = rows(A.retrieve_by_factors(factors, context, 3, first_band=4))
+    assert len(got) == 90
+    monkeypatch.setattr(A, "_ITEM_NUMBERS", 1)
+    assert got == rows(A.retrieve_by_factors(factors, context, 3, first_band=4))
+
+
 def test_factorization_separates_two_groups(table):
     rng = random.Random(1)
     data = []
