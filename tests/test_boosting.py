@@ -114,6 +114,17 @@ def test_rounds_judged_beside_the_next_sample(spark, data):
     assert [h[0] for h in model.history] == list(range(1, len(areas) + 1)) and all(h[2] and h[3] for h in model.history)
 
 
+def test_rows_of_the_last_round_are_not_written(spark, data, monkeypatch):
+    """Their losses are those of a fit that goes on."""
+    written, plain = [], B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df, name: written.append(name) or plain(df, name))
+    longer = B.fit(data[2], None, NAMES, ["id"], B.Settings(rounds=7, leaves=4))
+    assert written.count("binned") == 2
+    written.clear()
+    model = B.fit(data[2], None, NAMES, ["id"], B.Settings(rounds=5, leaves=4))
+    assert written.count("binned") == 1 and np.allclose([h[3] for h in model.history], [h[3] for h in longer.history[:5]], rtol=1e-12)
+
+
 def test_samples_of_rows_and_features(spark, data):
     x, y, df = data
     model = B.fit(df, None, NAMES, ["id"], B.Settings(rounds=7, leaves=4))
