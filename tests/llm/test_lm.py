@@ -148,3 +148,39 @@ def test_runs_seen_once_count_in_long_training_texts(spark, monkeypatch, block_b
     got = lm.score(documents(spark, tests), lm.fit(docs, order=ORDER), lm.word_counts(docs)).orderBy("doc_id").collect()
     plain = brute(train, 1)
     assert np.allclose([r["score"] for r in got], [plain(t) for t in tests], rtol=1e-9)
+
+
+def test_blocks_are_read_as_a_stream(spark, monkeypatch):
+    """The texts of a block and its paths are not gathered as tables, and rows of paths are short; scores are the same."""
+    monkeypatch.setattr(lm, "_ROW_RUNS", 16)
+    train = awkward(3, 25)[:30]
+    docs, tests = documents(spark, train), [*train[:9], None, "", "x9 " * 200]
+    plain, arcs = brute(train, 1), lm.fit(documents(spark, train), order=ORDER)
+    scored = lm.score(documents(spark, tests), arcs, lm.word_counts(docs))
+    assert "FlatMapCoGroups" not in scored._jdf.queryExecution().toString()
+    assert np.allclose([r["score"] for r in scored.orderBy("doc_id").collect()], [plain(t) for t in tests], rtol=1e-9)
+    rows = documents(spark, train).selectExpr("0L block", "cast(text as binary) body").fillna("")
+    assert max(len(r["lengths"]) for r in arcs.paths(lm._asked(rows, ORDER)).collect()) == 16
+
+
+def test_few_runs_are_smoothed_at_a_time(monkeypatch):
+    """A batch of many runs is smoothed in parts, which give what one gives; counted runs are at hand for all of their group."""
+    sizes, plain = [], lm._paths
+    monkeypatch.setattr(lm, "_paths", lambda gram, n, asked, *more: sizes.append(len(asked)) or plain(gram, n, asked, *more))
+    rng = np.random.default_rng(2)
+    runs = np.unique(rng.integers(0, 1 << 32, 6000, dtype=np.uint64) >> np.uint64(13) << np.uint64(21) | rng.integers(0, 256, 6000, dtype=np.uint64))
+    near = ((runs >> np.uint64(8)) & np.uint64(65535)).astype(int).tolist()
+    rows = [(g, -1, int(r), 3, None) for g, r in zip(near[::2], runs[::2])] + [(n, b, 0, 0, g) for b, n, g in zip(*lm._grouped(5, runs))]
+    columns = [*zip(*sorted(rows, key=lambda r: (r[0], r[1] >= 0)))]
+    kinds = [lm.pa.int32(), lm.pa.int64(), lm.pa.int64(), lm.pa.int64(), lm.pa.binary()]
+    batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(c, k) for c, k in zip(columns, kinds)], names=["near", "block", "gram", "n", "grams"])
+    found = []
+    for held in (1 << 20, 2000):
+        monkeypatch.setattr(lm, "_HELD_ENTRIES", held)
+        sizes.clear()
+        each, last = lm._smoothing(5, np.ones((256, 256)), np.full(256, 1 / 256))
+        made = [r for r in (each(batch), last()) if r]
+        unpacked = [[lm._unpack(x, np.uint64) for r in made for x in r[1]], [np.frombuffer(x, np.uint8) for r in made for x in r[2]],
+                    [lm._unpack(x, np.float64) for r in made for x in r[3]]]
+        found.append(sorted(zip(*map(np.concatenate, unpacked))))
+    assert len(sizes) > 3 and max(sizes) < 1000 and len(found[0]) == len(runs) and found[0] == found[1]
