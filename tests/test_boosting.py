@@ -246,3 +246,49 @@ def test_text_keeps_the_model(spark, data, tmp_path):
     text = trees.text_of(model)
     starts = [text.index(f"Tree={i}\n") for i in range(3)] + [text.index("end of trees")]
     assert f"tree_sizes={' '.join(str(b - a) for a, b in zip(starts, starts[1:]))}\n" in text
+
+
+def bound(n=6000, seed=4):
+    """Rows whose columns a, b and c follow from one number, and d and e from another, as those of the same item or user do."""
+    rng = np.random.default_rng(seed)
+    item, user = rng.integers(0, 40, n), rng.integers(0, 30, n)
+    x = np.stack([item % 7, item / 3, item % 2, user % 5, np.sqrt(user), rng.normal(size=n).round(1)], 1)
+    return x, (rng.random(n) < 1 / (1 + np.exp(2 - x[:, 0] / 3 - x[:, 3] * x[:, 5] / 4))).astype(int)
+
+
+def test_bins_that_go_together_share_a_code(spark, monkeypatch):
+    """Trees by codes are those of plain sums, whatever goes together, and no code stands for more combinations than allowed."""
+    x, y = bound()
+    names = list("abcdef")
+    df = spark.createDataFrame([(i, *map(float, r), int(k)) for i, (r, k) in enumerate(zip(x, y))], ["id", *names, "label"]).repartition(3)
+    s = B.Settings(rounds=2, leaves=9, row_share=1.0, feature_share=1.0)
+    edges = B.bin_edges(df, names, s.bins)
+    monkeypatch.setattr(B, "MOST_CODES", 100)
+    coding = B.coding_of(df, df.withColumn("a", F.col("a") + 1), names, edges, list(range(6)), ["id"], len(x))
+    assert sorted(sorted(g) for g, _ in coding.groups) == [[0, 1, 2], [3, 4], [5]] and max(coding.sizes) <= 100
+    codes = coding.codes_of(x.T)
+    for f in range(6):
+        group, bins = coding.bins[f]
+        assert (bins[codes[group]] == np.searchsorted(edges[f], x[:, f], "left")).all()
+    whole = rows(B.fit(df, df, names, ["id"], s).nodes(spark))
+    splits, _ = by_hand(x, y, s)
+    assert [r[6] for r in sorted(whole) if r[1] >= 0] == pytest.approx([p[2] for r in splits for p in r], rel=1e-6)
+    for codes_allowed, task_rows, block in ((1, 1 << 22, 1 << 16), (64, 0, 700), (20, 1500, 100)):
+        for name, value in (("MOST_CODES", codes_allowed), ("TASK_ROWS", task_rows), ("BLOCK_ROWS", block)):
+            monkeypatch.setattr(B, name, value)
+        assert rows(B.fit(df, df, names, ["id"], s).nodes(spark)) == whole
+
+
+def test_a_pass_reads_blocks_and_only_the_smaller_child_is_summed(spark, data, monkeypatch):
+    """What a pass gets from the table are a few blocks of rows; of two children one is summed, the other is what it leaves."""
+    wanted, kept, histograms = [], [], B.histograms
+
+    def seen(sample, coding, used, growing, nodes, *more):
+        kept.append(sample.table.count())
+        wanted.append(len(nodes))
+        return histograms(sample, coding, used, growing, nodes, *more)
+
+    monkeypatch.setattr(B, "histograms", seen)
+    monkeypatch.setattr(B, "TASK_ROWS", 0)
+    tree = B.fit(data[2], None, NAMES, ["id"], B.Settings(rounds=1, leaves=12)).trees[0]
+    assert max(kept) <= 3 and sum(wanted) < 2 * len(tree.rows)
