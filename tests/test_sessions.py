@@ -235,3 +235,14 @@ def test_input_order_of_files_and_splits(spark, tmp_path):
         "ORDER BY user_id, timestamp, filename, file_row_number"
     ).fetchall()
     assert [(r["user_id"], r["item_id"]) for r in got] == users
+
+
+def test_the_log_is_never_broadcast(table, monkeypatch):
+    """However few bytes its rows take: users are sent to them up to a number of users, and both sides are dealt out beyond."""
+    events = _events(table, [(u, 1, t) for u in range(40) for t in range(5)])
+    plan = lambda: S.build_sessions(events, tie_cols=("tie",))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan() and "BuildLeft" not in plan()
+    expected = rows(_build(events))
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 39)
+    assert "BroadcastHashJoin" not in plan() and "SortMergeJoin" in plan()
+    assert rows(_build(events)) == expected
