@@ -351,3 +351,21 @@ def test_equal_scores_in_order_of_insertion(table, head, block):
     edges = C.fit_cooccurrence(_sessions(table, train), 3, block, insertion=True)
     got = C.retrieve_cooccurrence(edges, _sessions(table, lists), 6, 3, head=head, insertion=True)
     assert [r[:4] for r in rows(got)] == sorted(expected, key=str)
+
+
+def test_pieces_sort_only_what_can_be_among_the_best(monkeypatch):
+    """Lists of pieces are those of all products, whatever the pieces; later pieces bring few products to be sorted."""
+    rng = np.random.default_rng(8)
+    vectors, features = rng.normal(size=(60, 8)).round(1), rng.normal(size=(5000, 8)).round(1)
+    ids, wanted = rng.permutation(5000), rng.integers(3, 9, 60)
+    lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 8).cast(pa.list_(pa.float64()))
+    sessions = pa.table({"session_id": np.arange(60) * 3, "vector": lists(vectors), "wanted": wanted})
+    items, sorted_rows, merged = pa.table({"id": ids, "features": lists(features)}), [], A._merged
+    monkeypatch.setattr(A, "_merged", lambda old, new, k: sorted_rows.append(len(new[0])) or merged(old, new, k))
+    scores = np.round(vectors @ features.T, 6) + 0.0
+    expected = {(s * 3, int(ids[i]), scores[s, i]) for s in range(60) for i in np.lexsort((ids, -scores[s]))[:wanted[s]]}
+    for piece in (None, 800, 80):
+        sorted_rows.clear()
+        got = A._best_of_blocks(sessions, items, piece).to_pylist()
+        assert {(r["session_id"], r["item_id"], r["score"]) for r in got} == expected and len(got) == len(expected)
+        assert sum(sorted_rows) < 60 * 5000 / 8, piece
