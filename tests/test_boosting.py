@@ -290,5 +290,7 @@ def test_a_pass_reads_blocks_and_only_the_smaller_child_is_summed(spark, data, m
 
     monkeypatch.setattr(B, "histograms", seen)
     monkeypatch.setattr(B, "TASK_ROWS", 0)
+    assert len(B.fit(data[2], None, NAMES, ["id"], B.Settings(rounds=1, row_share=0.0)).trees[0].feature) == 0  # no row, no split
+    kept.clear(), wanted.clear()
     tree = B.fit(data[2], None, NAMES, ["id"], B.Settings(rounds=1, leaves=12)).trees[0]
     assert max(kept) <= 3 and sum(wanted) < 2 * len(tree.rows)
